@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The original jobs are batch only: no ``readStream``, watermark, streaming
+window or stateful operator appears in them, so there is nothing to rebuild
+here.  Every job in ``quarry.plans`` takes and returns DataFrames, so it can
+be applied to a micro-batch inside ``foreachBatch`` by a caller who needs it.
+"""
