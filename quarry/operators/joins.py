@@ -31,6 +31,19 @@ BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
+_FIXED_WIDTH = {
+    "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
+    "date": 4, "timestamp": 8, "timestamp_ntz": 8,
+}
+
+
+def _width(dtype) -> int:
+    name = dtype.simpleString()
+    if name.startswith("decimal"):
+        return 16
+    return _FIXED_WIDTH.get(name, 32)
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """Estimated in-memory size of a row: actual length of strings, fixed width otherwise."""
     parts = []
@@ -39,7 +52,7 @@ def _row_bytes(df: DataFrame) -> Column:
         if isinstance(field.dataType, (StringType, BinaryType)):
             parts.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("long") + F.lit(8))
         else:
-            parts.append(F.lit(int(field.dataType.defaultSize) + 8))
+            parts.append(F.lit(_width(field.dataType) + 8))
     if not parts:
         return F.lit(8)
     total = parts[0]

@@ -111,7 +111,7 @@ SELECT CAST(dayofyear(date) AS INTEGER) day_of_year, count(*) searches_per_day F
     "searches_per_week": _with(SEARCHES) + """
 SELECT CAST(weekofyear(date) AS INTEGER) week_of_year, count(*) searches_per_week FROM searches GROUP BY 1 ORDER BY 1""",
     "searches_per_month": _with(SEARCHES) + """
-SELECT CAST(month(date) AS INTEGER) month, count(*) searches_per_month FROM searches GROUP BY 1 ORDER BY 1""",
+SELECT CAST(month(date) AS INTEGER) month_of_year, count(*) searches_per_month FROM searches GROUP BY 1 ORDER BY 1""",
     "search_success": _with(SEARCHES) + """
 SELECT count(*) total, count(pos) successes,
   round(count(pos) * 100::DOUBLE / count(*), 6) success_pct,

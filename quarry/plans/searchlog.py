@@ -20,7 +20,7 @@ from quarry.sources.writers import write_delimited
 _CALENDAR = {
     "day": (F.dayofyear, "day_of_year", "searches_per_day"),
     "week": (F.weekofyear, "week_of_year", "searches_per_week"),
-    "month": (F.month, "month", "searches_per_month"),
+    "month": (F.month, "month_of_year", "searches_per_month"),
 }
 
 
