@@ -90,8 +90,14 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
-    """The fixture's stop-word list as column ``stopWords``."""
-    return spark.createDataFrame([(w,) for w in FIXTURE_STOP_WORDS], "stopWords string")
+    """The fixture's stop-word list as column ``stopWords``.
+
+    Built from a one-row range so the planner knows it is tiny and broadcasts
+    it into the anti join (a frame made from a Python list has no size
+    statistics and would be planned as a sort-merge join).
+    """
+    words = F.array(*[F.lit(w) for w in FIXTURE_STOP_WORDS])
+    return spark.range(1).select(F.explode(words).alias("stopWords"))
 
 
 def order_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,21 +49,24 @@ def dense_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "
     """
     order_cols = _cols(order)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
+    ranged = df.repartitionByRange(n, *order_cols)
+    # both branches read the same range exchange (reused within the query):
+    # the counts need no sort, the numbering sorts each partition once
+    numbered = (
+        ranged.sortWithinPartitions(*order_cols)
         .withColumn("_pid", F.spark_partition_id())
         # monotonically_increasing_id = (partition index << 33) + position in partition
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
     )
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+        ranged.select(F.spark_partition_id().alias("_pid"))
+        .groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
         # at most one row per partition: bounded, safe to order in one task and broadcast
         .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     )
     return (
-        ranged.join(F.broadcast(offsets), "_pid")
+        numbered.join(F.broadcast(offsets), "_pid")
         .withColumn(name, F.col("_off") + F.col("_pos") + F.lit(1))
         .drop("_pid", "_pos", "_off")
     )
