@@ -106,3 +106,41 @@ def test_delimited_sort_without_tie_break(spark):
     df = spark.range(100).select((F.col("id") % 7).cast("string").alias("w"))
     path = write_delimited(df, scratch_dir(spark, "plain"), num_files=3, sort_by=["w"])
     assert spark.read.csv(path).count() == 100
+
+
+def test_text_lines_parsed_with_bad_fields_as_null(spark):
+    from quarry.sources import parse_trip_lines, read_lines
+
+    path = scratch_dir(spark, "raw")
+    os.makedirs(path)
+    with open(os.path.join(path, "t.txt"), "w") as f:
+        f.write("1,2015-03-08 23:54:12,2015-03-09 00:12:35,-73.9,40.7,-74.0,40.8,12.5\n")
+        f.write("2,bad,2015-03-09 00:12:35,x,40.7,-74.0,40.8,3.0\n")
+    rows = {r.id: r for r in parse_trip_lines(read_lines(spark, path)).collect()}
+    assert rows["1"].start_time == dt.datetime(2015, 3, 8, 23, 54, 12) and rows["1"].cost == 12.5
+    assert rows["2"].start_time is None and rows["2"].start_longitude is None and rows["2"].end_latitude == 40.8
+
+
+def test_load_table_by_format_and_inference(spark, sf_small):
+    from quarry.sources import load_table, read_delimited
+
+    t = fx.trips(spark, sf_small)
+    csv_path = conversions.trips_to_csv(t, scratch_dir(spark, "fmt"))
+    pq_path = write_parquet(t, scratch_dir(spark, "fmt-pq"))
+    a = load_table(spark, csv_path, "csv", schemas.TRIPS)
+    b = load_table(spark, pq_path, "parquet")
+    assert sorted(a.collect()) == sorted(b.collect())
+    inferred = read_delimited(spark, csv_path, None, infer_schema=True)
+    assert dict(inferred.dtypes)["_c3"] == "double"
+    with pytest.raises(ValueError):
+        load_table(spark, csv_path, "orc")
+
+
+def test_persisted_unpersists_after_block(spark, sf_small):
+    from quarry.operators import persisted
+
+    t = fx.trips(spark, sf_small)
+    with persisted(t) as cached:
+        assert cached.is_cached
+        assert cached.count() == 1000
+    assert not t.is_cached
