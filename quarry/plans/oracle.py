@@ -170,7 +170,7 @@ SELECT c.c_nationkey k, c.c_name lv, n.n_name rv,
 FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey""",
     "join_strategies": """
 WITH j AS (
-  SELECT count(*) n_rows, sum(o_orderkey) sum_key, CAST(sum(l_linenumber) AS BIGINT) sum_line,
+  SELECT count(*) n_rows, CAST(sum(o_orderkey) AS BIGINT) sum_key, CAST(sum(l_linenumber) AS BIGINT) sum_line,
     count(*) FILTER (WHERE o_orderpriority = '1-URGENT') n_urgent
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT 'auto' strategy, * FROM j UNION ALL SELECT 'broadcast', * FROM j

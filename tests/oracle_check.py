@@ -48,6 +48,25 @@ def rows_of(columns, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows), sorted(columns)
 
 
+# Spark simple type name -> DuckDB type name of the same values
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE",
+}
+
+
+def type_diffs(sdf, res) -> list[str]:
+    duck_types = {d[0]: str(d[1]).upper() for d in res.description}
+    out = []
+    for name, t in sdf.dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        got = duck_types.get(name)
+        if got is not None and got != want:
+            out.append(f"{name}: spark {t} duckdb {got}")
+    return out
+
+
 def compare(spark, con, key: str, fn, sql: str | None, sf_dir: str) -> tuple[bool, str]:
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -62,6 +81,9 @@ def compare(spark, con, key: str, fn, sql: str | None, sf_dir: str) -> tuple[boo
     d_sorted, d_cols = rows_of(dcols, drows)
     if s_cols != d_cols:
         return False, f"columns differ: spark {s_cols} duckdb {d_cols}"
+    tdiff = type_diffs(df, res)
+    if tdiff:
+        return False, f"types differ: {tdiff}"
     if len(srows) != len(drows):
         return False, f"row count spark {len(srows)} duckdb {len(drows)}"
     if s_sorted != d_sorted:
