@@ -68,9 +68,9 @@ def read_searches(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return read_delimited(spark, path, schemas.SEARCHES, sep="\t", header=True, multi_line=multi_line)
 
 
-def read_titles(spark: SparkSession, path: str) -> DataFrame:
+def read_titles(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Titles (words joined by ``_``): CSV with a header line."""
-    return read_delimited(spark, path, schemas.TITLES, sep=",", header=True)
+    return read_delimited(spark, path, schemas.TITLES, sep=",", header=True, multi_line=multi_line)
 
 
 def read_stop_words(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
