@@ -114,12 +114,14 @@ def export_title_words(titles: DataFrame, path: str, p: JobParams = JobParams(),
     position break ties at file boundaries so one frequent word can span
     several files.
     """
+    if "title_id" not in titles.columns:
+        # a key per title line from its position in the input split: deterministic
+        # when ``titles`` is a file scan (as read by ``read_titles``), and it also
+        # separates identical copies of a frequent title
+        titles = titles.withColumn("title_id", F.monotonically_increasing_id())
     words = title_words(titles)
-    tie = [c for c in ("title_id", "pos") if c in words.columns]
-    if "title_id" not in words.columns:
-        tie = [F.xxhash64("title"), "pos"]
     return write_delimited(words, path, sep="\t", header=True, mode=mode, num_files=p.export_files,
-                           sort_by=["title"], tie_break=tie, columns=["title"])
+                           sort_by=["title"], tie_break=["title_id", "pos"], columns=["title"])
 
 
 def search_words(searches: DataFrame, id_col: str = "event_id") -> DataFrame:
