@@ -1,6 +1,7 @@
 """Relational operators: cleaning, joins with a chosen strategy, ordering."""
 
 from quarry.operators.cleaning import clean_trips, distinct_endpoints, drop_nulls, inside_box, positive_duration
+from quarry.operators.inspect import join_operators, plan_string
 from quarry.operators.joins import (
     STRATEGIES,
     broadcast_join,
@@ -27,8 +28,10 @@ __all__ = [
     "hinted",
     "inside_box",
     "join",
+    "join_operators",
     "limited_side_join",
     "persisted",
+    "plan_string",
     "positive_duration",
     "range_sorted",
     "repartition_join",

@@ -24,4 +24,6 @@ def sf_small():
 
 def plan_text(df) -> str:
     """``explain("formatted")`` text of the initial physical plan (what AQE starts from)."""
-    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    from quarry.operators import plan_string
+
+    return plan_string(df, "formatted")

@@ -5,6 +5,8 @@ import math
 
 from pyspark.sql import functions as F
 
+from quarry.operators import plan_string
+
 from quarry.functions import (
     duration_min,
     duration_sec,
@@ -113,4 +115,4 @@ def test_sql_functions_match_column_expressions(spark):
                     first_letter_class("w").alias("f"))
     assert sorted(sql.collect()) == sorted(col.collect())
     # SQL UDFs are inlined: no UDF operator in the plan
-    assert "PythonUDF" not in sql._jdf.queryExecution().executedPlan().toString()
+    assert "PythonUDF" not in plan_string(sql, "formatted")

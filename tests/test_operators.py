@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quarry.operators import plan_string
+
 from conftest import plan_text
 from quarry import fixtures as fx
 from quarry import schemas
@@ -85,9 +87,13 @@ def test_strategies_same_rows(spark, strategy):
 
 
 def test_strategy_plans(spark, sf_small):
+    from quarry.operators import join_operators
+
     li = fx.table(spark, sf_small, "lineitem").select("l_orderkey")
     o = fx.table(spark, sf_small, "orders").select("o_orderkey")
     cond = li.l_orderkey == o.o_orderkey
+    assert join_operators(join(li, o, cond, strategy="merge")) == ["SortMergeJoin Inner"]
+    assert join_operators(join(li, o, cond, strategy="broadcast")) == ["BroadcastHashJoin Inner"]
     assert "BroadcastHashJoin" in plan_text(join(li, o, cond, strategy="broadcast"))
     assert "SortMergeJoin" in plan_text(join(li, o, cond, strategy="merge"))
     assert "ShuffledHashJoin" in plan_text(join(li, o, cond, strategy="shuffle_hash"))
@@ -146,7 +152,7 @@ def test_dense_row_number_matches_global_window(spark, sf_small):
     assert "rangepartitioning" in plan_text(got)
     # the per-partition counts read the same range exchange as the numbering
     got.collect()
-    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan_string(got, "simple")
 
 
 def test_range_sorted_spreads_a_hot_key(spark):

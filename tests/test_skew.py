@@ -7,6 +7,8 @@ behaves like a skewed partition of a large job.
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.operators import plan_string
+
 from conftest import plan_text
 from quarry.operators import repartition_join
 from quarry.plans import searchlog, trips
@@ -57,7 +59,7 @@ def test_repartition_join_splits_hot_partition(spark, skew_conf):
     want = lc.join(rc, "k").select(F.sum(F.col("a") * F.col("b"))).first()[0]
     assert n == want
     j.collect()
-    final = j._jdf.queryExecution().executedPlan().toString()
+    final = plan_string(j, "simple")
     assert "skew=true" in final
 
 
