@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from quarry import fixtures as fx
 from quarry import schemas

@@ -1,7 +1,6 @@
 """Cleaning, joins with a strategy, ordering (19-23, 38-53)."""
 
 import datetime as dt
-import math
 
 import pytest
 from pyspark.sql import Window

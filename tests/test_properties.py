@@ -4,7 +4,6 @@ import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from quarry import schemas
 from quarry.functions.geo import haversine_km
