@@ -17,39 +17,41 @@ from quarry.functions.text import first_words, words_between
 # The stop words of the derived search log (test fixture).
 FIXTURE_STOP_WORDS = ["the", "and", "of", "that", "in", "is"]
 
-SUCCESS_EVENTS = ["click", "view", "purchase"]
+_TABLES: dict[tuple[int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; one DataFrame per session and path, so the file listing and
+    footer read happen once, not once per query (the tables are read-only)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
+
+
+_LON0 = "(-80.5D + (event_id * 37 % 1100) / 100D)"
+_LAT0 = "(39.5D + (event_id * 53 % 700) / 100D)"
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips from events: about 11% non-positive durations, 1% equal endpoints, some outside the box."""
-    e = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    lon0 = F.lit(-80.5) + (eid * 37 % 1100) / F.lit(100.0)
-    lat0 = F.lit(39.5) + (eid * 53 % 700) / F.lit(100.0)
-    same = (eid % 97) == 0
-    return e.select(
-        eid.cast("string").alias("id"),
-        F.col("ts").alias("start_time"),
-        F.timestamp_add("SECOND", F.floor(F.col("value") * 10).cast("int") - 60, F.col("ts")).alias("end_time"),
-        lon0.alias("start_longitude"),
-        lat0.alias("start_latitude"),
-        F.when(same, lon0).otherwise(F.lit(-80.5) + (eid * 71 % 1100) / F.lit(100.0)).alias("end_longitude"),
-        F.when(same, lat0).otherwise(F.lit(39.5) + (eid * 91 % 700) / F.lit(100.0)).alias("end_latitude"),
-        F.col("value").cast("float").alias("cost"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS STRING) AS id",
+        "ts AS start_time",
+        "timestampadd(SECOND, CAST(floor(value * 10) AS INT) - 60, ts) AS end_time",
+        f"{_LON0} AS start_longitude",
+        f"{_LAT0} AS start_latitude",
+        f"CASE WHEN event_id % 97 = 0 THEN {_LON0} ELSE -80.5D + (event_id * 71 % 1100) / 100D END AS end_longitude",
+        f"CASE WHEN event_id % 97 = 0 THEN {_LAT0} ELSE 39.5D + (event_id * 91 % 700) / 100D END AS end_latitude",
+        "CAST(value AS FLOAT) AS cost",
     )
 
 
 def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendor per trip id; error events have none (the inner join drops them)."""
-    e = table(spark, sf_dir, "events")
-    return e.filter(F.col("event_type") != "error").select(
-        F.col("event_id").cast("string").alias("id"),
-        (F.col("user_id") % 3 + 1).cast("string").alias("vendor"),
-    )
+    return table(spark, sf_dir, "events").where("event_type <> 'error'").selectExpr(
+        "CAST(event_id AS STRING) AS id", "CAST(user_id % 3 + 1 AS STRING) AS vendor")
 
 
 def document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,18 +66,15 @@ def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``event_id`` is the natural row key (no global ``row_number``).  The
     document count is a scalar subquery, not a cross join.
     """
-    e = table(spark, sf_dir, "events")
     n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
-    ok = F.col("event_type").isin(SUCCESS_EVENTS)
-    ev = e.select(
+    ok = "event_type IN ('click', 'view', 'purchase')"
+    ev = table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.col("user_id").cast("string").alias("userid"),
-        F.col("ts").alias("date"),
-        F.when(ok, (F.col("event_id") % 10 + 1).cast("int")).alias("pos"),
-        F.when(ok, F.concat(F.lit("http://site"), (F.col("event_id") * 7 % 40).cast("string"),
-                            F.lit(".example/"))).alias("url"),
-        (F.col("event_id") % n_docs).alias("doc_id"),
-    )
+        "CAST(user_id AS STRING) AS userid",
+        "ts AS date",
+        f"CASE WHEN {ok} THEN CAST(event_id % 10 + 1 AS INT) END AS pos",
+        f"CASE WHEN {ok} THEN concat('http://site', CAST(event_id * 7 % 40 AS STRING), '.example/') END AS url",
+    ).withColumn("doc_id", F.col("event_id") % n_docs)
     return ev.join(document_keywords(spark, sf_dir), "doc_id").select(
         "event_id", "userid", "keywords", "date", "pos", "url")
 

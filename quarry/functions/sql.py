@@ -10,15 +10,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from quarry.config import EARTH_RADIUS_KM
+from quarry.functions.geo import haversine_sql
 
 _DEFINITIONS = {
     "haversine": f"""
         (lon_start DOUBLE, lat_start DOUBLE, lon_end DOUBLE, lat_end DOUBLE) RETURNS DOUBLE
-        RETURN {EARTH_RADIUS_KM}D * 2D * atan2(
-            sqrt(least(pow(sin(radians(lat_end - lat_start) / 2), 2)
-                 + cos(radians(lat_start)) * cos(radians(lat_end)) * pow(sin(radians(lon_end - lon_start) / 2), 2), 1D)),
-            sqrt(1D - least(pow(sin(radians(lat_end - lat_start) / 2), 2)
-                 + cos(radians(lat_start)) * cos(radians(lat_end)) * pow(sin(radians(lon_end - lon_start) / 2), 2), 1D)))
+        RETURN {haversine_sql("lon_start", "lat_start", "lon_end", "lat_end", EARTH_RADIUS_KM)}
     """,
     "is_printable_word": """
         (word STRING) RETURNS BOOLEAN

@@ -35,9 +35,10 @@ def with_distance(trips: DataFrame, p: JobParams = JobParams()) -> DataFrame:
 
 
 def with_speed(trips: DataFrame, p: JobParams = JobParams()) -> DataFrame:
-    """Add ``distance_km``, ``duration_min`` and ``speed_kmh``."""
-    t = with_distance(trips, p).withColumn(DURATION_MIN, duration_min("start_time", "end_time"))
-    return t.withColumn(SPEED_KMH, speed_kmh(DISTANCE_KM, DURATION_MIN))
+    """Add ``distance_km``, ``duration_min`` and ``speed_kmh`` (one projection)."""
+    dist = haversine_km("start_longitude", "start_latitude", "end_longitude", "end_latitude", p.earth_radius_km)
+    minutes = duration_min("start_time", "end_time")
+    return trips.withColumns({DISTANCE_KM: dist, DURATION_MIN: minutes, SPEED_KMH: speed_kmh(dist, minutes)})
 
 
 def mean_duration_by_hour(trips: DataFrame, p: JobParams = JobParams(), as_decimal: bool = False) -> DataFrame:
