@@ -15,6 +15,6 @@ Sub-packages:
 * ``quarry.streaming`` -- intentionally empty: the jobs are batch only
 """
 
-from quarry.config import JobParams, scratch_dir, session
+from quarry.config import JobParams, checkpoint_dir, scratch_dir, session
 
-__all__ = ["JobParams", "scratch_dir", "session"]
+__all__ = ["JobParams", "checkpoint_dir", "scratch_dir", "session"]

@@ -58,7 +58,7 @@ def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quar
     return spark
 
 
-def _checkpoint_base(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
     Only when the setting is absent (local tests) a fresh folder is created and
@@ -77,5 +77,5 @@ def _checkpoint_base(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique output path under the shared checkpoint folder."""
-    base = _checkpoint_base(spark).rstrip("/")
+    base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/quarry-out/{name}-{uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quarry.config import checkpoint_dir
 from quarry.schemas import CORRUPT_COLUMN, with_corrupt_column
 from quarry.sources.readers import READ_TIME_FORMAT, read_delimited
 
@@ -29,6 +30,7 @@ def read_with_rejects(spark: SparkSession, path: str, schema: StructType, sep: s
 def split_rejected(parsed: DataFrame, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Split a permissively parsed frame on its ``_corrupt_record`` column."""
     if materialize:
+        checkpoint_dir(parsed.sparkSession)  # the shared folder; set locally only when unset
         parsed = parsed.checkpoint(eager=True)
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     good = parsed.filter(~bad).drop(CORRUPT_COLUMN)
