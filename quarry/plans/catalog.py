@@ -1,4 +1,4 @@
-"""Registered queries: one Spark callable per key, and its DuckDB oracle SQL.
+"""Registered queries: one Spark callable per key (their DuckDB oracle SQL is in ``oracle.py``).
 
 Each callable takes ``(spark, sf_dir)``, derives the job inputs from the test
 tables and returns a DataFrame.  Floating outputs are rounded to 6 decimals in
