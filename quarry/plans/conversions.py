@@ -14,7 +14,7 @@ from quarry.config import TIME_FORMAT, scratch_dir
 from quarry.functions.timefn import format_ntz
 from quarry.sources.readers import read_delimited, read_parquet, read_searches, read_trips, read_vendors
 from quarry.sources.rejects import read_with_rejects
-from quarry.sources.writers import write_delimited, write_parquet, write_text
+from quarry.sources.writers import write_bucketed_table, write_delimited, write_parquet, write_text
 
 
 def trips_to_csv(trips: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -32,6 +32,22 @@ def convert_csv_to_parquet(spark: SparkSession, trips_csv: str, vendors_csv: str
     return trips_out, vendors_out
 
 
+def convert_csv_to_bucketed(spark: SparkSession, trips_csv: str, vendors_csv: str, out_dir: str, buckets: int,
+                            trips_table: str = "trip_data", vendors_table: str = "trip_vendors",
+                            mode: str = "errorifexists") -> tuple[str, str]:
+    """Convert both trip tables to Parquet tables bucketed by ``id`` (same bucket count).
+
+    Every later join of the two on ``id`` (vendor max, fastest trips, the
+    vendor join) then runs without shuffling either table.  Returns the table
+    names; read them with ``load_table(spark, name, "table")``.
+    """
+    base = out_dir.rstrip("/")
+    write_bucketed_table(read_trips(spark, trips_csv, "csv"), trips_table, "id", buckets, f"{base}/{trips_table}", mode)
+    write_bucketed_table(read_vendors(spark, vendors_csv, "csv"), vendors_table, "id", buckets,
+                         f"{base}/{vendors_table}", mode)
+    return trips_table, vendors_table
+
+
 def parquet_convert(spark: SparkSession, trips: DataFrame, vendors: DataFrame) -> DataFrame:
     """Trips and vendors written as CSV, converted to Parquet, read back and joined on ``id``."""
     base = scratch_dir(spark, "convert")

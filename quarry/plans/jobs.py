@@ -27,7 +27,7 @@ class TripAnswers:
 
 def trip_questions(spark: SparkSession, trips_path: str, vendors_path: str, fmt: str = "csv",
                    p: JobParams = JobParams(), strategy: str = "auto", as_decimal: bool = True) -> TripAnswers:
-    """The three trip questions over CSV (declared schema) or Parquet inputs."""
+    """The three trip questions over CSV (declared schema), Parquet or catalog-table (``fmt="table"``) inputs."""
     t = read_trips(spark, trips_path, fmt)
     v = read_vendors(spark, vendors_path, fmt)
     return TripAnswers(
@@ -43,6 +43,14 @@ def create_parquet(spark: SparkSession, trips_csv: str, vendors_csv: str, out_di
     return conversions.convert_csv_to_parquet(spark, trips_csv, vendors_csv, out_dir, mode)
 
 
+def create_bucketed_tables(spark: SparkSession, trips_csv: str, vendors_csv: str, out_dir: str, buckets: int,
+                           trips_table: str = "trip_data", vendors_table: str = "trip_vendors",
+                           mode: str = "errorifexists") -> tuple[str, str]:
+    """Convert both trip tables to Parquet tables bucketed by ``id``; pass the names with ``fmt="table"``."""
+    return conversions.convert_csv_to_bucketed(spark, trips_csv, vendors_csv, out_dir, buckets, trips_table,
+                                               vendors_table, mode)
+
+
 def trip_vendor_sample_join(spark: SparkSession, trips_parquet: str, vendors_parquet: str, n: int = 100,
                             strategy: str | None = None) -> DataFrame:
     """Trips joined with the first ``n`` vendors by id (the join-strategy job).

@@ -14,7 +14,7 @@ from quarry.sources.readers import (
     read_vendors,
 )
 from quarry.sources.rejects import read_with_rejects, split_rejected
-from quarry.sources.writers import write_delimited, write_parquet, write_text
+from quarry.sources.writers import write_bucketed_table, write_delimited, write_parquet, write_text
 
 __all__ = [
     "load_table",
@@ -30,6 +30,7 @@ __all__ = [
     "read_vendors",
     "read_with_rejects",
     "split_rejected",
+    "write_bucketed_table",
     "write_delimited",
     "write_parquet",
     "write_text",

@@ -44,9 +44,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def load_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
                **options) -> DataFrame:
-    """Read a table as CSV (declared schema) or Parquet, chosen by ``fmt``."""
+    """Read a table as CSV (declared schema), Parquet, or a catalog table (``fmt="table"``, ``path`` is its name)."""
     if fmt == "parquet":
         return read_parquet(spark, path)
+    if fmt == "table":
+        return spark.table(path)
     if fmt in ("csv", "tsv"):
         sep = options.pop("sep", "\t" if fmt == "tsv" else ",")
         return read_delimited(spark, path, schema, sep=sep, **options)

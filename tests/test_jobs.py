@@ -63,3 +63,27 @@ def test_pair_joins_write_text(spark):
     lines = sorted(r.value for r in spark.read.text(f"{base}/out/repartition").collect())
     assert lines[0] == "1, a, x" and len(lines) == 6
     assert sorted(r.value for r in spark.read.text(f"{base}/out/broadcast").collect()) == lines
+
+
+def test_bucketed_tables_join_without_shuffle(spark, sf_small):
+    import uuid
+
+    from quarry.operators import plan_string
+
+    t, v = fx.trips(spark, sf_small), fx.vendors(spark, sf_small)
+    base = scratch_dir(spark, "job-bucket")
+    conversions.trips_to_csv(t, f"{base}/trips.csv")
+    write_delimited(v, f"{base}/vendors.csv")
+    tag = uuid.uuid4().hex[:8]
+    tn, vn = jobs.create_bucketed_tables(spark, f"{base}/trips.csv", f"{base}/vendors.csv", f"{base}/tables", 8,
+                                         f"trips_{tag}", f"vendors_{tag}")
+    try:
+        ans = jobs.trip_questions(spark, tn, vn, "table", strategy="merge", as_decimal=False)
+        plan = plan_string(ans.fastest_trips)
+        tree = plan.split("\n\n")[0]
+        assert "SortMergeJoin" in tree and "Exchange" not in tree
+        assert ans.fastest_trips.collect() == trips.fastest_trips(t, v).collect()
+        assert ans.max_cost_by_vendor.collect() == trips.max_cost_by_vendor(t, v).collect()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS trips_{tag}")
+        spark.sql(f"DROP TABLE IF EXISTS vendors_{tag}")
