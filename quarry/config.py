@@ -52,6 +52,8 @@ def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quar
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        # local runs only: catalog tables of the tests stay out of the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="quarry-warehouse-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
