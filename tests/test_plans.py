@@ -94,3 +94,18 @@ def test_calendar_by_year_and_iso_week(spark):
     by_year = searchlog.calendar_counts(s, "month", by_year=True).collect()
     assert [(r.year, r.month_of_year, r.searches_per_month) for r in by_year] == [(2006, 1, 1), (2006, 3, 1),
                                                                                    (2007, 3, 1)]
+
+
+@pytest.mark.parametrize("unit,duck_fn", [("day", "dayofyear"), ("week", "weekofyear"), ("month", "month")])
+def test_calendar_counts_over_years_match_duckdb(spark, sf_small, unit, duck_fn):
+    # the search log spans one month; order dates span 1995-2001 (all months, ISO week 53)
+    from oracle_check import duck
+
+    orders = fx.table(spark, sf_small, "orders").withColumnRenamed("o_orderdate", "date")
+    got = {tuple(r) for r in searchlog.calendar_counts(orders, unit, by_year=True).collect()}
+    con = duck(sf_small)
+    want = {tuple(r) for r in con.execute(
+        f"SELECT year(o_orderdate), {duck_fn}(o_orderdate), count(*) FROM orders GROUP BY 1, 2").fetchall()}
+    assert got == want
+    if unit == "week":
+        assert any(w == 53 for _, w, _ in got)
