@@ -54,5 +54,11 @@ def first_words(text: Column | str, n: int, sep: str = " ") -> Column:
 
 
 def words_between(text: Column | str, start: int, count: int, sep: str = " ", joiner: str = "_") -> Column:
-    """Tokens ``start .. start+count-1`` (1-based) joined by ``joiner``."""
-    return F.array_join(F.slice(split_words(text, sep), start, count), joiner)
+    """Tokens ``start .. start+count-1`` (1-based) joined by ``joiner``.
+
+    Equal to ``array_join(slice(split(text, sep), start, count), joiner)``: the
+    first ``start+count-1`` tokens of the text are the tokens of its first
+    ``start+count-1`` tokens, so only those are split into an array.
+    """
+    head = first_words(text, start + count - 1, sep)
+    return F.array_join(F.slice(split_words(head, sep), start, count), joiner)

@@ -96,7 +96,10 @@ def test_first_words_equals_slice_on_whole_documents(spark, sf_small):
     d = spark.read.parquet(f"{sf_small}/documents.parquet")
     diff = d.filter(first_words("text", 5) != F.array_join(F.slice(F.split("text", " "), 1, 5), " "))
     assert diff.count() == 0
-    assert d.select(words_between("text", 3, 4).alias("w")).filter(F.col("w").isNull()).count() == 0
+    full = F.array_join(F.slice(F.split("text", " "), 3, 4), "_")
+    assert d.filter(words_between("text", 3, 4) != full).count() == 0
+    edge = spark.createDataFrame([("",), ("a",), ("a b c",), (" a  b c d e f g",), ("a b c d e f",)], "text string")
+    assert edge.filter(~words_between("text", 3, 4).eqNullSafe(full)).count() == 0
 
 
 def test_parse_ntz(spark):
