@@ -22,7 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
@@ -51,6 +51,9 @@ def _row_bytes(df: DataFrame) -> Column:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (StringType, BinaryType)):
             parts.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("long") + F.lit(8))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            # nested values: their JSON text length is a fair upper estimate
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)).cast("long") + F.lit(16))
         else:
             parts.append(F.lit(_width(field.dataType) + 8))
     if not parts:
@@ -134,9 +137,10 @@ def limited_side_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]
                       order_by: Sequence[str] | str) -> DataFrame:
     """Join ``left`` with the first ``n`` rows of ``right`` in a stated order.
 
-    Ordering first makes the kept rows deterministic; ``n`` is a proven bound,
-    so the limited side is broadcast without a size check.
+    Ordering first makes the kept rows deterministic.  ``n`` bounds the rows
+    of the limited side, so up to ``BROADCAST_MAX_ROWS`` it is broadcast
+    without a check; a larger ``n`` is left to the planner (and AQE).
     """
     cols = [order_by] if isinstance(order_by, str) else list(order_by)
     small = right.orderBy(*cols).limit(n)
-    return left.join(F.broadcast(small), on)
+    return left.join(F.broadcast(small) if n <= BROADCAST_MAX_ROWS else small, on)

@@ -164,3 +164,9 @@ def test_range_sorted_spreads_a_hot_key(spark):
     per_part = out.groupBy("p").agg(F.min("w").alias("lo"), F.max("w").alias("hi")).orderBy("p").collect()
     for a, b in zip(per_part, per_part[1:]):
         assert a.hi <= b.lo
+
+
+def test_fits_broadcast_counts_nested_values(spark):
+    df = spark.range(100).select("id", F.array_repeat(F.lit("x" * 100), 50).alias("a"))
+    assert fits_broadcast(df, max_rows=1000, max_bytes=10**6)
+    assert not fits_broadcast(df, max_rows=1000, max_bytes=100 * 50 * 100)
