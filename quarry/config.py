@@ -35,7 +35,8 @@ class JobParams:
     export_files: int = 10
 
 
-def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry") -> SparkSession:
+def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry",
+            conf: dict[str, str] | None = None) -> SparkSession:
     """Local session used by tests and the bench.
 
     On a cluster the caller builds the session; the jobs never change session
@@ -55,6 +56,8 @@ def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quar
         # local runs only: catalog tables of the tests stay out of the working directory
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="quarry-warehouse-"))
     )
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
