@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quarry import fixtures as fx
 from quarry.config import JobParams
+from quarry.functions.sql import register_sql_functions
 from quarry.functions.text import split_first
 from quarry.functions.timefn import format_ntz, parse_ntz
 from quarry.operators.cleaning import clean_trips, drop_nulls
@@ -170,6 +171,20 @@ def q_parse_timestamps(spark: SparkSession, d: str) -> DataFrame:
     return s.select("event_id", "ts_text", parse_ntz("ts_text").alias("parsed"))
 
 
+def q_sql_functions(spark: SparkSession, d: str) -> DataFrame:
+    register_sql_functions(spark)
+    fx.trips(spark, d).createOrReplaceTempView("quarry_trips")
+    return spark.sql("""
+        SELECT id,
+               round(haversine(start_longitude, start_latitude, end_longitude, end_latitude), 6) AS distance_km,
+               round(duration_min(start_time, end_time), 6) AS duration_min
+        FROM quarry_trips
+        WHERE (start_latitude <> end_latitude OR start_longitude <> end_longitude)
+          AND end_time > start_time
+          AND start_latitude BETWEEN 40 AND 46 AND end_latitude BETWEEN 40 AND 46
+          AND start_longitude BETWEEN -80 AND -70 AND end_longitude BETWEEN -80 AND -70""")
+
+
 # ---------------------------------------------------------------- joins
 
 def q_repartition_join(spark: SparkSession, d: str) -> DataFrame:
@@ -198,6 +213,10 @@ def q_join_strategies(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def q_pair_files_join(spark: SparkSession, d: str) -> DataFrame:
+    return conversions.pair_files_join(spark, fx.order_pairs(spark, d), fx.lineitem_pairs(spark, d))
+
+
 def q_tagged_union(spark: SparkSession, d: str) -> DataFrame:
     return _tagged_union(fx.order_pairs(spark, d), fx.lineitem_pairs(spark, d))
 
@@ -265,4 +284,6 @@ QUERIES: dict[str, Query] = {
     "parse_timestamps": q_parse_timestamps,
     "search_row_number": q_search_row_number,
     "fastest_trips_nan_last": q_fastest_trips_nan_last,
+    "pair_files_join": q_pair_files_join,
+    "sql_functions": q_sql_functions,
 }

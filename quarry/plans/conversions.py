@@ -98,3 +98,19 @@ def title_word_export(spark: SparkSession, titles: DataFrame) -> DataFrame:
 
     path = export_title_words(titles, scratch_dir(spark, "title-words"))
     return read_delimited(spark, path, schemas.TITLES, sep="\t", header=True, multi_line=True)
+
+
+def pair_files_join(spark: SparkSession, left: DataFrame, right: DataFrame) -> DataFrame:
+    """Key/value sides written as tab-separated files, joined from the files, written as text lines.
+
+    Returns the ``k, lv, rv`` lines read back from the text output.
+    """
+    from quarry.operators.joins import format_pairs, repartition_join
+    from quarry.sources.readers import read_pairs
+
+    base = scratch_dir(spark, "pairs")
+    write_delimited(left.select("k", "v"), f"{base}/left", sep="\t")
+    write_delimited(right.select("k", "v"), f"{base}/right", sep="\t")
+    joined = repartition_join(read_pairs(spark, f"{base}/left"), read_pairs(spark, f"{base}/right"))
+    write_text(format_pairs(joined), f"{base}/out")
+    return spark.read.text(f"{base}/out")

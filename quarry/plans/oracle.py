@@ -186,4 +186,9 @@ SELECT {TRIP_COLS.replace('id,', 't.id,', 1)}, v.vendor FROM trips t JOIN vendor
     "csv_round_trip": _with(TRIPS) + f"SELECT {TRIP_COLS} FROM trips",
     "tsv_round_trip": _with(SEARCHES) + "SELECT userid, keywords, date, pos, url FROM searches",
     "rejected_rows": "SELECT CAST(event_id AS VARCHAR) id FROM events WHERE event_type = 'error'",
+    "pair_files_join": """
+SELECT concat_ws(', ', CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority, CAST(l.l_linenumber AS VARCHAR)) "value"
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
+    "sql_functions": _with(TRIPS, CLEAN) + f"""
+SELECT id, round({DIST}, 6) distance_km, round({DUR_MIN}, 6) duration_min FROM clean""",
 }
