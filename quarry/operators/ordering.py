@@ -9,6 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.config import checkpoint_dir
+
 
 def _cols(cols: Sequence[Column | str] | Column | str) -> list[Column]:
     if isinstance(cols, (str, Column)):
@@ -48,20 +50,28 @@ def dense_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "
     numbering is deterministic and survives recomputation of a lost partition.
     """
     order_cols = _cols(order)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_cols)
-    # both branches read the same range exchange (reused within the query):
-    # the counts need no sort, the numbering sorts each partition once
     numbered = (
         ranged.sortWithinPartitions(*order_cols)
         .withColumn("_pid", F.spark_partition_id())
         # monotonically_increasing_id = (partition index << 33) + position in partition
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
     )
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "true":
+        # both branches read the same range exchange (reused within the query):
+        # the counts need no sort, the numbering sorts each partition once
+        counted = ranged.select(F.spark_partition_id().alias("_pid"))
+    else:
+        # without exchange reuse the two branches could sample different range
+        # bounds: number once into the shared checkpoint folder, count from that copy
+        checkpoint_dir(spark)
+        numbered = numbered.checkpoint(eager=True)
+        counted = numbered.select("_pid")
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.select(F.spark_partition_id().alias("_pid"))
-        .groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+        counted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
         # at most one row per partition: bounded, safe to order in one task and broadcast
         .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     )

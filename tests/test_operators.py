@@ -170,3 +170,14 @@ def test_fits_broadcast_counts_nested_values(spark):
     df = spark.range(100).select("id", F.array_repeat(F.lit("x" * 100), 50).alias("a"))
     assert fits_broadcast(df, max_rows=1000, max_bytes=10**6)
     assert not fits_broadcast(df, max_rows=1000, max_bytes=100 * 50 * 100)
+
+
+def test_dense_row_number_without_exchange_reuse(spark, sf_small):
+    s = fx.searches(spark, sf_small).select("event_id", "userid")
+    want = s.withColumn("rn", F.row_number().over(Window.orderBy("userid", "event_id")))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = dense_row_number(s, ["userid", "event_id"], "rn", num_partitions=5)
+        assert sorted(got.collect()) == sorted(want.collect())
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
