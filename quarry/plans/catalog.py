@@ -241,6 +241,11 @@ def q_tsv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return conversions.tsv_round_trip(spark, fx.searches(spark, d))
 
 
+def q_text_line_parse(spark: SparkSession, d: str) -> DataFrame:
+    out = conversions.parse_trip_text(spark, fx.table(spark, d, "events"))
+    return _trip_cols(out)
+
+
 def q_rejected_rows(spark: SparkSession, d: str) -> DataFrame:
     _, rejected = conversions.rejected_trip_lines(spark, fx.table(spark, d, "events"))
     return rejected.select("id")
@@ -286,4 +291,5 @@ QUERIES: dict[str, Query] = {
     "fastest_trips_nan_last": q_fastest_trips_nan_last,
     "pair_files_join": q_pair_files_join,
     "sql_functions": q_sql_functions,
+    "text_line_parse": q_text_line_parse,
 }

@@ -114,3 +114,14 @@ def pair_files_join(spark: SparkSession, left: DataFrame, right: DataFrame) -> D
     joined = repartition_join(read_pairs(spark, f"{base}/left"), read_pairs(spark, f"{base}/right"))
     write_text(format_pairs(joined), f"{base}/out")
     return spark.read.text(f"{base}/out")
+
+
+def parse_trip_text(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Raw trip lines written as text, read back line by line and split into typed fields.
+
+    Unparseable fields (the start time of error events) come back as null.
+    """
+    from quarry.sources.readers import parse_trip_lines, read_lines
+
+    path = write_text(trip_lines(events), scratch_dir(spark, "trip-text"), mode="errorifexists")
+    return parse_trip_lines(read_lines(spark, path), TIME_FORMAT)

@@ -189,6 +189,13 @@ SELECT {TRIP_COLS.replace('id,', 't.id,', 1)}, v.vendor FROM trips t JOIN vendor
     "pair_files_join": """
 SELECT concat_ws(', ', CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority, CAST(l.l_linenumber AS VARCHAR)) "value"
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
+    "text_line_parse": f"""
+SELECT CAST(event_id AS VARCHAR) id,
+  CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END start_time,
+  date_trunc('second', ts) + INTERVAL 60 SECOND end_time,
+  {_LON0} start_longitude, {_LAT0} start_latitude, {_LON0} end_longitude, {_LAT0} end_latitude,
+  CAST(CAST(value AS FLOAT) AS DOUBLE) cost
+FROM events""",
     "sql_functions": _with(TRIPS, CLEAN) + f"""
 SELECT id, round({DIST}, 6) distance_km, round({DUR_MIN}, 6) duration_min FROM clean""",
 }
