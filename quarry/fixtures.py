@@ -1,10 +1,11 @@
 """Job inputs derived from the test tables (``events``, ``documents``).
 
 The trip, vendor, search-log, title and stop-word inputs have no counterpart
-among the test tables, so they are derived from them with narrow projections;
-the same derivations are written in DuckDB SQL for the oracle
-(``quarry.oracle``).  Every derived row comes from a table row, so the work
-grows with the tables.
+among the test tables, so they are derived from them: projections of
+``events`` and ``documents``, and for the search log one join of events with
+per-document keywords.  The same derivations are written in DuckDB SQL for the
+oracle (``quarry.plans.oracle``).  Every derived row comes from a table row,
+so the work grows with the tables.
 """
 
 from __future__ import annotations

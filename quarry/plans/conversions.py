@@ -25,8 +25,8 @@ def trips_to_csv(trips: DataFrame, path: str, mode: str = "errorifexists") -> st
 def convert_csv_to_parquet(spark: SparkSession, trips_csv: str, vendors_csv: str, out_dir: str,
                            mode: str = "errorifexists") -> tuple[str, str]:
     """Read both trip tables as CSV with their declared schemas and write them as Parquet."""
-    trips_out = f"{out_dir.rstrip('/')}/tripData.parquet"
-    vendors_out = f"{out_dir.rstrip('/')}/tripVendors.parquet"
+    trips_out = f"{out_dir.rstrip('/')}/trips.parquet"
+    vendors_out = f"{out_dir.rstrip('/')}/vendors.parquet"
     write_parquet(read_trips(spark, trips_csv, "csv"), trips_out, mode)
     write_parquet(read_vendors(spark, vendors_csv, "csv"), vendors_out, mode)
     return trips_out, vendors_out
