@@ -70,7 +70,9 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
     First ``offset(max_rows).isEmpty()``: a ``CollectLimit`` that scans
     partitions incrementally and stops after ``max_rows + 1`` rows, so a large
     input is never read in full.  Only when the row bound holds are the bytes
-    summed (over at most ``max_rows`` rows).
+    summed (over at most ``max_rows`` rows).  Both checks execute ``df``'s
+    plan; when that plan is costly (an aggregation, a join), persist ``df``
+    first so the join does not compute it again.
     """
     if not df.offset(max_rows).isEmpty():
         return False
