@@ -119,3 +119,13 @@ def test_sql_functions_match_column_expressions(spark):
     assert sorted(sql.collect()) == sorted(col.collect())
     # SQL UDFs are inlined: no UDF operator in the plan
     assert "PythonUDF" not in plan_string(sql, "formatted")
+
+
+def test_split_separator_is_literal(spark):
+    df = spark.createDataFrame([("a|b.c||d",)], "t string")
+    row = df.select(split_words("t", "|").alias("p"), split_words("t", ".").alias("d"),
+                    split_words("t", "||").alias("m"), split_first("t", ".").alias("f")).first()
+    assert row.p == ["a", "b.c", "", "d"]
+    assert row.d == ["a|b", "c||d"]
+    assert row.m == ["a|b.c", "d"]
+    assert row.f == ["a|b", "c||d"]
