@@ -35,6 +35,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Fal
         n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         out = range_sorted(df, n, sort_by, tie_break)
     elif num_files:
+        # round-robin; retry-safe through spark.sql.execution.sortBeforeRepartition (on by default)
         out = df.repartition(num_files)
     keep = list(columns) if columns is not None else df.columns
     (
