@@ -32,7 +32,7 @@ class JobParams:
     popular_min_visitors: int = 10
     popular_top: int = 100
     keyword_top: int = 50
-    export_files: int = 10
+    export_files: int | None = 10  # None: file count sized by AQE from the data
 
 
 def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry",

@@ -82,16 +82,19 @@ def dense_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "
     )
 
 
-def range_sorted(df: DataFrame, n: int, keys: Sequence[Column | str],
+def range_sorted(df: DataFrame, n: int | None, keys: Sequence[Column | str],
                  tie_break: Sequence[Column | str] = ()) -> DataFrame:
-    """``n`` partitions holding consecutive key ranges, each sorted: a globally sorted layout.
+    """Partitions holding consecutive key ranges, each sorted: a globally sorted layout.
 
-    Partition boundaries use ``keys`` plus ``tie_break`` so one very frequent
-    key can span several partitions instead of filling one; rows stay in key
-    order across partitions.
+    ``n`` fixes the partition count; ``None`` lets AQE size the partitions from
+    the data (advisory partition size), which suits large outputs.  Partition
+    boundaries use ``keys`` plus ``tie_break`` so one very frequent key can
+    span several partitions instead of filling one; rows stay in key order
+    across partitions.
     """
     part_cols = _cols(keys) + _cols(tie_break)
-    return df.repartitionByRange(n, *part_cols).sortWithinPartitions(*part_cols)
+    ranged = df.repartitionByRange(*part_cols) if n is None else df.repartitionByRange(n, *part_cols)
+    return ranged.sortWithinPartitions(*part_cols)
 
 
 @contextmanager

@@ -23,17 +23,16 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Fal
                     time_format: str = WRITE_TIME_FORMAT) -> str:
     """Write CSV/TSV.
 
-    With ``sort_by`` and ``num_files`` the rows are range-partitioned into
-    ``num_files`` files, each sorted, so reading the files in name order gives
-    the global order (a sort followed by a round-robin repartition would lose
-    it).  ``tie_break`` columns only shape file boundaries (not written unless
+    With ``sort_by`` the rows are range-partitioned into ``num_files`` files
+    (``None``: as many as AQE's partition sizing gives), each sorted, so
+    reading the files in name order gives the global order (a sort followed by
+    a round-robin repartition would lose it).  ``tie_break`` columns only shape file boundaries (not written unless
     in ``columns``): a frequent key can then spread over several files.
     ``columns`` are the columns written (default: all).
     """
     out = df
     if sort_by:
-        n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = range_sorted(df, n, sort_by, tie_break)
+        out = range_sorted(df, num_files, sort_by, tie_break)
     elif num_files:
         # round-robin; retry-safe through spark.sql.execution.sortBeforeRepartition (on by default)
         out = df.repartition(num_files)

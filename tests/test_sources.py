@@ -144,3 +144,23 @@ def test_persisted_unpersists_after_block(spark, sf_small):
         assert cached.is_cached
         assert cached.count() == 1000
     assert not t.is_cached
+
+
+def test_export_with_aqe_sized_files(spark, sf_small):
+    from quarry.config import JobParams
+
+    path = export_title_words(fx.titles(spark, sf_small), scratch_dir(spark, "words-aqe"),
+                              JobParams(export_files=None))
+    files = sorted(glob.glob(os.path.join(path, "part-*.csv")))
+    assert 1 <= len(files)
+    words = []
+    for fpath in files:
+        part = spark.read.csv(fpath, sep="\t", header=True, multiLine=True, schema=schemas.TITLES)
+        words.extend(r.title for r in part.collect())
+    assert words == sorted(words) and len(words) == searchlog_words(spark, sf_small)
+
+
+def searchlog_words(spark, sf_small):
+    from quarry.plans.searchlog import title_words
+
+    return title_words(fx.titles(spark, sf_small)).count()
