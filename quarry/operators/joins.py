@@ -130,6 +130,26 @@ def tagged_union(left: DataFrame, right: DataFrame, key: str = "k", left_tag: in
     return l.unionByName(r)
 
 
+def tagged_repartition_join(left: DataFrame, right: DataFrame, key: str = "k",
+                            num_partitions: int | None = None) -> DataFrame:
+    """The repartition join in its explicit form: tag, union, shuffle by key, merge.
+
+    Both sides are tagged and unioned, the union is hash-partitioned on the
+    key, and the two tags are split back out.  Catalyst prunes the union
+    through the tag filters, so each side is partitioned on the key once and
+    the sort-merge join adds no further shuffle: every row moves exactly once,
+    as in the textbook repartition join.  Rows of a key are streamed by the
+    merge (spilling when large), never gathered into lists.  Output ``k, lv, rv``.
+    Prefer :func:`repartition_join` when AQE should split a hot key (a
+    user-numbered repartition is not split).
+    """
+    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    u = tagged_union(left, right, key).repartition(n, "k")
+    l = u.filter(F.col("tag") == 0).select("k", F.col("v").alias("lv"))
+    r = u.filter(F.col("tag") == 1).select("k", F.col("v").alias("rv"))
+    return l.join(r.hint("merge"), "k").select("k", "lv", "rv")
+
+
 def format_pairs(joined: DataFrame, sep: str = ", ") -> DataFrame:
     """Text lines ``k, lv, rv`` of a pair join (what the text sink writes)."""
     return joined.select(F.concat_ws(sep, "k", "lv", "rv").alias("value"))

@@ -22,6 +22,7 @@ from quarry.functions.timefn import format_ntz, parse_ntz
 from quarry.operators.cleaning import clean_trips, drop_nulls
 from quarry.operators.joins import STRATEGIES, broadcast_join, join, limited_side_join
 from quarry.operators.joins import repartition_join as _repartition_join
+from quarry.operators.joins import tagged_repartition_join
 from quarry.operators.joins import tagged_union as _tagged_union
 from quarry.operators.ordering import dense_row_number
 from quarry.plans import conversions, searchlog, trips
@@ -192,6 +193,10 @@ def q_repartition_join(spark: SparkSession, d: str) -> DataFrame:
     return j.select("k", "lv", "rv", F.concat_ws(", ", F.col("k").cast("string"), "lv", "rv").alias("line"))
 
 
+def q_tagged_repartition_join(spark: SparkSession, d: str) -> DataFrame:
+    return tagged_repartition_join(fx.order_pairs(spark, d), fx.lineitem_pairs(spark, d))
+
+
 def q_broadcast_join(spark: SparkSession, d: str) -> DataFrame:
     j = broadcast_join(fx.customer_pairs(spark, d), fx.nation_pairs(spark, d))
     return j.select("k", "lv", "rv", F.concat_ws(", ", F.col("k").cast("string"), "lv", "rv").alias("line"))
@@ -292,4 +297,5 @@ QUERIES: dict[str, Query] = {
     "pair_files_join": q_pair_files_join,
     "sql_functions": q_sql_functions,
     "text_line_parse": q_text_line_parse,
+    "tagged_repartition_join": q_tagged_repartition_join,
 }

@@ -163,6 +163,9 @@ SELECT event_id, ts_text, try_strptime(ts_text, '%Y-%m-%d %H:%M:%S') parsed FROM
     "repartition_join": """
 SELECT o.o_orderkey k, o.o_orderpriority lv, CAST(l.l_linenumber AS VARCHAR) rv,
   concat_ws(', ', CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority, CAST(l.l_linenumber AS VARCHAR)) line
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
+    "tagged_repartition_join": """
+SELECT o.o_orderkey k, o.o_orderpriority lv, CAST(l.l_linenumber AS VARCHAR) rv
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
     "broadcast_join": """
 SELECT c.c_nationkey k, c.c_name lv, n.n_name rv,

@@ -68,8 +68,11 @@ def _pairs(spark):
 
 
 def test_pair_joins_agree(spark):
+    from quarry.operators import tagged_repartition_join
+
     l, r = _pairs(spark)
     rep = sorted(repartition_join(l, r).collect())
+    assert sorted(tagged_repartition_join(l, r).collect()) == rep
     bc = sorted(broadcast_join(l, r).collect())
     assert rep == bc
     assert len(rep) == 2 * 3 + 1          # key a: 2 x 3, key b: 1, c and d: none
@@ -181,3 +184,12 @@ def test_dense_row_number_without_exchange_reuse(spark, sf_small):
         assert sorted(got.collect()) == sorted(want.collect())
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_tagged_repartition_join_moves_each_row_once(spark, sf_small):
+    from quarry.operators import plan_string, tagged_repartition_join
+
+    j = tagged_repartition_join(fx.order_pairs(spark, sf_small), fx.lineitem_pairs(spark, sf_small))
+    tree = plan_string(j).split("\n\n")[0]
+    assert tree.count("Exchange") == 2 and "SortMergeJoin" in tree
+    assert j.count() == repartition_join(fx.order_pairs(spark, sf_small), fx.lineitem_pairs(spark, sf_small)).count()
