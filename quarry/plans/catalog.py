@@ -174,16 +174,17 @@ def q_parse_timestamps(spark: SparkSession, d: str) -> DataFrame:
 
 def q_sql_functions(spark: SparkSession, d: str) -> DataFrame:
     register_sql_functions(spark)
-    fx.trips(spark, d).createOrReplaceTempView("quarry_trips")
+    # the trips frame is bound into the SQL text directly: no shared temp view name
     return spark.sql("""
         SELECT id,
                round(haversine(start_longitude, start_latitude, end_longitude, end_latitude), 6) AS distance_km,
                round(duration_min(start_time, end_time), 6) AS duration_min
-        FROM quarry_trips
+        FROM {trips}
         WHERE (start_latitude <> end_latitude OR start_longitude <> end_longitude)
           AND end_time > start_time
           AND start_latitude BETWEEN 40 AND 46 AND end_latitude BETWEEN 40 AND 46
-          AND start_longitude BETWEEN -80 AND -70 AND end_longitude BETWEEN -80 AND -70""")
+          AND start_longitude BETWEEN -80 AND -70 AND end_longitude BETWEEN -80 AND -70""",
+                     trips=fx.trips(spark, d))
 
 
 # ---------------------------------------------------------------- joins
