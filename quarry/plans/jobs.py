@@ -15,7 +15,7 @@ from quarry.config import JobParams
 from quarry.operators.joins import broadcast_join, format_pairs, join, limited_side_join, repartition_join
 from quarry.plans import conversions, searchlog, trips
 from quarry.sources.readers import read_pairs, read_searches, read_stop_words, read_titles, read_trips, read_vendors
-from quarry.sources.writers import write_text
+from quarry.sources.writers import write_parquet, write_text
 
 
 @dataclass(frozen=True)
@@ -81,13 +81,18 @@ class SearchProfile:
 
 def search_profile(spark: SparkSession, log_path: str, titles_path: str, stops_path: str,
                    p: JobParams = JobParams(), stops_header: bool = False, id_col: str | None = None,
-                   multi_line: bool = False) -> SearchProfile:
+                   multi_line: bool = False, stage_dir: str | None = None) -> SearchProfile:
     """The search-log questions over a TSV log (with header), a titles CSV and a stop-word list.
 
     The log needs a unique row key for the title match: ``id_col`` names it;
     without one, a key is derived from each row's position in its input file
     split (stable across recomputation of the file scan).  ``multi_line``
     accepts quoted fields with line breaks (such files are not split).
+
+    The nine answers each scan the log.  With ``stage_dir`` (a shared folder)
+    the log and titles are parsed once and written there as Parquet; every
+    answer then reads only its columns from that copy instead of re-parsing
+    the text, and the copy survives executor loss, unlike a cache.
     """
     from pyspark.sql import functions as F
 
@@ -96,6 +101,10 @@ def search_profile(spark: SparkSession, log_path: str, titles_path: str, stops_p
         id_col = "row_key"
         log = log.withColumn(id_col, F.monotonically_increasing_id())
     titles = read_titles(spark, titles_path, multi_line=multi_line)
+    if stage_dir:
+        base = stage_dir.rstrip("/")
+        log = spark.read.parquet(write_parquet(log, f"{base}/searches.parquet"))
+        titles = spark.read.parquet(write_parquet(titles, f"{base}/titles.parquet"))
     stops = read_stop_words(spark, stops_path, header=stops_header)
     return SearchProfile(
         searchlog.calendar_counts(log, "day"),

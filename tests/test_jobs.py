@@ -48,6 +48,11 @@ def test_search_profile_from_files(spark, sf_small):
     assert prof.title_first_letters.collect() == searchlog.title_first_letters(titles.select("title")).collect()
     want = searchlog.search_title_match(s, titles, fx.stop_words(spark)).collect()
     assert prof.title_match.collect() == want
+    staged = jobs.search_profile(spark, f"{base}/log", f"{base}/titles", f"{base}/stops", multi_line=True,
+                                 stage_dir=f"{base}/stage")
+    assert staged.title_match.collect() == want
+    assert staged.keyword_counts.collect() == prof.keyword_counts.collect()
+    assert os.path.isdir(f"{base}/stage/searches.parquet")
 
 
 def test_pair_joins_write_text(spark):
