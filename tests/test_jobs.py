@@ -83,6 +83,9 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_small):
     tn, vn = jobs.create_bucketed_tables(spark, f"{base}/trips.csv", f"{base}/vendors.csv", f"{base}/tables", 8,
                                          f"trips_{tag}", f"vendors_{tag}")
     try:
+        import glob
+
+        assert len(glob.glob(f"{base}/tables/trips_{tag}/*.parquet")) == 8  # one file per bucket
         ans = jobs.trip_questions(spark, tn, vn, "table", strategy="merge", as_decimal=False)
         plan = plan_string(ans.fastest_trips)
         tree = plan.split("\n\n")[0]
