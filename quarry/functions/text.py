@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+from quarry.functions._columns import col_of
 
 
 def is_printable_word(word: Column | str) -> Column:
@@ -17,13 +15,13 @@ def is_printable_word(word: Column | str) -> Column:
     non-ASCII first character, so one range test covers every case; the
     ``coalesce`` turns a null word into false.
     """
-    return F.coalesce(F.ascii(_c(word)).between(33, 126), F.lit(False))
+    return F.coalesce(F.ascii(col_of(word)).between(33, 126), F.lit(False))
 
 
 def first_letter_class(word: Column | str) -> Column:
     """Class of the first character: the letter upper-cased (``A``..``Z``), ``0Number`` or ``!Symbol``."""
-    code = F.ascii(_c(word))
-    first = F.substring(_c(word), 1, 1)
+    code = F.ascii(col_of(word))
+    first = F.substring(col_of(word), 1, 1)
     return (
         F.when(code.between(65, 90) | code.between(97, 122), F.upper(first))
         .when(code.between(48, 57), F.lit("0Number"))
@@ -34,13 +32,13 @@ def first_letter_class(word: Column | str) -> Column:
 def split_words(text: Column | str, sep: str = " ") -> Column:
     """Split on a literal separator, keeping empty tokens (``'a  b '`` -> ``a,'',b,''``)."""
     pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
-    return F.split(_c(text), pattern)
+    return F.split(col_of(text), pattern)
 
 
 def split_first(text: Column | str, sep: str = ",") -> Column:
     """Split only on the first separator: ``[head, rest]`` (rest null when absent)."""
     pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
-    return F.split(_c(text), pattern, 2)
+    return F.split(col_of(text), pattern, 2)
 
 
 def first_words(text: Column | str, n: int, sep: str = " ") -> Column:
@@ -50,7 +48,7 @@ def first_words(text: Column | str, n: int, sep: str = " ") -> Column:
     (a text with fewer tokens is returned whole), but without materialising an
     array of every token of a long document.
     """
-    return F.substring_index(_c(text), sep, n)
+    return F.substring_index(col_of(text), sep, n)
 
 
 def words_between(text: Column | str, start: int, count: int, sep: str = " ", joiner: str = "_") -> Column:

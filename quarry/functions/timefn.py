@@ -10,16 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.config import TIME_FORMAT
-
+from quarry.functions._columns import col_of
 
-def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+from quarry.config import TIME_FORMAT
 
 
 def duration_sec(start: Column | str, end: Column | str) -> Column:
     """Whole seconds from ``start`` to ``end`` (negative when reversed)."""
-    return F.timestamp_diff("SECOND", _c(start), _c(end))
+    return F.timestamp_diff("SECOND", col_of(start), col_of(end))
 
 
 def duration_min(start: Column | str, end: Column | str) -> Column:
@@ -33,7 +31,7 @@ def speed_kmh(distance_km: Column | str, minutes: Column | str) -> Column:
     ``try_divide`` gives null instead of an ANSI error on a zero duration; on
     cleaned trips the duration is always positive.
     """
-    return F.try_divide(_c(distance_km), _c(minutes) / F.lit(60.0))
+    return F.try_divide(col_of(distance_km), col_of(minutes) / F.lit(60.0))
 
 
 def parse_ntz(text: Column | str, fmt: str = TIME_FORMAT) -> Column:
@@ -43,9 +41,9 @@ def parse_ntz(text: Column | str, fmt: str = TIME_FORMAT) -> Column:
     involved) and, in its default permissive mode, yields null for bad text.
     """
     opts = {"timestampNTZFormat": fmt, "mode": "PERMISSIVE", "sep": "\u0001", "quote": "\u0000"}
-    return F.from_csv(_c(text), "t TIMESTAMP_NTZ", opts).getField("t")
+    return F.from_csv(col_of(text), "t TIMESTAMP_NTZ", opts).getField("t")
 
 
 def format_ntz(ts: Column | str, fmt: str = TIME_FORMAT) -> Column:
     """Render a timestamp with a pattern."""
-    return F.date_format(_c(ts), fmt)
+    return F.date_format(col_of(ts), fmt)
