@@ -97,7 +97,7 @@ def stop_words(spark: SparkSession) -> DataFrame:
     statistics and would be planned as a sort-merge join).
     """
     words = F.array(*[F.lit(w) for w in FIXTURE_STOP_WORDS])
-    return spark.range(1).select(F.explode(words).alias("stopWords"))
+    return spark.range(0, 1, 1, numPartitions=1).select(F.explode(words).alias("stopWords"))
 
 
 def order_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,8 +132,15 @@ def search_words(searches: DataFrame, id_col: str = "event_id") -> DataFrame:
     )
 
 
-def remove_stop_words(words: DataFrame, stops: DataFrame, word_col: str = "title", strategy: str = "auto") -> DataFrame:
-    """Anti join: drop rows whose word is a stop word (case-sensitive)."""
+def remove_stop_words(words: DataFrame, stops: DataFrame, word_col: str = "title",
+                      strategy: str = "broadcast") -> DataFrame:
+    """Anti join: drop rows whose word is a stop word (case-sensitive).
+
+    A stop list is small, so by default it is broadcast once its size is
+    proven (``fits_broadcast``); the hint holds even when the session disables
+    automatic broadcasts, and a list beyond the bound falls back to a
+    sort-merge anti join.
+    """
     s = hinted(stops.select(F.col("stopWords")), strategy)
     return words.join(s, F.col(word_col) == F.col("stopWords"), "left_anti")
 
