@@ -110,3 +110,16 @@ def test_calendar_counts_over_years_match_duckdb(spark, sf_small, unit, duck_fn)
     assert got == want
     if unit == "week":
         assert any(w == 53 for _, w, _ in got)
+
+
+def test_stop_list_broadcast_even_without_auto_broadcast(spark, sf_small):
+    from quarry.operators import join_operators
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        words = searchlog.search_words(fx.searches(spark, sf_small))
+        ops = join_operators(searchlog.remove_stop_words(words, fx.stop_words(spark)))
+        assert "BroadcastHashJoin LeftAnti" in ops
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
