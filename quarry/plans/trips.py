@@ -94,17 +94,21 @@ def max_cost_by_vendor(trips: DataFrame, vendors: DataFrame, p: JobParams = JobP
 
 
 def fastest_trips(trips: DataFrame, vendors: DataFrame, p: JobParams = JobParams(), strategy: str = "auto",
-                  nan_last: bool = False, clean: bool = True) -> DataFrame:
+                  nan_last: bool = False, clean: bool = True, details: bool = False) -> DataFrame:
     """The ``k`` fastest trips that start after day ``fastest_after_day`` of a month.
 
-    Output ``id, start_time, vendor, speed_kmh``, fastest first, ties by id.
+    Output ``id, start_time, vendor, speed_kmh`` (with ``details`` also
+    ``distance_km`` and ``duration_sec``), fastest first, ties by id.
     Cleaning, the day filter and the speed are evaluated on the trip side
     before the join; the join output feeds a ``TakeOrderedAndProject``.
     ``nan_last`` orders NaN and null speeds after every number.
     """
     t = clean_trips(trips, p) if clean else trips
     t = with_speed(t.filter(F.dayofmonth("start_time") > p.fastest_after_day), p)
-    t = t.select("id", "start_time", SPEED_KMH)
+    extra = [DISTANCE_KM, DURATION_SEC] if details else []
+    if details:
+        t = t.withColumn(DURATION_SEC, duration_sec("start_time", "end_time"))
+    t = t.select("id", "start_time", SPEED_KMH, *extra)
     joined = t.join(hinted(vendors.select("id", "vendor"), strategy), "id")
     speed = desc_nan_last(SPEED_KMH) if nan_last else F.col(SPEED_KMH).desc()
-    return top_k(joined, p.fastest_k, [speed, F.col("id")]).select("id", "start_time", "vendor", SPEED_KMH)
+    return top_k(joined, p.fastest_k, [speed, F.col("id")]).select("id", "start_time", "vendor", SPEED_KMH, *extra)

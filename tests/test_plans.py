@@ -123,3 +123,12 @@ def test_stop_list_broadcast_even_without_auto_broadcast(spark, sf_small):
         assert "BroadcastHashJoin LeftAnti" in ops
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_fastest_trips_details(spark, sf_small):
+    t, v = fx.trips(spark, sf_small), fx.vendors(spark, sf_small)
+    plain = trips.fastest_trips(t, v).collect()
+    rich = trips.fastest_trips(t, v, details=True).collect()
+    assert [r.id for r in rich] == [r.id for r in plain]
+    for r in rich:
+        assert abs(r.speed_kmh - r.distance_km / (r.duration_sec / 3600.0)) < 1e-6 * r.speed_kmh
