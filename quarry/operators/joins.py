@@ -81,14 +81,18 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
 
 
 def hinted(right: DataFrame, strategy: str, max_rows: int = BROADCAST_MAX_ROWS,
-           max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """The right side with the hint for ``strategy`` (checked for ``broadcast``)."""
+           max_bytes: int = BROADCAST_MAX_BYTES, bounded: bool = False) -> DataFrame:
+    """The right side with the hint for ``strategy`` (checked for ``broadcast``).
+
+    ``bounded=True`` states that the side is small by construction (a literal
+    list, a ``limit``): it is then broadcast without running the check.
+    """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}; expected one of {STRATEGIES}")
     if strategy == "auto":
         return right
     if strategy == "broadcast":
-        if fits_broadcast(right, max_rows, max_bytes):
+        if bounded or fits_broadcast(right, max_rows, max_bytes):
             return F.broadcast(right)
         return right.hint("merge")
     return right.hint(strategy)

@@ -133,7 +133,9 @@ def q_distinct_words(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _non_stop_words(spark: SparkSession, d: str) -> DataFrame:
-    return searchlog.remove_stop_words(searchlog.search_words(fx.searches(spark, d)), fx.stop_words(spark))
+    # the fixture stop list is a literal list of six words: bounded by construction
+    return searchlog.remove_stop_words(searchlog.search_words(fx.searches(spark, d)), fx.stop_words(spark),
+                                       stops_bounded=True)
 
 
 def q_remove_stop_words(spark: SparkSession, d: str) -> DataFrame:
@@ -145,7 +147,8 @@ def q_dedup_by_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_search_title_match(spark: SparkSession, d: str) -> DataFrame:
-    out = searchlog.search_title_match(fx.searches(spark, d), fx.titles(spark, d), fx.stop_words(spark))
+    out = searchlog.search_title_match(fx.searches(spark, d), fx.titles(spark, d), fx.stop_words(spark),
+                                       stops_bounded=True)
     return out.select("matched", "searchable", _r("match_pct"))
 
 

@@ -133,15 +133,15 @@ def search_words(searches: DataFrame, id_col: str = "event_id") -> DataFrame:
 
 
 def remove_stop_words(words: DataFrame, stops: DataFrame, word_col: str = "title",
-                      strategy: str = "broadcast") -> DataFrame:
+                      strategy: str = "broadcast", stops_bounded: bool = False) -> DataFrame:
     """Anti join: drop rows whose word is a stop word (case-sensitive).
 
     A stop list is small, so by default it is broadcast once its size is
-    proven (``fits_broadcast``); the hint holds even when the session disables
-    automatic broadcasts, and a list beyond the bound falls back to a
-    sort-merge anti join.
+    proven (``fits_broadcast``), or at once when ``stops_bounded`` says it is
+    a literal list; the hint holds even when the session disables automatic
+    broadcasts, and a list beyond the bound falls back to a sort-merge anti join.
     """
-    s = hinted(stops.select(F.col("stopWords")), strategy)
+    s = hinted(stops.select(F.col("stopWords")), strategy, bounded=stops_bounded)
     return words.join(s, F.col(word_col) == F.col("stopWords"), "left_anti")
 
 
@@ -151,7 +151,7 @@ def distinct_title_words(titles: DataFrame) -> DataFrame:
 
 
 def search_title_match(searches: DataFrame, titles: DataFrame, stops: DataFrame, id_col: str = "event_id",
-                       strategy: str = "auto") -> DataFrame:
+                       strategy: str = "auto", stops_bounded: bool = False) -> DataFrame:
     """Share of searches with a non-stop keyword that equals some title word.
 
     Output ``matched``, ``searchable`` (searches with at least one printable
@@ -159,7 +159,7 @@ def search_title_match(searches: DataFrame, titles: DataFrame, stops: DataFrame,
     left-joined with the distinct title vocabulary and flagged, flags are
     folded per search (partially, before the shuffle on the id), then counted.
     """
-    words = remove_stop_words(search_words(searches, id_col), stops)
+    words = remove_stop_words(search_words(searches, id_col), stops, stops_bounded=stops_bounded)
     vocab = distinct_title_words(titles).withColumn("hit", F.lit(1))
     per_search = (
         words.join(hinted(vocab, strategy), "title", "left")

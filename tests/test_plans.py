@@ -121,6 +121,8 @@ def test_stop_list_broadcast_even_without_auto_broadcast(spark, sf_small):
         words = searchlog.search_words(fx.searches(spark, sf_small))
         ops = join_operators(searchlog.remove_stop_words(words, fx.stop_words(spark)))
         assert "BroadcastHashJoin LeftAnti" in ops
+        ops = join_operators(searchlog.remove_stop_words(words, fx.stop_words(spark), stops_bounded=True))
+        assert "BroadcastHashJoin LeftAnti" in ops
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
