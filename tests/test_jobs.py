@@ -95,3 +95,20 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_small):
     finally:
         spark.sql(f"DROP TABLE IF EXISTS trips_{tag}")
         spark.sql(f"DROP TABLE IF EXISTS vendors_{tag}")
+
+
+def test_export_titles_from_file(spark, sf_small):
+    import glob
+
+    titles = fx.titles(spark, sf_small)
+    base = scratch_dir(spark, "job-export")
+    write_delimited(titles.select("title"), f"{base}/titles", header=True)
+    out = jobs.export_titles(spark, f"{base}/titles", f"{base}/out", multi_line=True)
+    files = sorted(glob.glob(f"{out}/part-*.csv"))
+    assert len(files) == 10
+    words = []
+    for fpath in files:
+        part = spark.read.csv(fpath, sep="\t", header=True, multiLine=True, schema=schemas.TITLES)
+        words.extend(r.title for r in part.collect())
+    want = sorted(r.title for r in searchlog.title_words(titles).collect())
+    assert words == want
