@@ -27,12 +27,14 @@ _CALENDAR = {
 def calendar_counts(searches: DataFrame, unit: str, by_year: bool = False) -> DataFrame:
     """Searches per day of year, ISO week or month, ordered by that key.
 
-    Like the original job the year is not part of the key unless ``by_year``.
+    Like the original job the year is not part of the key unless ``by_year``;
+    ISO weeks are then keyed by their ISO week-year (2006-01-01 is week 52 of 2005).
     """
     fn, key, name = _CALENDAR[unit]
     keys = [fn("date").alias(key)]
     if by_year:
-        keys = [F.year("date").alias("year")] + keys
+        year = F.expr("extract(YEAROFWEEK FROM date)") if unit == "week" else F.year("date")
+        keys = [year.alias("year")] + keys
     out = searches.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return out.orderBy(*[k for k in (["year"] if by_year else [])], key)
 

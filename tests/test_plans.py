@@ -90,6 +90,8 @@ def test_calendar_by_year_and_iso_week(spark):
     s = spark.createDataFrame(rows, "date timestamp_ntz")
     weeks = {r.week_of_year: r.searches_per_week for r in searchlog.calendar_counts(s, "week").collect()}
     assert weeks[52] == 1
+    iso = {(r.year, r.week_of_year) for r in searchlog.calendar_counts(s, "week", by_year=True).collect()}
+    assert (2005, 52) in iso
     days = {r.day_of_year: r.searches_per_day for r in searchlog.calendar_counts(s, "day").collect()}
     assert days[60] == 2
     by_year = searchlog.calendar_counts(s, "month", by_year=True).collect()
@@ -97,8 +99,9 @@ def test_calendar_by_year_and_iso_week(spark):
                                                                                    (2007, 3, 1)]
 
 
-@pytest.mark.parametrize("unit,duck_fn", [("day", "dayofyear"), ("week", "weekofyear"), ("month", "month")])
-def test_calendar_counts_over_years_match_duckdb(spark, sf_small, unit, duck_fn):
+@pytest.mark.parametrize("unit,duck_fn,duck_year", [("day", "dayofyear", "year"), ("week", "weekofyear", "isoyear"),
+                                                    ("month", "month", "year")])
+def test_calendar_counts_over_years_match_duckdb(spark, sf_small, unit, duck_fn, duck_year):
     # the search log spans one month; order dates span 1995-2001 (all months, ISO week 53)
     from oracle_check import duck
 
@@ -106,7 +109,7 @@ def test_calendar_counts_over_years_match_duckdb(spark, sf_small, unit, duck_fn)
     got = {tuple(r) for r in searchlog.calendar_counts(orders, unit, by_year=True).collect()}
     con = duck(sf_small)
     want = {tuple(r) for r in con.execute(
-        f"SELECT year(o_orderdate), {duck_fn}(o_orderdate), count(*) FROM orders GROUP BY 1, 2").fetchall()}
+        f"SELECT {duck_year}(o_orderdate), {duck_fn}(o_orderdate), count(*) FROM orders GROUP BY 1, 2").fetchall()}
     assert got == want
     if unit == "week":
         assert any(w == 53 for _, w, _ in got)
