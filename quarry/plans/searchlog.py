@@ -135,16 +135,21 @@ def search_words(searches: DataFrame, id_col: str = "event_id") -> DataFrame:
 
 
 def remove_stop_words(words: DataFrame, stops: DataFrame, word_col: str = "title",
-                      strategy: str = "broadcast", stops_bounded: bool = False) -> DataFrame:
+                      strategy: str = "broadcast", stops_bounded: bool = False,
+                      fold_case: bool = False) -> DataFrame:
     """Anti join: drop rows whose word is a stop word (case-sensitive).
 
     A stop list is small, so by default it is broadcast once its size is
     proven (``fits_broadcast``), or at once when ``stops_bounded`` says it is
     a literal list; the hint holds even when the session disables automatic
     broadcasts, and a list beyond the bound falls back to a sort-merge anti join.
+    Matching is case-sensitive like the original job; ``fold_case`` compares
+    lower-cased words instead.
     """
-    s = hinted(stops.select(F.col("stopWords")), strategy, bounded=stops_bounded)
-    return words.join(s, F.col(word_col) == F.col("stopWords"), "left_anti")
+    stop = F.lower("stopWords") if fold_case else F.col("stopWords")
+    word = F.lower(F.col(word_col)) if fold_case else F.col(word_col)
+    s = hinted(stops.select(stop.alias("stopWords")), strategy, bounded=stops_bounded)
+    return words.join(s, word == F.col("stopWords"), "left_anti")
 
 
 def distinct_title_words(titles: DataFrame) -> DataFrame:

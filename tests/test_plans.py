@@ -137,3 +137,12 @@ def test_fastest_trips_details(spark, sf_small):
     assert [r.id for r in rich] == [r.id for r in plain]
     for r in rich:
         assert abs(r.speed_kmh - r.distance_km / (r.duration_sec / 3600.0)) < 1e-6 * r.speed_kmh
+
+
+def test_stop_words_case_sensitive_unless_folded(spark):
+    words = spark.createDataFrame([(1, "The"), (1, "cat"), (2, "the")], "event_id long, title string")
+    stops = spark.createDataFrame([("the",)], "stopWords string")
+    kept = sorted(r.title for r in searchlog.remove_stop_words(words, stops).collect())
+    assert kept == ["The", "cat"]
+    folded = sorted(r.title for r in searchlog.remove_stop_words(words, stops, fold_case=True).collect())
+    assert folded == ["cat"]
