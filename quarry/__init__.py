@@ -11,7 +11,8 @@ Sub-packages:
 * ``quarry.sources``   -- readers and writers (CSV/TSV/text/Parquet), rejected rows
 * ``quarry.functions`` -- column expressions (geography, time, text) and SQL UDFs
 * ``quarry.operators`` -- cleaning, joins with a chosen strategy, top-k, row ids
-* ``quarry.plans``     -- the composite jobs (trip questions, search-log profile)
+* ``quarry.plans``     -- the composite jobs (trip questions, search-log profile);
+                          ``quarry.plans.jobs`` runs them over files
 * ``quarry.streaming`` -- intentionally empty: the jobs are batch only
 """
 
