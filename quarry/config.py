@@ -69,14 +69,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the setting is absent (local tests) a fresh folder is created and
     registered as the checkpoint directory.
     """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no local SparkContext
+        sc = None
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base
 
 
