@@ -146,3 +146,10 @@ def test_stop_words_case_sensitive_unless_folded(spark):
     assert kept == ["The", "cat"]
     folded = sorted(r.title for r in searchlog.remove_stop_words(words, stops, fold_case=True).collect())
     assert folded == ["cat"]
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_query_scans_the_test_tables(spark, sf_small, key):
+    # every registered query reads the given tables (writers read files derived from them)
+    plan = plan_text(entry.queries()[key](spark, sf_small))
+    assert f"{sf_small}/" in plan and "Scan parquet" in plan
