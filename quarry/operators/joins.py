@@ -64,17 +64,27 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
+# Row sizes fetched by the first, incremental pass of the check.
+_PROBE_ROWS = 10_000
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Prove that ``df`` is small enough to broadcast.
 
-    First ``offset(max_rows).isEmpty()``: a ``CollectLimit`` that scans
-    partitions incrementally and stops after ``max_rows + 1`` rows, so a large
-    input is never read in full.  Only when the row bound holds are the bytes
-    summed (over at most ``max_rows`` rows).  Both checks execute ``df``'s
-    plan; when that plan is costly (an aggregation, a join), persist ``df``
-    first so the join does not compute it again.
+    First an incremental ``limit`` pass (``CollectLimit`` scans partitions a
+    few at a time and stops early) brings back the sizes of at most
+    ``_PROBE_ROWS + 1`` rows: a small side is settled in that one job.  A
+    larger side is bounded with ``offset(max_rows).isEmpty()``, which also
+    stops after ``max_rows + 1`` rows, and only then are its bytes summed.  A
+    large input is never read in full.  The checks execute ``df``'s plan;
+    when that plan is costly (an aggregation, a join), persist ``df`` first so
+    the join does not compute it again.
     """
-    if not df.offset(max_rows).isEmpty():
+    probe = min(max_rows, _PROBE_ROWS)
+    sizes = [r[0] for r in df.select(_row_bytes(df).alias("b")).limit(probe + 1).collect()]
+    if len(sizes) <= probe:
+        return sum(sizes) <= max_bytes
+    if probe == max_rows or not df.offset(max_rows).isEmpty():
         return False
     size = df.select(F.sum(_row_bytes(df)).alias("b")).first()["b"] or 0
     return size <= max_bytes

@@ -193,3 +193,14 @@ def test_tagged_repartition_join_moves_each_row_once(spark, sf_small):
     tree = plan_string(j).split("\n\n")[0]
     assert tree.count("Exchange") == 2 and "SortMergeJoin" in tree
     assert j.count() == repartition_join(fx.order_pairs(spark, sf_small), fx.lineitem_pairs(spark, sf_small)).count()
+
+
+def test_fits_broadcast_beyond_the_probe(spark):
+    # 60,000 rows: more than the first pass fetches, so the row bound and byte sum decide
+    li = fx.table(spark, "/root/testdata/sf0.01", "lineitem").select("l_orderkey", "l_linenumber")
+    assert fits_broadcast(li, max_rows=100_000)
+    assert not fits_broadcast(li, max_rows=59_999)
+    assert not fits_broadcast(li, max_rows=100_000, max_bytes=10_000)
+    # within the probe: settled by the first pass
+    small = fx.table(spark, "/root/testdata/sf0.001", "lineitem").select("l_orderkey")
+    assert fits_broadcast(small, max_rows=100_000) and not fits_broadcast(small, max_rows=5_999)
