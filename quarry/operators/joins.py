@@ -8,8 +8,9 @@ into the next and AQE still re-plans everything that is not hinted.
                       size is under the threshold, AQE re-checks with run-time
                       sizes and handles skewed partitions of a sort-merge join.
 * ``broadcast``    -- broadcast the right side, but only after a bounded check
-                      proves its size; beyond the bound it falls back to
-                      ``merge`` (never an unchecked broadcast).
+                      proves its size (or the caller declares it bounded by
+                      construction, e.g. a literal list); beyond the bound it
+                      falls back to ``merge``.
 * ``merge``        -- sort-merge join: both sides hash-partitioned on the key
                       (the repartition join).
 * ``shuffle_hash`` -- both sides hash-partitioned, the right side hashed per
