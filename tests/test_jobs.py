@@ -112,3 +112,26 @@ def test_export_titles_from_file(spark, sf_small):
         words.extend(r.title for r in part.collect())
     want = sorted(r.title for r in searchlog.title_words(titles).collect())
     assert words == want
+
+
+def test_sample_join_same_rows_for_every_strategy(spark, sf_small):
+    from quarry.operators import join_operators
+
+    t, v = fx.trips(spark, sf_small), fx.vendors(spark, sf_small)
+    base = scratch_dir(spark, "job-strategies")
+    tq = write_parquet_frame(t, f"{base}/t")
+    vq = write_parquet_frame(v, f"{base}/v")
+    want = sorted(jobs.trip_vendor_sample_join(spark, tq, vq).collect())
+    assert len(want) > 0
+    expected_op = {"merge": "SortMergeJoin Inner", "shuffle_hash": "ShuffledHashJoin Inner",
+                   "broadcast": "BroadcastHashJoin Inner"}
+    for strategy, op in expected_op.items():
+        df = jobs.trip_vendor_sample_join(spark, tq, vq, strategy=strategy)
+        assert join_operators(df) == [op]
+        assert sorted(df.collect()) == want
+
+
+def write_parquet_frame(df, path):
+    from quarry.sources import write_parquet
+
+    return write_parquet(df, path)
