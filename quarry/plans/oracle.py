@@ -62,8 +62,14 @@ NON_STOP = """kw AS (
 
 DUR_MIN = "(date_sub('second', start_time, end_time) / 60::DOUBLE)"
 DIST = _hav("start_longitude", "start_latitude", "end_longitude", "end_latitude")
-TRIP_COLS = ("id, start_time, end_time, start_longitude, start_latitude, end_longitude, end_latitude, "
-             "CAST(cost AS DOUBLE) cost")
+def _trip_cols(alias: str = "") -> str:
+    """Trip columns (``cost`` as DOUBLE), optionally qualified by a table alias."""
+    p = f"{alias}." if alias else ""
+    cols = ["id", "start_time", "end_time", "start_longitude", "start_latitude", "end_longitude", "end_latitude"]
+    return ", ".join(f"{p}{c}" for c in cols) + f", CAST({p}cost AS DOUBLE) cost"
+
+
+TRIP_COLS = _trip_cols()
 
 
 def _with(*ctes: str) -> str:
@@ -102,9 +108,9 @@ GROUP BY v.vendor ORDER BY 1""",
     "trip_duration": _with(TRIPS) + f"""
 SELECT id, date_sub('second', start_time, end_time) duration_sec, round({DUR_MIN}, 6) duration_min FROM trips""",
     "trip_vendor_join": _with(TRIPS, VENDORS, CLEAN) + f"""
-SELECT {TRIP_COLS.replace('id,', 'c.id,', 1)}, v.vendor FROM clean c JOIN vendors v ON v.id = c.id""",
+SELECT {_trip_cols('c')}, v.vendor FROM clean c JOIN vendors v ON v.id = c.id""",
     "limited_side_join": _with(TRIPS, VENDORS) + f"""
-SELECT {TRIP_COLS.replace('id,', 't.id,', 1)}, v.vendor
+SELECT {_trip_cols('t')}, v.vendor
 FROM trips t JOIN (SELECT * FROM vendors ORDER BY id LIMIT 100) v ON v.id = t.id""",
     "searches_per_day": _with(SEARCHES) + """
 SELECT CAST(dayofyear(date) AS INTEGER) day_of_year, count(*) searches_per_day FROM searches GROUP BY 1 ORDER BY 1""",
@@ -183,7 +189,7 @@ SELECT o_orderkey k, o_orderpriority v, 0 tag FROM orders
 UNION ALL SELECT l_orderkey, CAST(l_linenumber AS VARCHAR), 1 FROM lineitem""",
     "parquet_scan": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
     "parquet_convert": _with(TRIPS, VENDORS) + f"""
-SELECT {TRIP_COLS.replace('id,', 't.id,', 1)}, v.vendor FROM trips t JOIN vendors v ON v.id = t.id""",
+SELECT {_trip_cols('t')}, v.vendor FROM trips t JOIN vendors v ON v.id = t.id""",
     "csv_round_trip": _with(TRIPS) + f"SELECT {TRIP_COLS} FROM trips",
     "tsv_round_trip": _with(SEARCHES) + "SELECT userid, keywords, date, pos, url FROM searches",
     "rejected_rows": "SELECT CAST(event_id AS VARCHAR) id FROM events WHERE event_type = 'error'",
