@@ -11,22 +11,23 @@ from pyspark.sql import SparkSession
 
 from quarry.config import EARTH_RADIUS_KM
 from quarry.functions.geo import haversine_sql
+from quarry.functions.text import NUMBER_CLASS, PRINTABLE_MAX, PRINTABLE_MIN, SYMBOL_CLASS
 
 _DEFINITIONS = {
     "haversine": f"""
         (lon_start DOUBLE, lat_start DOUBLE, lon_end DOUBLE, lat_end DOUBLE) RETURNS DOUBLE
         RETURN {haversine_sql("lon_start", "lat_start", "lon_end", "lat_end", EARTH_RADIUS_KM)}
     """,
-    "is_printable_word": """
+    "is_printable_word": f"""
         (word STRING) RETURNS BOOLEAN
-        RETURN coalesce(ascii(word) BETWEEN 33 AND 126, false)
+        RETURN coalesce(ascii(word) BETWEEN {PRINTABLE_MIN} AND {PRINTABLE_MAX}, false)
     """,
-    "first_letter_class": """
+    "first_letter_class": f"""
         (word STRING) RETURNS STRING
         RETURN CASE WHEN ascii(word) BETWEEN 65 AND 90 OR ascii(word) BETWEEN 97 AND 122
                     THEN upper(substring(word, 1, 1))
-                    WHEN ascii(word) BETWEEN 48 AND 57 THEN '0Number'
-                    ELSE '!Symbol' END
+                    WHEN ascii(word) BETWEEN 48 AND 57 THEN '{NUMBER_CLASS}'
+                    ELSE '{SYMBOL_CLASS}' END
     """,
     "duration_min": """
         (start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ) RETURNS DOUBLE

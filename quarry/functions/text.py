@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions._columns import col_of
 
+# Fixed values shared with the original jobs: a word counts when its first
+# character is printable ASCII (codes 33..126); first-letter classes are the
+# upper-cased letter, or these two labels for digits and everything else.
+PRINTABLE_MIN, PRINTABLE_MAX = 33, 126
+NUMBER_CLASS = "0Number"
+SYMBOL_CLASS = "!Symbol"
+
 
 def is_printable_word(word: Column | str) -> Column:
     """True when the word is non-null, non-empty and starts with a printable ASCII char (33..126).
@@ -15,7 +22,7 @@ def is_printable_word(word: Column | str) -> Column:
     non-ASCII first character, so one range test covers every case; the
     ``coalesce`` turns a null word into false.
     """
-    return F.coalesce(F.ascii(col_of(word)).between(33, 126), F.lit(False))
+    return F.coalesce(F.ascii(col_of(word)).between(PRINTABLE_MIN, PRINTABLE_MAX), F.lit(False))
 
 
 def first_letter_class(word: Column | str) -> Column:
@@ -24,8 +31,8 @@ def first_letter_class(word: Column | str) -> Column:
     first = F.substring(col_of(word), 1, 1)
     return (
         F.when(code.between(65, 90) | code.between(97, 122), F.upper(first))
-        .when(code.between(48, 57), F.lit("0Number"))
-        .otherwise(F.lit("!Symbol"))
+        .when(code.between(48, 57), F.lit(NUMBER_CLASS))
+        .otherwise(F.lit(SYMBOL_CLASS))
     )
 
 
