@@ -29,6 +29,10 @@ _DEFINITIONS = {
                     WHEN ascii(word) BETWEEN 48 AND 57 THEN '{NUMBER_CLASS}'
                     ELSE '{SYMBOL_CLASS}' END
     """,
+    "speed_kmh": """
+        (distance_km DOUBLE, minutes DOUBLE) RETURNS DOUBLE
+        RETURN try_divide(distance_km, minutes / 60D)
+    """,
     "duration_min": """
         (start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ) RETURNS DOUBLE
         RETURN timestampdiff(SECOND, start_time, end_time) / 60D

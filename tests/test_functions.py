@@ -129,3 +129,13 @@ def test_split_separator_is_literal(spark):
     assert row.d == ["a|b", "c||d"]
     assert row.m == ["a|b.c", "d"]
     assert row.f == ["a|b", "c||d"]
+
+
+def test_sql_speed_matches_column_expression(spark):
+    from quarry.functions import speed_kmh
+
+    register_sql_functions(spark)
+    df = spark.createDataFrame([(10.0, 30.0), (5.0, 0.0), (None, 10.0)], "d double, m double")
+    got = [r.s for r in spark.sql("SELECT speed_kmh(d, m) s FROM {df}", df=df).collect()]
+    want = [r.s for r in df.select(speed_kmh("d", "m").alias("s")).collect()]
+    assert got == want == [20.0, None, None]
