@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import packing, token_output
+from quarry.llm import chat_formatting, license_scan, packing, token_output
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -20,13 +20,27 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(packing.pack(spark, docs, public_tokenizers.path(BYTE_TOKENIZER)))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat_formatting.adjacent_pairs(_table(spark, sf_dir, "conversations"))
+    return chat_formatting.format_preferences(turns)
+
+
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_output.ids_by_document(spark, docs, public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spark, _table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_token_output": op7_token_output,
+    "op8_license_scan": op8_license_scan,
+}
+SQL: dict[str, str] = {
+    "op6_chat_formatting": chat_formatting.SQL,
+    "op8_license_scan": license_scan.SQL,
 }
-SQL: dict[str, str] = {}
