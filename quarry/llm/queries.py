@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat_formatting, license_scan, packing, quality_classifier, quality_rules, token_output
+from quarry.llm import chat_formatting, decontamination, license_scan, packing, quality_classifier, quality_rules, token_output
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +20,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(packing.pack(spark, docs, public_tokenizers.path(BYTE_TOKENIZER)))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
