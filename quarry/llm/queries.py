@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat_formatting, decontamination, license_scan, line_dedup, packing, quality_classifier, quality_rules, token_output
+from quarry.llm import chat_formatting, decontamination, jaccard_join, license_scan, line_dedup, packing, quality_classifier, quality_rules, token_output
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark, _table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(spark, _table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(spark, _table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_output": op7_token_output,
     "op8_license_scan": op8_license_scan,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_line_dedup": op10_line_dedup,
 }
 SQL: dict[str, str] = {
