@@ -9,7 +9,7 @@ of its words equal counts when it has ``LEAST_WORDS`` words, or the whole
 item if that is shorter. The masks catch every pattern of two replaced words in
 13, three in 15 or 18, and four in 20.
 
-A Bloom filter of the benchmark's hashes, of a size bound by ``MOST_FILTER_BITS``,
+A Bloom filter of the benchmark's hashes, of bounded size,
 goes to the tasks, so that only windows that may hit are shuffled;
 the join itself is exact, with whichever strategy Spark picks for its size.
 
@@ -28,15 +28,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import _bytes, _store
+from quarry.llm import _bytes, _filter, _store
 
 # Positions that count (1) in each window.
 MASKS = ("111111", "101011101", "1101111", "1111011")
 LEAST_WORDS = 13
 SIMILARITY = 0.8
 CONTEXT = 128  # words kept on either side of a hit
-MOST_FILTER_BITS = 1 << 28
-FILTER_PROBES = 3
 
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("doc_word", pa.int64()), ("item_word", pa.int64()),
                    ("n_words", pa.int64()), ("n_equal", pa.int64()), ("item_words", pa.int64())])
@@ -74,44 +72,12 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
             .mapInArrow(seeds, "item long, item_id long, words binary, hash array<long>, at array<long>"))
 
 
-def _probes(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [((h >> np.uint64(20 * k)) % np.uint64(bits)).astype(np.int64) for k in range(FILTER_PROBES)]
-
-
-def seed_filter(seeds: DataFrame) -> np.ndarray:
-    """Bloom filter of the hashes, built by Spark in pieces of 4 KiB."""
-    total = seeds.count()
-    bits = 1 << 20
-    while bits < min(32 * total, MOST_FILTER_BITS):
-        bits *= 2
-    # the hash as an unsigned number, shifted; the remainder by a power of two is its low bits
-    slot = F.explode(F.array(*[F.expr(f"shiftrightunsigned(hash, {20 * k}) & {bits - 1}L") for k in range(FILTER_PROBES)]))
-    pieces = (seeds.select(slot.alias("slot")).selectExpr("slot + 1 AS slot")
-              .groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
-              .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("piece")).collect())
-    out = np.zeros(bits // 8, np.uint8)
-    width = 4096
-    for r in pieces:
-        at = (r["bucket"] - 1) * width
-        out[at:at + width] = np.frombuffer(r["piece"], np.uint8)
-    return out
-
-
-def _inside(filter_bytes: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Places of the hashes that may be in the filter."""
-    at = np.arange(len(h))
-    for slot in _probes(h, len(filter_bytes) * 8):
-        s = slot[at]
-        at = at[(filter_bytes[s >> 3] >> (s & 7).astype(np.uint8)) & 1 > 0]
-    return at
-
-
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item that share a passage: the longest one."""
     items = _store.written(spark, benchmark_seeds(benchmark), "benchmark-seeds")
     seeds = items.select("item", F.explode(F.arrays_zip("hash", "at")).alias("s")).select(
         F.col("s.hash").alias("hash"), "item", F.col("s.at").alias("item_at"))
-    shared = spark.sparkContext.broadcast(seed_filter(seeds))
+    shared = spark.sparkContext.broadcast(_filter.bloom(seeds))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
@@ -121,7 +87,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
                 hashes, rows = _bytes.words(data, offsets, lower=True)
                 h, at = [], []
                 for seed, begin, _ in _seeds(hashes, rows):
-                    near = _inside(shared.value, seed)
+                    near = _filter.inside(shared.value, seed)
                     h.append(seed[near])
                     at.append(begin[near])
                 h, at = np.concatenate(h), np.concatenate(at)

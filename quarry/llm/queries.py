@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat_formatting, decontamination, jaccard_join, license_scan, line_dedup, packing, quality_classifier, quality_rules, token_output
+from quarry.llm import chat_formatting, decontamination, jaccard_join, license_scan, line_dedup, packing, quality_classifier, quality_rules, suffix_dedup, token_output
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(spark, _table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_output": op7_token_output,
