@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SHINGLE_WORDS = 5
 
 _MULT = 0x9E3779B97F4A7C15  # odd

@@ -16,7 +16,7 @@ import numpy as np
 
 from quarry.llm import _bytes
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 CACHE_PIECES = 2 << 20
 JOINED_PIECES = 4096
 
@@ -45,8 +45,8 @@ class WordTokenizer:
 
     def _forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.uint32)
+        self.count = np.zeros(0, np.uint16)
         self.pool = np.zeros(0, np.uint32)
 
     def _ids(self, text: str) -> list[int]:
@@ -80,7 +80,7 @@ class WordTokenizer:
         if not known.all():
             self._learn(distinct[~known], data, starts[sample[~known]], ends[sample[~known]], unsure)
             at = np.searchsorted(self.keys, distinct)
-        first, count = self.first[at][which], self.count[at][which]
+        first, count = self.first[at].astype(np.int64)[which], self.count[at][which].astype(np.int64)
         total = np.zeros(len(count) + 1, np.int64)
         np.cumsum(count, out=total[1:])
         ids = self.pool[np.repeat(first - total[:-1], count) + np.arange(total[-1])]
@@ -131,9 +131,12 @@ class WordTokenizer:
             counts.append(np.array([len(e.ids)], np.int64))
         count = np.concatenate(counts).astype(np.int64)
         first = len(self.pool) + np.cumsum(count) - count
-        keys = np.concatenate([self.keys, keys[order]])
-        by = np.argsort(keys, kind="stable")
-        self.keys = keys[by]
-        self.first = np.concatenate([self.first, first])[by]
-        self.count = np.concatenate([self.count, count])[by]
+        if len(count) and (count.max() >= 1 << 16 or first[-1] + count[-1] >= 1 << 32):
+            self.first, self.count = self.first.astype(np.int64), self.count.astype(np.int64)  # a very long piece
+        keys = keys[order]
+        by = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[by])
+        self.keys = np.insert(self.keys, at, keys[by])
+        self.first = np.insert(self.first, at, first[by])
+        self.count = np.insert(self.count, at, count[by])
         self.pool = np.concatenate([self.pool, *ids])

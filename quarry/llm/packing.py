@@ -125,7 +125,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: in
             for batch in batches:
                 data, offsets = _bytes.utf8(batch.column("text"))
                 doc_ids = batch.column("doc_id").to_pylist()
-                for i, j in _bytes.blocks(offsets, 16 << 20):
+                for i, j in _bytes.blocks(offsets, 8 << 20):
                     ids, at = tok.encode(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                     for k in range(i, j):
                         own = np.append(ids[at[k - i]:at[k - i + 1]], np.uint32(end_id))
