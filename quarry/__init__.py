@@ -1,7 +1,7 @@
 """quarry: Spark-native batch analytics for trip records and search logs.
 
 Every public function takes DataFrames (and plain parameters) and returns a
-DataFrame.  Nothing is collected to the driver and no Python UDF is used: all
+DataFrame.  Rows are not collected to the driver (size checks bring one row) and no Python UDF is used: all
 expressions are built from ``pyspark.sql.functions`` so Catalyst can push
 filters into the scan, prune columns and keep the work inside whole-stage
 codegen.
@@ -13,7 +13,6 @@ Sub-packages:
 * ``quarry.operators`` -- cleaning, joins with a chosen strategy, top-k, row ids
 * ``quarry.plans``     -- the composite jobs (trip questions, search-log profile);
                           ``quarry.plans.jobs`` runs them over files
-* ``quarry.streaming`` -- intentionally empty: the jobs are batch only
 """
 
 from quarry.config import JobParams, checkpoint_dir, scratch_dir, session

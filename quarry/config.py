@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -30,17 +31,17 @@ class JobParams:
     fastest_k: int = 5
     fastest_after_day: int = 10
     popular_min_visitors: int = 10
-    popular_top: int = 100
-    keyword_top: int = 50
-    export_files: int | None = 10  # None: file count sized by AQE from the data
+    popular_top: int | None = None  # None: the whole ranking
+    keyword_top: int | None = None
+    export_files: int | None = None  # None: file count sized by AQE from the data
 
 
 def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry",
             conf: dict[str, str] | None = None) -> SparkSession:
     """Local session used by tests and the bench.
 
-    On a cluster the caller builds the session; the jobs never change session
-    state (join strategies are hints, not ``autoBroadcastJoinThreshold``).
+    On a cluster the caller builds the session; join strategies are hints, never
+    session settings.
     """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -52,7 +53,7 @@ def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quar
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "10g")
         # local runs only: catalog tables of the tests stay out of the working directory
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="quarry-warehouse-"))
     )
@@ -64,10 +65,11 @@ def session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "quar
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster in ``spark.checkpoint.dir``.
+    """The shared folder named by the cluster in ``spark.checkpoint.dir``, registered for checkpoints.
 
-    Only when the setting is absent (local tests) a fresh folder is created and
-    registered as the checkpoint directory.
+    Without that setting a folder set by ``setCheckpointDir`` is used. With neither,
+    a local master gets a fresh temporary folder; on a cluster this is an error, since
+    executors would each write to a disk of their own. No session setting is changed.
     """
     try:
         sc = spark.sparkContext
@@ -75,10 +77,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and sc is not None:
-        base = sc.getConf().get("spark.checkpoint.dir", None)
+        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        master = sc.master if sc is not None else "connect"
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return base

@@ -3,7 +3,7 @@
 The trip, vendor, search-log, title and stop-word inputs have no counterpart
 among the test tables, so they are derived from them: projections of
 ``events`` and ``documents``, and for the search log one join of events with
-per-document keywords.  The same derivations are written in DuckDB SQL for the
+the whole document texts.  The same derivations are written in DuckDB SQL for the
 oracle (``quarry.plans.oracle``).  Every derived row comes from a table row,
 so the work grows with the tables.
 """
@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.text import first_words, words_between
-
 # The stop words of the derived search log (test fixture).
 FIXTURE_STOP_WORDS = ["the", "and", "of", "that", "in", "is"]
 
@@ -36,11 +34,13 @@ _LAT0 = "(39.5D + (event_id * 53 % 700) / 100D)"
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips from events: about 11% non-positive durations, 1% equal endpoints, some outside the box."""
+    """Trips from events: about 11% non-positive durations, 1% equal endpoints, some outside the box, and a
+    few without movement or time (no speed)."""
     return table(spark, sf_dir, "events").selectExpr(
         "CAST(event_id AS STRING) AS id",
         "ts AS start_time",
-        "timestampadd(SECOND, CAST(floor(value * 10) AS INT) - 60, ts) AS end_time",
+        "CASE WHEN event_id % 388 = 0 THEN ts"
+        " ELSE timestampadd(SECOND, CAST(floor(value * 10) AS INT) - 60, ts) END AS end_time",
         f"{_LON0} AS start_longitude",
         f"{_LAT0} AS start_latitude",
         f"CASE WHEN event_id % 97 = 0 THEN {_LON0} ELSE -80.5D + (event_id * 71 % 1100) / 100D END AS end_longitude",
@@ -55,38 +55,54 @@ def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(event_id AS STRING) AS id", "CAST(user_id % 3 + 1 AS STRING) AS vendor")
 
 
-def document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five lower-cased leading words per document: computed once per document, not per search."""
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.lower(first_words(F.col("text"), 5)).alias("keywords"))
+_OK = "event_type IN ('click', 'view', 'purchase')"
 
 
-def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search log from events: keywords of document ``event_id % n_documents``.
+def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search log from events without the keywords: one row per search, dates spread over about five years.
 
-    ``event_id`` is the natural row key (no global ``row_number``).  The
-    document count is a scalar subquery, not a cross join.
+    ``event_id`` is the natural row key (no global ``row_number``).
     """
-    n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
-    ok = "event_type IN ('click', 'view', 'purchase')"
-    ev = table(spark, sf_dir, "events").selectExpr(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "CAST(user_id AS STRING) AS userid",
-        "ts AS date",
-        f"CASE WHEN {ok} THEN CAST(event_id % 10 + 1 AS INT) END AS pos",
-        f"CASE WHEN {ok} THEN concat('http://site', CAST(event_id * 7 % 40 AS STRING), '.example/') END AS url",
-    ).withColumn("doc_id", F.col("event_id") % n_docs)
-    return ev.join(document_keywords(spark, sf_dir), "doc_id").select(
+        "timestampadd(DAY, CAST(event_id % 2000 AS INT), ts) AS date",
+        f"CASE WHEN {_OK} THEN CAST(event_id % 10 + 1 AS INT) END AS pos",
+        f"CASE WHEN {_OK} THEN concat('http://site', CAST(event_id * 7 % 40 AS STRING), '.example/') END AS url",
+    )
+
+
+def _with_doc_id(spark: SparkSession, sf_dir: str, searches: DataFrame) -> DataFrame:
+    """The document whose text a search has as keywords: ``event_id % n_documents``
+    (the document count is a scalar subquery, not a cross join)."""
+    n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+    return searches.withColumn("doc_id", F.col("event_id") % n_docs)
+
+
+def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole search log: the keywords of a search are the whole text of its document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("keywords"))
+    return _with_doc_id(spark, sf_dir, search_log(spark, sf_dir)).join(docs, "doc_id").select(
         "event_id", "userid", "keywords", "date", "pos", "url")
 
 
+def search_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each searched text once: ``doc_id, keywords, n`` with the number of its searches, so that a text is
+    split once and not once per search."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("keywords"))
+    counts = search_ids(spark, sf_dir).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return docs.join(counts, "doc_id")
+
+
+def search_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_id, doc_id`` of every search."""
+    return _with_doc_id(spark, sf_dir, table(spark, sf_dir, "events").select("event_id"))
+
+
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles from English documents: words 3..6 joined by ``_``; ``title_id`` is the document id."""
-    d = table(spark, sf_dir, "documents")
-    return d.filter(F.col("lang") == "en").select(
-        F.col("doc_id").alias("title_id"),
-        F.lower(words_between(F.col("text"), 3, 4)).alias("title"),
-    )
+    """Titles from all documents: the whole text with ``_`` for spaces; ``title_id`` is the document id."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("title_id"), F.replace("text", F.lit(" "), F.lit("_")).alias("title"))
 
 
 def stop_words(spark: SparkSession) -> DataFrame:

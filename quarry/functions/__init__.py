@@ -4,11 +4,9 @@ from quarry.functions.geo import haversine_km
 from quarry.functions.sql import register_sql_functions
 from quarry.functions.text import (
     first_letter_class,
-    first_words,
     is_printable_word,
     split_first,
     split_words,
-    words_between,
 )
 from quarry.functions.timefn import duration_min, duration_sec, format_ntz, parse_ntz, speed_kmh
 
@@ -16,7 +14,6 @@ __all__ = [
     "duration_min",
     "duration_sec",
     "first_letter_class",
-    "first_words",
     "format_ntz",
     "haversine_km",
     "is_printable_word",
@@ -25,5 +22,4 @@ __all__ = [
     "speed_kmh",
     "split_first",
     "split_words",
-    "words_between",
 ]

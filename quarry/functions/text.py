@@ -47,23 +47,3 @@ def split_first(text: Column | str, sep: str = ",") -> Column:
     pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
     return F.split(col_of(text), pattern, 2)
 
-
-def first_words(text: Column | str, n: int, sep: str = " ") -> Column:
-    """The first ``n`` tokens of the text, joined by the separator.
-
-    Equal to ``array_join(slice(split(text, sep), 1, n), sep)`` on every input
-    (a text with fewer tokens is returned whole), but without materialising an
-    array of every token of a long document.
-    """
-    return F.substring_index(col_of(text), sep, n)
-
-
-def words_between(text: Column | str, start: int, count: int, sep: str = " ", joiner: str = "_") -> Column:
-    """Tokens ``start .. start+count-1`` (1-based) joined by ``joiner``.
-
-    Equal to ``array_join(slice(split(text, sep), start, count), joiner)``: the
-    first ``start+count-1`` tokens of the text are the tokens of its first
-    ``start+count-1`` tokens, so only those are split into an array.
-    """
-    head = first_words(text, start + count - 1, sep)
-    return F.array_join(F.slice(split_words(head, sep), start, count), joiner)

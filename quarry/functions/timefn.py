@@ -34,6 +34,14 @@ def speed_kmh(distance_km: Column | str, minutes: Column | str) -> Column:
     return F.try_divide(col_of(distance_km), col_of(minutes) / F.lit(60.0))
 
 
+def speed_ieee(distance_km: Column | str, minutes: Column | str) -> Column:
+    """km/h by IEEE division: a zero duration gives infinity, or NaN when the distance is zero too."""
+    distance, zero = col_of(distance_km), col_of(minutes) == F.lit(0.0)
+    return (F.when(zero & (distance > 0), F.lit(float("inf")))
+            .when(zero & distance.isNotNull(), F.lit(float("nan")))
+            .otherwise(speed_kmh(distance, minutes)))
+
+
 def parse_ntz(text: Column | str, fmt: str = TIME_FORMAT) -> Column:
     """Parse a local date-time by pattern into ``TIMESTAMP_NTZ``; null when malformed.
 

@@ -11,7 +11,6 @@ from quarry.operators.joins import (
     join,
     limited_side_join,
     repartition_join,
-    tagged_repartition_join,
     tagged_union,
 )
 from quarry.operators.ordering import dense_row_number, desc_nan_last, persisted, range_sorted, top_k
@@ -36,7 +35,6 @@ __all__ = [
     "positive_duration",
     "range_sorted",
     "repartition_join",
-    "tagged_repartition_join",
     "tagged_union",
     "top_k",
 ]

@@ -65,30 +65,31 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-# Row sizes fetched by the first, incremental pass of the check.
-_PROBE_ROWS = 10_000
+# A side whose planner estimate is beyond so many times the bound is not looked at.
+_ESTIMATE_SLACK = 8
+
+
+def _planner_bytes(df: DataFrame) -> int | None:
+    """The planner's size estimate of ``df``; None where it cannot be read (Spark Connect)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return None
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Prove that ``df`` is small enough to broadcast.
 
-    First an incremental ``limit`` pass (``CollectLimit`` scans partitions a
-    few at a time and stops early) brings back the sizes of at most
-    ``_PROBE_ROWS + 1`` rows: a small side is settled in that one job.  A
-    larger side is bounded with ``offset(max_rows).isEmpty()``, which also
-    stops after ``max_rows + 1`` rows, and only then are its bytes summed.  A
-    large input is never read in full.  The checks execute ``df``'s plan;
-    when that plan is costly (an aggregation, a join), persist ``df`` first so
-    the join does not compute it again.
+    A side whose estimated size is far beyond the bound is rejected without a
+    job.  Otherwise one aggregate counts its rows and sums their bytes: every
+    task sends one row, and one row reaches the driver.  The check runs
+    ``df``'s plan; when that is costly, write or persist ``df`` first.
     """
-    probe = min(max_rows, _PROBE_ROWS)
-    sizes = [r[0] for r in df.select(_row_bytes(df).alias("b")).limit(probe + 1).collect()]
-    if len(sizes) <= probe:
-        return sum(sizes) <= max_bytes
-    if probe == max_rows or not df.offset(max_rows).isEmpty():
+    estimate = _planner_bytes(df)
+    if estimate is not None and estimate > _ESTIMATE_SLACK * max_bytes:
         return False
-    size = df.select(F.sum(_row_bytes(df)).alias("b")).first()["b"] or 0
-    return size <= max_bytes
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
 
 
 def hinted(right: DataFrame, strategy: str, max_rows: int = BROADCAST_MAX_ROWS,
@@ -145,39 +146,19 @@ def tagged_union(left: DataFrame, right: DataFrame, key: str = "k", left_tag: in
     return l.unionByName(r)
 
 
-def tagged_repartition_join(left: DataFrame, right: DataFrame, key: str = "k",
-                            num_partitions: int | None = None) -> DataFrame:
-    """The repartition join in its explicit form: tag, union, shuffle by key, merge.
-
-    Both sides are tagged and unioned, the union is hash-partitioned on the
-    key, and the two tags are split back out.  Catalyst prunes the union
-    through the tag filters, so each side is partitioned on the key once and
-    the sort-merge join adds no further shuffle: every row moves exactly once,
-    as in the textbook repartition join.  Rows of a key are streamed by the
-    merge (spilling when large), never gathered into lists.  Output ``k, lv, rv``.
-    Prefer :func:`repartition_join` when AQE should split a hot key (a
-    user-numbered repartition is not split).
-    """
-    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    u = tagged_union(left, right, key).repartition(n, "k")
-    l = u.filter(F.col("tag") == 0).select("k", F.col("v").alias("lv"))
-    r = u.filter(F.col("tag") == 1).select("k", F.col("v").alias("rv"))
-    return l.join(r.hint("merge"), "k").select("k", "lv", "rv")
-
-
 def format_pairs(joined: DataFrame, sep: str = ", ") -> DataFrame:
-    """Text lines ``k, lv, rv`` of a pair join (what the text sink writes)."""
-    return joined.select(F.concat_ws(sep, "k", "lv", "rv").alias("value"))
+    """Text lines ``k, lv, rv`` of a pair join (what the text sink writes); a null is an empty field."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("k", "lv", "rv")]
+    return joined.select(F.concat(fields[0], F.lit(sep), fields[1], F.lit(sep), fields[2]).alias("value"))
 
 
 def limited_side_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], n: int,
                       order_by: Sequence[str] | str) -> DataFrame:
     """Join ``left`` with the first ``n`` rows of ``right`` in a stated order.
 
-    Ordering first makes the kept rows deterministic.  ``n`` bounds the rows
-    of the limited side, so up to ``BROADCAST_MAX_ROWS`` it is broadcast
-    without a check; a larger ``n`` is left to the planner (and AQE).
+    Ordering first makes the kept rows deterministic.  The limited side is
+    broadcast when its rows and bytes are within the broadcast bounds (checked);
+    otherwise the join is a sort-merge join.
     """
     cols = [order_by] if isinstance(order_by, str) else list(order_by)
-    small = right.orderBy(*cols).limit(n)
-    return left.join(F.broadcast(small) if n <= BROADCAST_MAX_ROWS else small, on)
+    return left.join(hinted(right.orderBy(*cols).limit(n), "broadcast"), on)

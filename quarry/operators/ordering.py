@@ -43,35 +43,28 @@ def dense_row_number(df: DataFrame, order: Sequence[Column | str], name: str = "
     """1-based row numbers in a global order, without a single-partition window.
 
     ``row_number()`` over an unpartitioned window moves every row into one
-    task.  Here the rows are range-partitioned on the order, each partition is
-    sorted locally, and a row's number is the count of rows in earlier
-    partitions (a table with one row per partition, broadcast) plus its
-    position in its own partition.  ``order`` must be a unique key, so the
-    numbering is deterministic and survives recomputation of a lost partition.
+    task.  Here the rows are range-partitioned on the order and each partition is
+    sorted locally.  That frame is checkpointed once to the shared folder: the bounds
+    of a range partitioning are sampled, so two evaluations may differ, and
+    the counts must come from the very rows that are numbered.  A row's number is
+    the count of rows in earlier partitions (a table with one row per partition)
+    plus its position in its own.  ``order`` should be a unique key, so that
+    ties do not depend on the input's order.
     """
     order_cols = _cols(order)
     spark = df.sparkSession
+    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols)
     numbered = (
-        ranged.sortWithinPartitions(*order_cols)
+        df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
         .withColumn("_pid", F.spark_partition_id())
         # monotonically_increasing_id = (partition index << 33) + position in partition
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
+        .checkpoint(eager=True)
     )
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "true":
-        # both branches read the same range exchange (reused within the query):
-        # the counts need no sort, the numbering sorts each partition once
-        counted = ranged.select(F.spark_partition_id().alias("_pid"))
-    else:
-        # without exchange reuse the two branches could sample different range
-        # bounds: number once into the shared checkpoint folder, count from that copy
-        checkpoint_dir(spark)
-        numbered = numbered.checkpoint(eager=True)
-        counted = numbered.select("_pid")
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        counted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+        numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
         # at most one row per partition: bounded, safe to order in one task and broadcast
         .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     )

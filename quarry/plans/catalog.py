@@ -22,10 +22,10 @@ from quarry.functions.timefn import format_ntz, parse_ntz
 from quarry.operators.cleaning import clean_trips, drop_nulls
 from quarry.operators.joins import STRATEGIES, broadcast_join, join, limited_side_join
 from quarry.operators.joins import repartition_join as _repartition_join
-from quarry.operators.joins import tagged_repartition_join
 from quarry.operators.joins import tagged_union as _tagged_union
 from quarry.operators.ordering import dense_row_number
 from quarry.plans import conversions, searchlog, trips
+from quarry.sources.readers import read_parquet
 
 P = JobParams()
 R6 = 6
@@ -50,14 +50,18 @@ def q_fastest_trips(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_fastest_trips_nan_last(spark: SparkSession, d: str) -> DataFrame:
-    out = trips.fastest_trips(fx.trips(spark, d), fx.vendors(spark, d), P, nan_last=True, clean=False)
-    return out.select("id", "start_time", "vendor", _r("speed_kmh"))
+    out = trips.speed_ranking(fx.trips(spark, d), fx.vendors(spark, d), P)
+    return out.select("rank", "id", "start_time", "vendor", _r("speed_kmh"))
 
 
 def q_trip_mean_duration_by_hour(spark: SparkSession, d: str) -> DataFrame:
     return trips.mean_duration_by_hour(fx.trips(spark, d), P).select("hour_start", _r("duration_min"))
 
 
+def q_trip_mean_duration_decimal(spark: SparkSession, d: str) -> DataFrame:
+    return trips.mean_duration_by_hour(fx.trips(spark, d), P, as_decimal=True)
+
+
 def q_mean_sum_count(spark: SparkSession, d: str) -> DataFrame:
     out = trips.mean_duration_sum_count(fx.trips(spark, d), P)
     return out.select("hour_start", "sum_sec", "n", _r("duration_min"))
@@ -93,26 +97,26 @@ def q_limited_side_join(spark: SparkSession, d: str) -> DataFrame:
 
 def _calendar(unit: str) -> Query:
     def q(spark: SparkSession, d: str) -> DataFrame:
-        return searchlog.calendar_counts(fx.searches(spark, d), unit)
+        return searchlog.calendar_counts(fx.search_log(spark, d), unit)
     q.__name__ = f"q_searches_per_{unit}"
     return q
 
 
 def q_search_success(spark: SparkSession, d: str) -> DataFrame:
-    out = searchlog.success_ratio(fx.searches(spark, d))
+    out = searchlog.success_ratio(fx.search_log(spark, d))
     return out.select("total", "successes", _r("success_pct"), _r("failure_pct"))
 
 
 def q_popular_urls(spark: SparkSession, d: str) -> DataFrame:
-    return searchlog.popular_urls(fx.searches(spark, d), P)
+    return searchlog.popular_urls(fx.search_log(spark, d), P)
 
 
 def q_keyword_counts(spark: SparkSession, d: str) -> DataFrame:
-    return searchlog.keyword_counts(fx.searches(spark, d), P.keyword_top)
+    return searchlog.keyword_counts(fx.search_texts(spark, d), P.keyword_top, weight="n")
 
 
 def q_distinct_keywords(spark: SparkSession, d: str) -> DataFrame:
-    return searchlog.distinct_keywords(fx.searches(spark, d))
+    return searchlog.distinct_keywords(fx.search_texts(spark, d))
 
 
 def q_printable_words(spark: SparkSession, d: str) -> DataFrame:
@@ -134,27 +138,34 @@ def q_distinct_words(spark: SparkSession, d: str) -> DataFrame:
 
 def _non_stop_words(spark: SparkSession, d: str) -> DataFrame:
     # the fixture stop list is a literal list of six words: bounded by construction
-    return searchlog.remove_stop_words(searchlog.search_words(fx.searches(spark, d)), fx.stop_words(spark),
+    # (a text that many searches share is split once)
+    return searchlog.remove_stop_words(searchlog.search_words(fx.search_texts(spark, d), "doc_id"), fx.stop_words(spark),
                                        stops_bounded=True)
 
 
 def q_remove_stop_words(spark: SparkSession, d: str) -> DataFrame:
-    return _non_stop_words(spark, d).select("event_id", "title")
+    return _non_stop_words(spark, d).select("doc_id", "title")
+
+
+def q_stop_words_file(spark: SparkSession, d: str) -> DataFrame:
+    stops = conversions.stop_list_file(spark, fx.table(spark, d, "benchmark"))
+    words = searchlog.search_words(fx.search_texts(spark, d), "doc_id")
+    return searchlog.remove_stop_words(words, stops).select("doc_id", "title")
 
 
 def q_dedup_by_key(spark: SparkSession, d: str) -> DataFrame:
-    return _non_stop_words(spark, d).dropDuplicates(["event_id"]).select("event_id")
+    searched = _non_stop_words(spark, d).dropDuplicates(["doc_id"]).select("doc_id")
+    return fx.search_ids(spark, d).join(searched, "doc_id").select("event_id")
 
 
 def q_search_title_match(spark: SparkSession, d: str) -> DataFrame:
-    out = searchlog.search_title_match(fx.searches(spark, d), fx.titles(spark, d), fx.stop_words(spark),
-                                       stops_bounded=True)
-    return out.select("matched", "searchable", _r("match_pct"))
+    out = searchlog.search_title_match(fx.search_texts(spark, d), fx.titles(spark, d), fx.stop_words(spark),
+                                       id_col="doc_id", stops_bounded=True, weight="n")
+    return out.select("matched", "searchable", _r("match_pct"), "matched_words")
 
 
 def q_search_row_number(spark: SparkSession, d: str) -> DataFrame:
-    s = fx.searches(spark, d).select("event_id", "userid")
-    return dense_row_number(s, ["userid", "event_id"], "row_num")
+    return dense_row_number(fx.search_log(spark, d), ["userid", "event_id"], "row_num")
 
 
 def q_split_first(spark: SparkSession, d: str) -> DataFrame:
@@ -165,7 +176,7 @@ def q_split_first(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_drop_nulls(spark: SparkSession, d: str) -> DataFrame:
-    return drop_nulls(fx.searches(spark, d), ["pos", "url"]).select("event_id", "pos", "url")
+    return drop_nulls(fx.search_log(spark, d), ["pos", "url"]).select("event_id", "pos", "url")
 
 
 def q_parse_timestamps(spark: SparkSession, d: str) -> DataFrame:
@@ -197,10 +208,6 @@ def q_repartition_join(spark: SparkSession, d: str) -> DataFrame:
     return j.select("k", "lv", "rv", F.concat_ws(", ", F.col("k").cast("string"), "lv", "rv").alias("line"))
 
 
-def q_tagged_repartition_join(spark: SparkSession, d: str) -> DataFrame:
-    return tagged_repartition_join(fx.order_pairs(spark, d), fx.lineitem_pairs(spark, d))
-
-
 def q_broadcast_join(spark: SparkSession, d: str) -> DataFrame:
     j = broadcast_join(fx.customer_pairs(spark, d), fx.nation_pairs(spark, d))
     return j.select("k", "lv", "rv", F.concat_ws(", ", F.col("k").cast("string"), "lv", "rv").alias("line"))
@@ -233,8 +240,7 @@ def q_tagged_union(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- sources and sinks
 
 def q_parquet_scan(spark: SparkSession, d: str) -> DataFrame:
-    # whole table, four of its columns: the scan reads only those (ReadSchema)
-    return fx.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    return read_parquet(spark, f"{d.rstrip('/')}/lineitem.parquet")
 
 
 def q_parquet_convert(spark: SparkSession, d: str) -> DataFrame:
@@ -255,13 +261,16 @@ def q_text_line_parse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_rejected_rows(spark: SparkSession, d: str) -> DataFrame:
-    _, rejected = conversions.rejected_trip_lines(spark, fx.table(spark, d, "events"))
-    return rejected.select("id")
+    good, rejected = conversions.rejected_trip_lines(spark, fx.table(spark, d, "events"))
+    cols = ["id", "start_time", "end_time", F.col("cost").cast("double").alias("cost")]
+    return good.select(*cols, F.lit(False).alias("is_rejected")).unionByName(
+        rejected.select(*cols, F.lit(True).alias("is_rejected")))
 
 
 QUERIES: dict[str, Query] = {
     "fastest_trips": q_fastest_trips,
     "trip_mean_duration_by_hour": q_trip_mean_duration_by_hour,
+    "trip_mean_duration_decimal": q_trip_mean_duration_decimal,
     "trip_max_cost_by_vendor": q_trip_max_cost_by_vendor,
     "trip_clean": q_trip_clean,
     "trip_distance": q_trip_distance,
@@ -279,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "title_word_export": q_title_word_export,
     "distinct_words": q_distinct_words,
     "remove_stop_words": q_remove_stop_words,
+    "stop_words_file": q_stop_words_file,
     "search_title_match": q_search_title_match,
     "dedup_by_key": q_dedup_by_key,
     "repartition_join": q_repartition_join,
@@ -300,5 +310,4 @@ QUERIES: dict[str, Query] = {
     "pair_files_join": q_pair_files_join,
     "sql_functions": q_sql_functions,
     "text_line_parse": q_text_line_parse,
-    "tagged_repartition_join": q_tagged_repartition_join,
 }

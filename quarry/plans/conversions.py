@@ -66,12 +66,11 @@ def csv_round_trip(spark: SparkSession, trips: DataFrame) -> DataFrame:
 def tsv_round_trip(spark: SparkSession, searches: DataFrame) -> DataFrame:
     """Search log written as TSV with a header and read back with the declared schema.
 
-    Keywords may hold line breaks; the writer quotes such fields and the
-    reader is told to accept quoted multi-line fields.
+    Keywords hold line breaks; they are written escaped, one line per row, so the files stay splittable.
     """
     path = write_delimited(searches.select(*schemas.SEARCHES.fieldNames()), scratch_dir(spark, "searches-tsv"),
-                           sep="\t", header=True)
-    return read_searches(spark, path, multi_line=True)
+                           sep="\t", header=True, escaped=True)
+    return read_searches(spark, path, escaped=True)
 
 
 def trip_lines(events: DataFrame, bad_types: tuple[str, ...] = ("error",)) -> DataFrame:
@@ -93,11 +92,20 @@ def rejected_trip_lines(spark: SparkSession, events: DataFrame) -> tuple[DataFra
 
 
 def title_word_export(spark: SparkSession, titles: DataFrame) -> DataFrame:
-    """Export the sorted title words as 10 TSV files with a header and read them back."""
+    """Export the sorted title words as TSV files with a header and read them back."""
     from quarry.plans.searchlog import export_title_words
 
     path = export_title_words(titles, scratch_dir(spark, "title-words"))
-    return read_delimited(spark, path, schemas.TITLES, sep="\t", header=True, multi_line=True)
+    return read_delimited(spark, path, schemas.TITLES, sep="\t", header=True, escaped=True)
+
+
+def stop_list_file(spark: SparkSession, benchmark: DataFrame) -> DataFrame:
+    """A stop list written as text, one word per line, and read back: the lower-cased first words of the
+    benchmark items."""
+    from quarry.sources.readers import read_stop_words
+
+    words = benchmark.select(F.lower(F.substring_index("text", " ", 1)).alias("value")).distinct()
+    return read_stop_words(spark, write_text(words, scratch_dir(spark, "stop-words")))
 
 
 def pair_files_join(spark: SparkSession, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -109,8 +117,9 @@ def pair_files_join(spark: SparkSession, left: DataFrame, right: DataFrame) -> D
     from quarry.sources.readers import read_pairs
 
     base = scratch_dir(spark, "pairs")
-    write_delimited(left.select("k", "v"), f"{base}/left", sep="\t")
-    write_delimited(right.select("k", "v"), f"{base}/right", sep="\t")
+    for name, side in (("left", left), ("right", right)):
+        line = F.concat(F.col("k").cast("string"), F.lit("\t"), F.coalesce(F.col("v").cast("string"), F.lit("")))
+        write_text(side.where("k IS NOT NULL").select(line.alias("value")), f"{base}/{name}")
     joined = repartition_join(read_pairs(spark, f"{base}/left"), read_pairs(spark, f"{base}/right"))
     write_text(format_pairs(joined), f"{base}/out")
     return spark.read.text(f"{base}/out")

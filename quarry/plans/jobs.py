@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.config import JobParams
+from quarry.operators.cleaning import clean_trips
 from quarry.operators.joins import broadcast_join, format_pairs, join, limited_side_join, repartition_join
-from quarry.plans import conversions, searchlog, trips
+from quarry.plans import searchlog, trips
 from quarry.sources.readers import read_pairs, read_searches, read_stop_words, read_titles, read_trips, read_vendors
 from quarry.sources.writers import write_parquet, write_text
 
@@ -26,10 +27,19 @@ class TripAnswers:
 
 
 def trip_questions(spark: SparkSession, trips_path: str, vendors_path: str, fmt: str = "csv",
-                   p: JobParams = JobParams(), strategy: str = "auto", as_decimal: bool = True) -> TripAnswers:
-    """The three trip questions over CSV (declared schema), Parquet or catalog-table (``fmt="table"``) inputs."""
+                   p: JobParams = JobParams(), strategy: str = "auto", as_decimal: bool = True,
+                   stage_dir: str | None = None) -> TripAnswers:
+    """The three trip questions over CSV (declared schema), Parquet or catalog-table (``fmt="table"``) inputs.
+
+    With ``stage_dir`` (a shared folder) the inputs are parsed and the trips cleaned once, and written there
+    as Parquet; every answer reads its columns from that copy, which survives executor loss.
+    """
     t = read_trips(spark, trips_path, fmt)
     v = read_vendors(spark, vendors_path, fmt)
+    if stage_dir:
+        base = stage_dir.rstrip("/")
+        t = spark.read.parquet(write_parquet(clean_trips(t, p), f"{base}/clean_trips.parquet"))
+        v = spark.read.parquet(write_parquet(v, f"{base}/vendors.parquet"))
     return TripAnswers(
         trips.mean_duration_by_hour(t, p, as_decimal=as_decimal),
         trips.max_cost_by_vendor(t, v, p, strategy),
@@ -37,20 +47,6 @@ def trip_questions(spark: SparkSession, trips_path: str, vendors_path: str, fmt:
     )
 
 
-def create_parquet(spark: SparkSession, trips_csv: str, vendors_csv: str, out_dir: str,
-                   mode: str = "errorifexists") -> tuple[str, str]:
-    """Convert both trip tables from CSV to Parquet (fails on existing targets unless ``mode`` says otherwise)."""
-    return conversions.convert_csv_to_parquet(spark, trips_csv, vendors_csv, out_dir, mode)
-
-
-def create_bucketed_tables(spark: SparkSession, trips_csv: str, vendors_csv: str, out_dir: str, buckets: int,
-                           trips_table: str = "trip_data", vendors_table: str = "trip_vendors",
-                           mode: str = "errorifexists") -> tuple[str, str]:
-    """Convert both trip tables to Parquet tables bucketed by ``id``; pass the names with ``fmt="table"``."""
-    return conversions.convert_csv_to_bucketed(spark, trips_csv, vendors_csv, out_dir, buckets, trips_table,
-                                               vendors_table, mode)
-
-
 def trip_vendor_sample_join(spark: SparkSession, trips_parquet: str, vendors_parquet: str, n: int = 100,
                             strategy: str | None = None) -> DataFrame:
     """Trips joined with the first ``n`` vendors by id (the join-strategy job).
@@ -81,13 +77,14 @@ class SearchProfile:
 
 def search_profile(spark: SparkSession, log_path: str, titles_path: str, stops_path: str,
                    p: JobParams = JobParams(), stops_header: bool = False, id_col: str | None = None,
-                   multi_line: bool = False, stage_dir: str | None = None) -> SearchProfile:
+                   multi_line: bool = False, escaped: bool = False, stage_dir: str | None = None) -> SearchProfile:
     """The search-log questions over a TSV log (with header), a titles CSV and a stop-word list.
 
     The log needs a unique row key for the title match: ``id_col`` names it;
     without one, a key is derived from each row's position in its input file
     split (stable across recomputation of the file scan).  ``multi_line``
-    accepts quoted fields with line breaks (such files are not split).
+    accepts quoted fields with line breaks (such files are not split); ``escaped`` reads the
+    backslash form of ``write_delimited``.
 
     The nine answers each scan the log.  With ``stage_dir`` (a shared folder)
     the log and titles are parsed once and written there as Parquet; every
@@ -96,11 +93,11 @@ def search_profile(spark: SparkSession, log_path: str, titles_path: str, stops_p
     """
     from pyspark.sql import functions as F
 
-    log = read_searches(spark, log_path, multi_line=multi_line)
+    log = read_searches(spark, log_path, multi_line=multi_line, escaped=escaped)
     if id_col is None:
         id_col = "row_key"
         log = log.withColumn(id_col, F.monotonically_increasing_id())
-    titles = read_titles(spark, titles_path, multi_line=multi_line)
+    titles = read_titles(spark, titles_path, multi_line=multi_line, escaped=escaped)
     if stage_dir:
         base = stage_dir.rstrip("/")
         log = spark.read.parquet(write_parquet(log, f"{base}/searches.parquet"))
@@ -121,7 +118,7 @@ def search_profile(spark: SparkSession, log_path: str, titles_path: str, stops_p
 
 def export_titles(spark: SparkSession, titles_path: str, out_path: str, p: JobParams = JobParams(),
                   mode: str = "errorifexists", multi_line: bool = False) -> str:
-    """Write the printable title words sorted into ``export_files`` TSV files with a header."""
+    """Write the printable title words sorted into TSV files with a header (``export_files`` of them, if given)."""
     return searchlog.export_title_words(read_titles(spark, titles_path, multi_line), out_path, p, mode)
 
 

@@ -19,7 +19,7 @@ _LAT0 = "(39.5::DOUBLE + (event_id*53%700)/100::DOUBLE)"
 
 TRIPS = f"""trips AS (
   SELECT CAST(event_id AS VARCHAR) id, ts start_time,
-    ts + to_seconds(CAST(floor(value*10) AS INTEGER) - 60) end_time,
+    CASE WHEN event_id%388=0 THEN ts ELSE ts + to_seconds(CAST(floor(value*10) AS INTEGER) - 60) END end_time,
     {_LON0} start_longitude, {_LAT0} start_latitude,
     CASE WHEN event_id%97=0 THEN {_LON0} ELSE -80.5::DOUBLE + (event_id*71%1100)/100::DOUBLE END end_longitude,
     CASE WHEN event_id%97=0 THEN {_LAT0} ELSE 39.5::DOUBLE + (event_id*91%700)/100::DOUBLE END end_latitude,
@@ -36,18 +36,23 @@ CLEAN = """clean AS (
     AND start_latitude BETWEEN 40 AND 46 AND end_latitude BETWEEN 40 AND 46
     AND start_longitude BETWEEN -80 AND -70 AND end_longitude BETWEEN -80 AND -70)"""
 
-SEARCHES = """dockw AS (
-  SELECT doc_id, lower(array_to_string(list_slice(string_split(text, ' '), 1, 5), ' ')) keywords FROM documents),
-searches AS (
-  SELECT e.event_id, CAST(e.user_id AS VARCHAR) userid, k.keywords, e.ts date,
+_LOG_COLS = """e.event_id, CAST(e.user_id AS VARCHAR) userid, e.ts + to_days(CAST(e.event_id%2000 AS INTEGER)) date,
     CASE WHEN e.event_type IN ('click','view','purchase') THEN CAST(e.event_id%10+1 AS INTEGER) END pos,
     CASE WHEN e.event_type IN ('click','view','purchase')
-         THEN concat('http://site', CAST(e.event_id*7%40 AS VARCHAR), '.example/') END url
-  FROM events e JOIN dockw k ON k.doc_id = e.event_id % (SELECT count(*) FROM documents))"""
+         THEN concat('http://site', CAST(e.event_id*7%40 AS VARCHAR), '.example/') END url"""
 
-TITLES = """titles AS (
-  SELECT doc_id title_id, lower(array_to_string(list_slice(string_split(text, ' '), 3, 6), '_')) title
-  FROM documents WHERE lang = 'en')"""
+LOG = f"log AS (SELECT {_LOG_COLS} FROM events e)"
+
+SEARCHES = f"""searches AS (
+  SELECT {_LOG_COLS}, k.doc_id, k.text keywords
+  FROM events e JOIN documents k ON k.doc_id = e.event_id % (SELECT count(*) FROM documents))"""
+
+# each searched text once, with the number of its searches
+TEXTS = """texts AS (
+  SELECT k.doc_id, k.text keywords, n FROM documents k
+  JOIN (SELECT event_id % (SELECT count(*) FROM documents) doc_id, count(*) n FROM events GROUP BY 1) c USING (doc_id))"""
+
+TITLES = """titles AS (SELECT doc_id title_id, replace(text, ' ', '_') title FROM documents)"""
 
 WORDS = """words AS (
   SELECT title_id, title FROM (SELECT title_id, unnest(string_split(title, '_')) title FROM titles)
@@ -56,7 +61,7 @@ WORDS = """words AS (
 STOPS = """stops(stopWords) AS (VALUES ('the'), ('and'), ('of'), ('that'), ('in'), ('is'))"""
 
 NON_STOP = """kw AS (
-  SELECT event_id, title FROM (SELECT event_id, unnest(string_split(keywords, ' ')) title FROM searches) s
+  SELECT doc_id, title FROM (SELECT doc_id, unnest(string_split(keywords, ' ')) title FROM texts) s
   WHERE ascii(title) BETWEEN 33 AND 126
     AND NOT EXISTS (SELECT 1 FROM stops WHERE stops.stopWords = s.title))"""
 
@@ -76,22 +81,30 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _speed_rows(source: str) -> str:
+def _speed_rows(source: str, zero: str = "NULL") -> str:
     return f"""sp AS (
   SELECT id, start_time,
-    CASE WHEN date_sub('second', start_time, end_time) = 0 THEN NULL
+    CASE WHEN date_sub('second', start_time, end_time) = 0 THEN {zero}
          ELSE {DIST} / ({DUR_MIN} / 60::DOUBLE) END raw_speed
   FROM {source} WHERE dayofmonth(start_time) > 10)"""
 
 
+# no duration: infinite speed, or none at all without movement
+_ZERO = f"(CASE WHEN {DIST} > 0 THEN 'Infinity'::DOUBLE ELSE 'NaN'::DOUBLE END)"
+
+
 SQL: dict[str, str] = {
     "fastest_trips": _with(TRIPS, VENDORS, CLEAN, _speed_rows("clean")) + """
 SELECT sp.id, sp.start_time, v.vendor, round(raw_speed, 6) speed_kmh
 FROM sp JOIN vendors v ON v.id = sp.id ORDER BY raw_speed DESC, sp.id LIMIT 5""",
-    "fastest_trips_nan_last": _with(TRIPS, VENDORS, _speed_rows("trips")) + """
-SELECT sp.id, sp.start_time, v.vendor, round(raw_speed, 6) speed_kmh
-FROM sp JOIN vendors v ON v.id = sp.id
-ORDER BY CASE WHEN isnan(raw_speed) THEN NULL ELSE raw_speed END DESC NULLS LAST, sp.id LIMIT 5""",
+    "fastest_trips_nan_last": _with(TRIPS, VENDORS, _speed_rows("trips", _ZERO)) + """
+SELECT row_number() OVER (ORDER BY CASE WHEN isnan(raw_speed) THEN NULL ELSE raw_speed END DESC NULLS LAST,
+    coalesce(isnan(raw_speed), false) DESC, sp.id) "rank",
+  sp.id, sp.start_time, v.vendor, round(raw_speed, 6) + 0 speed_kmh
+FROM sp JOIN vendors v ON v.id = sp.id""",
+    "trip_mean_duration_decimal": _with(TRIPS, CLEAN) + f"""
+SELECT CAST(hour(start_time) AS INTEGER) hour_start, CAST(avg({DUR_MIN}) AS DECIMAL(32,2)) duration_min
+FROM clean GROUP BY 1 ORDER BY 1""",
     "trip_mean_duration_by_hour": _with(TRIPS, CLEAN) + f"""
 SELECT CAST(hour(start_time) AS INTEGER) hour_start, round(avg({DUR_MIN}), 6) duration_min
 FROM clean GROUP BY 1 ORDER BY 1""",
@@ -112,26 +125,26 @@ SELECT {_trip_cols('c')}, v.vendor FROM clean c JOIN vendors v ON v.id = c.id"""
     "limited_side_join": _with(TRIPS, VENDORS) + f"""
 SELECT {_trip_cols('t')}, v.vendor
 FROM trips t JOIN (SELECT * FROM vendors ORDER BY id LIMIT 100) v ON v.id = t.id""",
-    "searches_per_day": _with(SEARCHES) + """
-SELECT CAST(dayofyear(date) AS INTEGER) day_of_year, count(*) searches_per_day FROM searches GROUP BY 1 ORDER BY 1""",
-    "searches_per_week": _with(SEARCHES) + """
-SELECT CAST(weekofyear(date) AS INTEGER) week_of_year, count(*) searches_per_week FROM searches GROUP BY 1 ORDER BY 1""",
-    "searches_per_month": _with(SEARCHES) + """
-SELECT CAST(month(date) AS INTEGER) month_of_year, count(*) searches_per_month FROM searches GROUP BY 1 ORDER BY 1""",
-    "search_success": _with(SEARCHES) + """
+    "searches_per_day": _with(LOG) + """
+SELECT CAST(dayofyear(date) AS INTEGER) day_of_year, count(*) searches_per_day FROM log GROUP BY 1 ORDER BY 1""",
+    "searches_per_week": _with(LOG) + """
+SELECT CAST(weekofyear(date) AS INTEGER) week_of_year, count(*) searches_per_week FROM log GROUP BY 1 ORDER BY 1""",
+    "searches_per_month": _with(LOG) + """
+SELECT CAST(month(date) AS INTEGER) month_of_year, count(*) searches_per_month FROM log GROUP BY 1 ORDER BY 1""",
+    "search_success": _with(LOG) + """
 SELECT count(*) total, count(pos) successes,
   round(count(pos) * 100::DOUBLE / count(*), 6) success_pct,
   round((count(*) - count(pos)) * 100::DOUBLE / count(*), 6) failure_pct
-FROM searches""",
-    "popular_urls": _with(SEARCHES) + """
-SELECT url, count(DISTINCT userid) distinct_visitors FROM searches WHERE pos IS NOT NULL
-GROUP BY url HAVING count(DISTINCT userid) > 10 ORDER BY distinct_visitors DESC, url LIMIT 100""",
-    "keyword_counts": _with(SEARCHES) + """
-SELECT keyword, count(*) appearances FROM (SELECT unnest(string_split(keywords, ' ')) keyword FROM searches)
-GROUP BY keyword ORDER BY appearances DESC, keyword LIMIT 50""",
-    "distinct_keywords": _with(SEARCHES) + """
+FROM log""",
+    "popular_urls": _with(LOG) + """
+SELECT url, count(DISTINCT userid) distinct_visitors FROM log WHERE pos IS NOT NULL
+GROUP BY url HAVING count(DISTINCT userid) > 10 ORDER BY distinct_visitors DESC, url""",
+    "keyword_counts": _with(TEXTS) + """
+SELECT keyword, CAST(sum(n) AS BIGINT) appearances
+FROM (SELECT n, unnest(string_split(keywords, ' ')) keyword FROM texts) GROUP BY keyword ORDER BY appearances DESC, keyword""",
+    "distinct_keywords": _with(TEXTS) + """
 SELECT count(DISTINCT keyword) distinct_keywords
-FROM (SELECT unnest(string_split(keywords, ' ')) keyword FROM searches)""",
+FROM (SELECT unnest(string_split(keywords, ' ')) keyword FROM texts)""",
     "printable_words": _with(TITLES, WORDS) + "SELECT title_id, title FROM words",
     "title_first_letters": _with(TITLES, WORDS) + """,
 letters AS (
@@ -143,24 +156,28 @@ SELECT first_letter, appearances, round(appearances * 100::DOUBLE / sum(appearan
 FROM letters ORDER BY first_letter""",
     "title_word_export": _with(TITLES, WORDS) + "SELECT title FROM words",
     "distinct_words": _with(TITLES, WORDS) + "SELECT DISTINCT title FROM words",
-    "remove_stop_words": _with(SEARCHES, STOPS, NON_STOP) + "SELECT event_id, title FROM kw",
-    "dedup_by_key": _with(SEARCHES, STOPS, NON_STOP) + "SELECT DISTINCT event_id FROM kw",
-    "search_title_match": _with(SEARCHES, STOPS, NON_STOP, TITLES, WORDS) + """,
+    "remove_stop_words": _with(TEXTS, STOPS, NON_STOP) + "SELECT doc_id, title FROM kw",
+    "stop_words_file": _with(TEXTS, """stops AS (
+  SELECT DISTINCT lower(split_part(text, ' ', 1)) stopWords FROM benchmark)""", NON_STOP) + "SELECT doc_id, title FROM kw",
+    "dedup_by_key": _with(TEXTS, STOPS, NON_STOP) + """
+SELECT event_id FROM events WHERE event_id % (SELECT count(*) FROM documents) IN (SELECT doc_id FROM kw)""",
+    "search_title_match": _with(TEXTS, STOPS, NON_STOP, TITLES, WORDS) + """,
 vocab AS (SELECT DISTINCT title FROM words),
 per AS (
-  SELECT kw.event_id, max(CASE WHEN vocab.title IS NULL THEN 0 ELSE 1 END) hit
-  FROM kw LEFT JOIN vocab ON vocab.title = kw.title GROUP BY kw.event_id)
-SELECT CAST(coalesce(sum(hit), 0) AS BIGINT) matched, count(*) searchable,
-  round(coalesce(sum(hit), 0) * 100::DOUBLE / count(*), 6) match_pct
-FROM per""",
-    "search_row_number": _with(SEARCHES) + """
-SELECT event_id, userid, row_number() OVER (ORDER BY userid, event_id) row_num FROM searches""",
+  SELECT kw.doc_id, max(CASE WHEN vocab.title IS NULL THEN 0 ELSE 1 END) hit, count(vocab.title) matched_words
+  FROM kw LEFT JOIN vocab ON vocab.title = kw.title GROUP BY kw.doc_id)
+SELECT CAST(coalesce(sum(hit * n), 0) AS BIGINT) matched, CAST(coalesce(sum(n), 0) AS BIGINT) searchable,
+  round(coalesce(sum(hit * n), 0) * 100::DOUBLE / sum(n), 6) match_pct,
+  CAST(coalesce(sum(matched_words * n), 0) AS BIGINT) matched_words
+FROM per JOIN texts USING (doc_id)""",
+    "search_row_number": _with(LOG) + """
+SELECT *, row_number() OVER (ORDER BY userid, event_id) row_num FROM log""",
     "split_first": _with(SEARCHES) + """,
 lines AS (SELECT event_id, concat_ws(',', CAST(event_id AS VARCHAR), userid, keywords) line FROM searches)
 SELECT event_id, split_part(line, ',', 1) head,
   CASE WHEN strpos(line, ',') > 0 THEN substr(line, strpos(line, ',') + 1) END rest
 FROM lines""",
-    "drop_nulls": _with(SEARCHES) + "SELECT event_id, pos, url FROM searches WHERE pos IS NOT NULL AND url IS NOT NULL",
+    "drop_nulls": _with(LOG) + "SELECT event_id, pos, url FROM log WHERE pos IS NOT NULL AND url IS NOT NULL",
     "parse_timestamps": """
 WITH t AS (
   SELECT event_id, CASE WHEN event_type = 'error' THEN 'not a time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END ts_text
@@ -169,9 +186,6 @@ SELECT event_id, ts_text, try_strptime(ts_text, '%Y-%m-%d %H:%M:%S') parsed FROM
     "repartition_join": """
 SELECT o.o_orderkey k, o.o_orderpriority lv, CAST(l.l_linenumber AS VARCHAR) rv,
   concat_ws(', ', CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority, CAST(l.l_linenumber AS VARCHAR)) line
-FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
-    "tagged_repartition_join": """
-SELECT o.o_orderkey k, o.o_orderpriority lv, CAST(l.l_linenumber AS VARCHAR) rv
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
     "broadcast_join": """
 SELECT c.c_nationkey k, c.c_name lv, n.n_name rv,
@@ -187,12 +201,16 @@ UNION ALL SELECT 'merge', * FROM j UNION ALL SELECT 'shuffle_hash', * FROM j""",
     "tagged_union": """
 SELECT o_orderkey k, o_orderpriority v, 0 tag FROM orders
 UNION ALL SELECT l_orderkey, CAST(l_linenumber AS VARCHAR), 1 FROM lineitem""",
-    "parquet_scan": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
+    "parquet_scan": "SELECT * FROM lineitem",
     "parquet_convert": _with(TRIPS, VENDORS) + f"""
 SELECT {_trip_cols('t')}, v.vendor FROM trips t JOIN vendors v ON v.id = t.id""",
     "csv_round_trip": _with(TRIPS) + f"SELECT {TRIP_COLS} FROM trips",
     "tsv_round_trip": _with(SEARCHES) + "SELECT userid, keywords, date, pos, url FROM searches",
-    "rejected_rows": "SELECT CAST(event_id AS VARCHAR) id FROM events WHERE event_type = 'error'",
+    "rejected_rows": """
+SELECT CAST(event_id AS VARCHAR) id, CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END start_time,
+  date_trunc('second', ts) + INTERVAL 60 SECOND end_time, CAST(CAST(value AS FLOAT) AS DOUBLE) cost,
+  event_type = 'error' is_rejected
+FROM events""",
     "pair_files_join": """
 SELECT concat_ws(', ', CAST(o.o_orderkey AS VARCHAR), o.o_orderpriority, CAST(l.l_linenumber AS VARCHAR)) "value"
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",

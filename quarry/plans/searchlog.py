@@ -50,7 +50,7 @@ def success_ratio(searches: DataFrame) -> DataFrame:
 
 
 def popular_urls(searches: DataFrame, p: JobParams = JobParams()) -> DataFrame:
-    """URLs of successful searches with more than ``popular_min_visitors`` distinct users, top ``popular_top``.
+    """URLs of successful searches with more than ``popular_min_visitors`` distinct users, most first; ``popular_top`` (default none) keeps the first.
 
     ``countDistinct`` is planned in two aggregation steps keyed first by
     ``(url, userid)`` then by ``url``: duplicates are removed map-side and a
@@ -62,19 +62,28 @@ def popular_urls(searches: DataFrame, p: JobParams = JobParams()) -> DataFrame:
         .agg(F.countDistinct("userid").alias("distinct_visitors"))
         .filter(F.col("distinct_visitors") > p.popular_min_visitors)
     )
-    return top_k(counts, p.popular_top, [F.col("distinct_visitors").desc(), F.col("url")])
+    return _ranked(counts, p.popular_top, [F.col("distinct_visitors").desc(), F.col("url")])
 
 
-def keyword_rows(searches: DataFrame) -> DataFrame:
-    """One row per space-separated keyword token (empty tokens kept)."""
-    return searches.select(F.explode(split_words("keywords", " ")).alias("keyword"))
+def _ranked(df: DataFrame, top: int | None, order: list) -> DataFrame:
+    return df.orderBy(*order) if top is None else top_k(df, top, order)
 
 
-def keyword_counts(searches: DataFrame, top: int | None = JobParams().keyword_top) -> DataFrame:
-    """Appearances per keyword, most frequent first (ties by keyword); ``top=None`` keeps all."""
-    counts = keyword_rows(searches).groupBy("keyword").agg(F.count(F.lit(1)).alias("appearances"))
-    order = [F.col("appearances").desc(), F.col("keyword")]
-    return counts.orderBy(*order) if top is None else top_k(counts, top, order)
+def keyword_rows(searches: DataFrame, weight: str | None = None) -> DataFrame:
+    """One row per space-separated keyword token (empty tokens kept), with the weight of its search."""
+    extra = [weight] if weight else []
+    return searches.select(*extra, F.explode(split_words("keywords", " ")).alias("keyword"))
+
+
+def keyword_counts(searches: DataFrame, top: int | None = None, weight: str | None = None) -> DataFrame:
+    """Appearances per keyword, most frequent first (ties by keyword); ``top=None`` keeps all.
+
+    ``weight`` names a column with the number of searches that a row stands for: a text that
+    many searches share is then split once.
+    """
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = keyword_rows(searches, weight).groupBy("keyword").agg(n.alias("appearances"))
+    return _ranked(counts, top, [F.col("appearances").desc(), F.col("keyword")])
 
 
 def distinct_keywords(searches: DataFrame) -> DataFrame:
@@ -110,7 +119,7 @@ def title_first_letters(titles: DataFrame) -> DataFrame:
 
 
 def export_title_words(titles: DataFrame, path: str, p: JobParams = JobParams(), mode: str = "errorifexists") -> str:
-    """Write the title words sorted, in ``export_files`` tab-separated files with a header.
+    """Write the title words sorted, in ``export_files`` tab-separated files with a header (escaped form).
 
     Files hold consecutive word ranges, each sorted; the title id and word
     position break ties at file boundaries so one frequent word can span
@@ -123,7 +132,7 @@ def export_title_words(titles: DataFrame, path: str, p: JobParams = JobParams(),
         titles = titles.withColumn("title_id", F.monotonically_increasing_id())
     words = title_words(titles)
     return write_delimited(words, path, sep="\t", header=True, mode=mode, num_files=p.export_files,
-                           sort_by=["title"], tie_break=["title_id", "pos"], columns=["title"])
+                           sort_by=["title"], tie_break=["title_id", "pos"], columns=["title"], escaped=True)
 
 
 def search_words(searches: DataFrame, id_col: str = "event_id") -> DataFrame:
@@ -158,23 +167,28 @@ def distinct_title_words(titles: DataFrame) -> DataFrame:
 
 
 def search_title_match(searches: DataFrame, titles: DataFrame, stops: DataFrame, id_col: str = "event_id",
-                       strategy: str = "auto", stops_bounded: bool = False) -> DataFrame:
+                       strategy: str = "auto", stops_bounded: bool = False, weight: str | None = None) -> DataFrame:
     """Share of searches with a non-stop keyword that equals some title word.
 
     Output ``matched``, ``searchable`` (searches with at least one printable
-    non-stop keyword) and ``match_pct``.  One pass: each non-stop keyword is
-    left-joined with the distinct title vocabulary and flagged, flags are
-    folded per search (partially, before the shuffle on the id), then counted.
+    non-stop keyword), ``match_pct`` and ``matched_words`` (their keyword tokens that are title words).
+    Keywords are folded to one row per search and word before they meet the distinct
+    title vocabulary.  ``weight`` names a column with the number of searches that a row stands for.
     """
     words = remove_stop_words(search_words(searches, id_col), stops, stops_bounded=stops_bounded)
+    words = words.groupBy(id_col, "title").agg(F.count(F.lit(1)).alias("times"))
     vocab = distinct_title_words(titles).withColumn("hit", F.lit(1))
     per_search = (
         words.join(hinted(vocab, strategy), "title", "left")
         .groupBy(id_col)
-        .agg(F.max(F.coalesce("hit", F.lit(0))).alias("hit"))
+        .agg(F.max(F.coalesce("hit", F.lit(0))).alias("hit"), F.sum(F.col("times") * F.coalesce("hit", F.lit(0))).alias("words"))
     )
+    n = F.lit(1)
+    if weight:
+        per_search, n = per_search.join(searches.select(id_col, weight), id_col), F.col(weight)
     return per_search.agg(
-        F.coalesce(F.sum("hit"), F.lit(0)).cast("long").alias("matched"),
-        F.count(F.lit(1)).alias("searchable"),
+        F.coalesce(F.sum(F.col("hit") * n), F.lit(0)).cast("long").alias("matched"),
+        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("searchable"),
+        F.coalesce(F.sum(F.col("words") * n), F.lit(0)).cast("long").alias("matched_words"),
     ).select("matched", "searchable",
-             F.try_divide(F.col("matched") * F.lit(100.0), F.col("searchable")).alias("match_pct"))
+             F.try_divide(F.col("matched") * F.lit(100.0), F.col("searchable")).alias("match_pct"), "matched_words")

@@ -13,10 +13,10 @@ from pyspark.sql.types import DecimalType
 
 from quarry.config import JobParams
 from quarry.functions.geo import haversine_km
-from quarry.functions.timefn import duration_min, duration_sec, speed_kmh
+from quarry.functions.timefn import duration_min, duration_sec, speed_ieee, speed_kmh
 from quarry.operators.cleaning import clean_trips
 from quarry.operators.joins import hinted
-from quarry.operators.ordering import desc_nan_last, top_k
+from quarry.operators.ordering import dense_row_number, desc_nan_last, top_k
 from quarry.schemas import DISTANCE_KM, DURATION_MIN, DURATION_SEC, HOUR_START, SPEED_KMH
 
 
@@ -93,22 +93,41 @@ def max_cost_by_vendor(trips: DataFrame, vendors: DataFrame, p: JobParams = JobP
     )
 
 
+def _speeds(trips: DataFrame, p: JobParams, speed, extra=()) -> DataFrame:
+    t = trips.filter(F.dayofmonth("start_time") > p.fastest_after_day)
+    dist = haversine_km("start_longitude", "start_latitude", "end_longitude", "end_latitude", p.earth_radius_km)
+    minutes = duration_min("start_time", "end_time")
+    t = t.withColumns({DISTANCE_KM: dist, DURATION_MIN: minutes, SPEED_KMH: speed(dist, minutes),
+                       DURATION_SEC: duration_sec("start_time", "end_time")})
+    return t.select("id", "start_time", SPEED_KMH, *extra)
+
+
 def fastest_trips(trips: DataFrame, vendors: DataFrame, p: JobParams = JobParams(), strategy: str = "auto",
-                  nan_last: bool = False, clean: bool = True, details: bool = False) -> DataFrame:
-    """The ``k`` fastest trips that start after day ``fastest_after_day`` of a month.
+                  details: bool = False) -> DataFrame:
+    """The ``fastest_k`` fastest cleaned trips that start after day ``fastest_after_day`` of a month.
 
     Output ``id, start_time, vendor, speed_kmh`` (with ``details`` also
     ``distance_km`` and ``duration_sec``), fastest first, ties by id.
     Cleaning, the day filter and the speed are evaluated on the trip side
     before the join; the join output feeds a ``TakeOrderedAndProject``.
-    ``nan_last`` orders NaN and null speeds after every number.
     """
-    t = clean_trips(trips, p) if clean else trips
-    t = with_speed(t.filter(F.dayofmonth("start_time") > p.fastest_after_day), p)
     extra = [DISTANCE_KM, DURATION_SEC] if details else []
-    if details:
-        t = t.withColumn(DURATION_SEC, duration_sec("start_time", "end_time"))
-    t = t.select("id", "start_time", SPEED_KMH, *extra)
+    t = _speeds(clean_trips(trips, p), p, speed_kmh, extra)
     joined = t.join(hinted(vendors.select("id", "vendor"), strategy), "id")
-    speed = desc_nan_last(SPEED_KMH) if nan_last else F.col(SPEED_KMH).desc()
-    return top_k(joined, p.fastest_k, [speed, F.col("id")]).select("id", "start_time", "vendor", SPEED_KMH, *extra)
+    return top_k(joined, p.fastest_k, [F.col(SPEED_KMH).desc(), F.col("id")]).select(
+        "id", "start_time", "vendor", SPEED_KMH, *extra)
+
+
+def speed_ranking(trips: DataFrame, vendors: DataFrame, p: JobParams = JobParams(), strategy: str = "auto",
+                  top: int | None = None) -> DataFrame:
+    """All uncleaned trips after day ``fastest_after_day`` with their vendor and ``rank``, fastest first:
+    infinite speeds (no duration), finite ones, then NaN (no duration, no distance) and null; ties by id.
+
+    The ranks are distributed (:func:`dense_row_number`); ids must be unique. ``top`` keeps the first ranks.
+    """
+    joined = _speeds(trips, p, speed_ieee).join(hinted(vendors.select("id", "vendor"), strategy), "id")
+    joined = joined.select("id", "start_time", "vendor", SPEED_KMH)
+    order = [desc_nan_last(SPEED_KMH), F.coalesce(F.isnan(SPEED_KMH), F.lit(False)).desc(), F.col("id")]
+    if top is not None:
+        joined = top_k(joined, top, order)
+    return dense_row_number(joined, order, "rank")

@@ -8,7 +8,10 @@ from pyspark.sql.types import StructType
 
 from quarry import schemas
 from quarry.config import TIME_FORMAT
+from quarry.sources.escapes import EMPTY, NULL, unescape
 
+# Stands for null while a line is parsed; no text of a file is equal to it.
+NO_VALUE = "\x01"
 # Local date-times in files may carry a fraction of a second or not.
 READ_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
@@ -16,13 +19,14 @@ READ_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 def read_delimited(spark: SparkSession, path: str, schema: StructType | None, sep: str = ",",
                    header: bool = False, infer_schema: bool = False, mode: str = "PERMISSIVE",
                    time_format: str = READ_TIME_FORMAT, corrupt_column: str | None = None,
-                   multi_line: bool = False) -> DataFrame:
+                   multi_line: bool = False, escaped: bool = False) -> DataFrame:
     """CSV/TSV scan with a declared schema (inference only when asked for).
 
     ``mode``: ``PERMISSIVE`` (bad fields become null; with ``corrupt_column``
     the whole line is kept there), ``DROPMALFORMED`` or ``FAILFAST``.
     ``multi_line`` allows quoted fields with line breaks (a file is then read
-    by one task, so keep files many and moderate in size).
+    by one task, so keep files many and moderate in size).  ``escaped`` reads the
+    form that ``write_delimited(escaped=True)`` writes; such files are split.
     """
     reader = spark.read.option("sep", sep).option("header", str(header).lower()).option("mode", mode)
     reader = reader.option("timestampNTZFormat", time_format).option("timestampFormat", time_format)
@@ -34,7 +38,12 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | None, se
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if multi_line:
         reader = reader.option("multiLine", "true")
-    return reader.csv(path)
+    if escaped:
+        out = (reader.option("quote", "").option("escape", "").option("comment", "").option("nullValue", NULL)
+               .option("emptyValue", EMPTY).csv(path))
+        return out.select(*[unescape(F.col(f"`{n}`"), sep).alias(n) if t == "string" else F.col(f"`{n}`") for n, t in out.dtypes])
+    # an unquoted empty field is null, a quoted one an empty string
+    return reader.option("escape", '"').option("nullValue", NO_VALUE).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -65,14 +74,14 @@ def read_vendors(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return load_table(spark, path, fmt, schemas.VENDORS)
 
 
-def read_searches(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_searches(spark: SparkSession, path: str, multi_line: bool = False, escaped: bool = False) -> DataFrame:
     """Search log: tab separated with a header line."""
-    return read_delimited(spark, path, schemas.SEARCHES, sep="\t", header=True, multi_line=multi_line)
+    return read_delimited(spark, path, schemas.SEARCHES, sep="\t", header=True, multi_line=multi_line, escaped=escaped)
 
 
-def read_titles(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_titles(spark: SparkSession, path: str, multi_line: bool = False, escaped: bool = False) -> DataFrame:
     """Titles (words joined by ``_``): CSV with a header line."""
-    return read_delimited(spark, path, schemas.TITLES, sep=",", header=True, multi_line=multi_line)
+    return read_delimited(spark, path, schemas.TITLES, sep=",", header=True, multi_line=multi_line, escaped=escaped)
 
 
 def read_stop_words(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
@@ -87,8 +96,14 @@ def read_stop_words(spark: SparkSession, path: str, header: bool = False) -> Dat
 
 
 def read_pairs(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """Key/value pairs: the first two fields of each separated line (extra fields ignored)."""
-    return read_delimited(spark, path, schemas.PAIRS, sep=sep, header=False)
+    """Key/value pairs: the first two fields of each separated line (extra fields ignored).
+
+    Lines are split as they are: quotes are ordinary characters and a key may be empty; the value of
+    a line without a separator is null.
+    """
+    pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
+    fields = F.split(F.col("value"), pattern, -1)
+    return read_lines(spark, path).select(fields.getItem(0).alias("k"), F.get(fields, F.lit(1)).alias("v"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

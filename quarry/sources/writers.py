@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from quarry.operators.ordering import range_sorted
+from quarry.sources.escapes import EMPTY, NULL, escape
 
 WRITE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -20,8 +22,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False, mode: str = "errorifexists",
                     num_files: int | None = None, sort_by: Sequence[Column | str] = (),
                     tie_break: Sequence[Column | str] = (), columns: Sequence[str] | None = None,
-                    time_format: str = WRITE_TIME_FORMAT) -> str:
-    """Write CSV/TSV.
+                    time_format: str = WRITE_TIME_FORMAT, escaped: bool = False) -> str:
+    """Write CSV/TSV; every value comes back as it was (white space, quotes, empty strings).
+
+    In the plain form a null is an unquoted empty field, an empty string a quoted one, and a
+    field with a line break is quoted over several lines, so such a file cannot be split when
+    read.  ``escaped`` writes line breaks, separators and backslashes as backslash
+    codes and null as ``\\N``: one line per row, without quotes; read it with ``escaped=True``.
 
     With ``sort_by`` the rows are range-partitioned into ``num_files`` files
     (``None``: as many as AQE's partition sizing gives), each sorted, so
@@ -37,12 +44,20 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Fal
         # round-robin; retry-safe through spark.sql.execution.sortBeforeRepartition (on by default)
         out = df.repartition(num_files)
     keep = list(columns) if columns is not None else df.columns
-    (
-        out.select(*keep).write.mode(mode)
+    out = out.select(*keep)
+    if escaped:
+        out = out.select(*[escape(F.col(f"`{n}`"), sep).alias(n) if t == "string" else F.col(f"`{n}`") for n, t in out.dtypes])
+    writer = (
+        out.write.mode(mode)
         .option("sep", sep).option("header", str(header).lower())
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
         .option("timestampNTZFormat", time_format).option("timestampFormat", time_format)
-        .csv(path)
     )
+    if escaped:
+        writer = writer.option("quote", "").option("escape", "").option("nullValue", NULL).option("emptyValue", EMPTY)
+    else:
+        writer = writer.option("escape", '"').option("emptyValue", '""')
+    writer.csv(path)
     return path
 
 

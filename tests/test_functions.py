@@ -11,13 +11,11 @@ from quarry.functions import (
     duration_min,
     duration_sec,
     first_letter_class,
-    first_words,
     is_printable_word,
     parse_ntz,
     register_sql_functions,
     split_first,
     split_words,
-    words_between,
 )
 from quarry.functions.geo import haversine_km
 
@@ -91,15 +89,12 @@ def test_split_first(spark):
     assert rows[1].p == ["x"]
 
 
-def test_first_words_equals_slice_on_whole_documents(spark, sf_small):
-    # the cheap form must equal the array form on every full document text
-    d = spark.read.parquet(f"{sf_small}/documents.parquet")
-    diff = d.filter(first_words("text", 5) != F.array_join(F.slice(F.split("text", " "), 1, 5), " "))
-    assert diff.count() == 0
-    full = F.array_join(F.slice(F.split("text", " "), 3, 4), "_")
-    assert d.filter(words_between("text", 3, 4) != full).count() == 0
-    edge = spark.createDataFrame([("",), ("a",), ("a b c",), (" a  b c d e f g",), ("a b c d e f",)], "text string")
-    assert edge.filter(~words_between("text", 3, 4).eqNullSafe(full)).count() == 0
+def test_speed_by_ieee_division(spark):
+    from quarry.functions.timefn import speed_ieee
+
+    df = spark.createDataFrame([(10.0, 30.0), (5.0, 0.0), (0.0, 0.0), (None, 0.0), (5.0, -30.0)], "d double, m double")
+    got = [r.s for r in df.select(speed_ieee("d", "m").alias("s")).collect()]
+    assert got[0] == 20.0 and got[1] == float("inf") and got[2] != got[2] and got[3] is None and got[4] == -10.0
 
 
 def test_parse_ntz(spark):

@@ -8,7 +8,8 @@ from quarry import schemas
 from quarry.config import scratch_dir
 from quarry.operators import persisted
 from quarry.plans import conversions, jobs, searchlog, trips
-from quarry.sources import write_delimited
+from quarry.config import JobParams
+from quarry.sources import read_delimited, write_delimited
 
 
 def test_trip_questions_csv_and_parquet_agree(spark, sf_small):
@@ -16,13 +17,18 @@ def test_trip_questions_csv_and_parquet_agree(spark, sf_small):
     base = scratch_dir(spark, "job-trips")
     conversions.trips_to_csv(t, f"{base}/trips.csv")
     write_delimited(v, f"{base}/vendors.csv")
-    tq, vq = jobs.create_parquet(spark, f"{base}/trips.csv", f"{base}/vendors.csv", f"{base}/pq")
+    tq, vq = conversions.convert_csv_to_parquet(spark, f"{base}/trips.csv", f"{base}/vendors.csv", f"{base}/pq")
     a = jobs.trip_questions(spark, f"{base}/trips.csv", f"{base}/vendors.csv", "csv", as_decimal=False)
     b = jobs.trip_questions(spark, tq, vq, "parquet", as_decimal=False)
     want = trips.fastest_trips(t, v)
     assert a.fastest_trips.collect() == b.fastest_trips.collect() == want.collect()
     assert a.max_cost_by_vendor.collect() == trips.max_cost_by_vendor(t, v).collect()
     assert len(a.mean_duration_by_hour.collect()) == 24
+    staged = jobs.trip_questions(spark, f"{base}/trips.csv", f"{base}/vendors.csv", "csv", as_decimal=False,
+                                 stage_dir=f"{base}/stage")
+    assert staged.fastest_trips.collect() == want.collect()
+    assert staged.max_cost_by_vendor.collect() == a.max_cost_by_vendor.collect()
+    assert staged.mean_duration_by_hour.collect() == a.mean_duration_by_hour.collect()
     dec = jobs.trip_questions(spark, tq, vq, "parquet")
     assert dict(dec.mean_duration_by_hour.dtypes)["duration_min"] == "decimal(32,2)"
     sample = jobs.trip_vendor_sample_join(spark, tq, vq, n=100)
@@ -34,12 +40,12 @@ def test_search_profile_from_files(spark, sf_small):
     s = fx.searches(spark, sf_small)
     titles = fx.titles(spark, sf_small)
     base = scratch_dir(spark, "job-search")
-    write_delimited(s.select(*schemas.SEARCHES.fieldNames()), f"{base}/log", sep="\t", header=True)
-    write_delimited(titles.select("title"), f"{base}/titles", header=True)
+    write_delimited(s.select(*schemas.SEARCHES.fieldNames()), f"{base}/log", sep="\t", header=True, escaped=True)
+    write_delimited(titles.select("title"), f"{base}/titles", header=True, escaped=True)
     os.makedirs(f"{base}/stops")
     with open(f"{base}/stops/stop.txt", "w") as f:
         f.write("\n".join(fx.FIXTURE_STOP_WORDS) + "\n")
-    prof = jobs.search_profile(spark, f"{base}/log", f"{base}/titles", f"{base}/stops", multi_line=True)
+    prof = jobs.search_profile(spark, f"{base}/log", f"{base}/titles", f"{base}/stops", escaped=True)
     with persisted(s) as cached:
         assert sorted(prof.searches_per_day.collect()) == sorted(searchlog.calendar_counts(cached, "day").collect())
         assert prof.success.collect() == searchlog.success_ratio(cached).collect()
@@ -48,7 +54,7 @@ def test_search_profile_from_files(spark, sf_small):
     assert prof.title_first_letters.collect() == searchlog.title_first_letters(titles.select("title")).collect()
     want = searchlog.search_title_match(s, titles, fx.stop_words(spark)).collect()
     assert prof.title_match.collect() == want
-    staged = jobs.search_profile(spark, f"{base}/log", f"{base}/titles", f"{base}/stops", multi_line=True,
+    staged = jobs.search_profile(spark, f"{base}/log", f"{base}/titles", f"{base}/stops", escaped=True,
                                  stage_dir=f"{base}/stage")
     assert staged.title_match.collect() == want
     assert staged.keyword_counts.collect() == prof.keyword_counts.collect()
@@ -80,7 +86,7 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_small):
     conversions.trips_to_csv(t, f"{base}/trips.csv")
     write_delimited(v, f"{base}/vendors.csv")
     tag = uuid.uuid4().hex[:8]
-    tn, vn = jobs.create_bucketed_tables(spark, f"{base}/trips.csv", f"{base}/vendors.csv", f"{base}/tables", 8,
+    tn, vn = conversions.convert_csv_to_bucketed(spark, f"{base}/trips.csv", f"{base}/vendors.csv", f"{base}/tables", 8,
                                          f"trips_{tag}", f"vendors_{tag}")
     try:
         import glob
@@ -102,14 +108,13 @@ def test_export_titles_from_file(spark, sf_small):
 
     titles = fx.titles(spark, sf_small)
     base = scratch_dir(spark, "job-export")
-    write_delimited(titles.select("title"), f"{base}/titles", header=True)
-    out = jobs.export_titles(spark, f"{base}/titles", f"{base}/out", multi_line=True)
+    write_delimited(titles.select("title"), f"{base}/titles", header=True)  # quoted line breaks
+    out = jobs.export_titles(spark, f"{base}/titles", f"{base}/out", JobParams(export_files=10), multi_line=True)
     files = sorted(glob.glob(f"{out}/part-*.csv"))
     assert len(files) == 10
     words = []
     for fpath in files:
-        part = spark.read.csv(fpath, sep="\t", header=True, multiLine=True, schema=schemas.TITLES)
-        words.extend(r.title for r in part.collect())
+        words.extend(r.title for r in read_delimited(spark, fpath, schemas.TITLES, sep="\t", header=True, escaped=True).collect())
     want = sorted(r.title for r in searchlog.title_words(titles).collect())
     assert words == want
 

@@ -3,8 +3,9 @@ zone, automatic broadcast, shuffle partition count."""
 
 import pytest
 
-import __spark_entry__ as entry
 from oracle_check import compare, duck
+from quarry.plans.catalog import QUERIES
+from quarry.plans.oracle import SQL
 
 OTHER = {
     "spark.sql.ansi.enabled": "false",
@@ -29,7 +30,7 @@ def con(sf_small):
     return duck(sf_small)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle_under_other_settings(spark, other_settings, con, sf_small, key):
-    ok, msg = compare(spark, con, key, entry.queries()[key], entry.oracle_sql().get(key), sf_small)
+    ok, msg = compare(spark, con, key, QUERIES[key], SQL[key], sf_small)
     assert ok, msg
