@@ -17,10 +17,10 @@ at most a fifth of its own in the other. The join finds all such pairs:
    without a bit are no key; a set with m - d of them or more could agree in
    nothing else, and goes on to the sketch of the next seed, as would its partner.
    Of a pair, one in the lower band decides; sets join their own band and the one below.
-4. Nodes that share a block are candidates. First every node is verified against the smallest
-   and the largest node that it shares most blocks with; the
-   links give components. Then only candidates of different components are verified, so
-   pairs within a group of copies are never listed. No bucket is capped.
+4. Nodes that share a block, directly or over others, are a family. Its members are compared by size and by
+   a parity sketch of ``SKETCH_BITS`` bits, and then exactly; of the similar pairs only as
+   many are kept as connect the members. A family of more than ``BLOCK_NODES`` nodes or ``BLOCK_HASHES``
+   hashes is cut into blocks, and every pair of blocks is a task of its own: no bucket is capped.
 
 The result has the smallest doc_id reachable over links for every document.
 Defined results: texts without words (null, empty) have an empty set and are linked with
@@ -48,6 +48,9 @@ BUCKET_HASHES = 2_000_000
 CHUNK_HASHES = 4_000_000
 MOST_CHUNK_DOCS = 1 << 16
 SEEDS = 64
+SKETCH_BITS = 1024
+BLOCK_NODES = 4096
+BLOCK_HASHES = 4_000_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,70 +240,122 @@ def sets_of(spark: SparkSession, docs: DataFrame, picked: DataFrame) -> DataFram
                           .mapInArrow(sets, "node long, n long, hashes binary"), "sets")
 
 
-def shared_keys(spark: SparkSession, sets: DataFrame) -> DataFrame:
-    """(key, node, n, lo, hi): block keys that more than one node has, with the smallest and largest of them."""
+def candidates(spark: SparkSession, sets: DataFrame) -> DataFrame:
+    """(a, b): every node with the smallest node of each block key that it shares with others."""
     most = sets.agg(F.max("n")).first()[0] or 1
     all_bands = bands(most)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, out = batch.column("node").to_numpy(), batch.column("n").to_numpy(), []
+            nodes, out = batch.column("node").to_numpy(), []
             for h in batch.column("hashes").to_pylist():
                 out.append(block_keys(np.frombuffer(h, np.uint64), all_bands).view(np.int64))
             many = [len(x) for x in out]
             if many:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.repeat(nodes, many)),
-                                                  pa.array(np.repeat(sizes, many))], ["key", "node", "n"])
-
-    keys = sets.mapInArrow(keyed, "key long, node long, n long")
-    ends = _store.written(spark, keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi"), "shared-keys")
-    return _store.written(spark, keys.join(ends, "key"), "keyed-nodes")
-
-
-def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets are similar."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("hashes").alias("right"))
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("hashes").alias("left"))
-    laid = pairs.select("a", "b").join(left, "a").join(right, "b").where(
-        (F.col("n_a") * 100 >= F.col("n_b") * PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * PERCENT))
-    return _store.written(spark, laid.select("a", "b", "left", "right").mapInArrow(check, "a long, b long"), "similar")
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.repeat(nodes, many))], ["key", "node"])
+
+    keys = sets.select("node", "hashes").mapInArrow(keyed, "key long, node long")
+    first = _store.written(spark, keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+                           .where("lo < hi").select("key", "lo"), "shared-keys")
+    return _store.written(spark, keys.join(first, "key").where("node <> lo")
+                          .select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "candidates")
+
+
+def sketches(hashes: list[np.ndarray]) -> np.ndarray:
+    """Parity sketch of SKETCH_BITS bits of each set: every hash flips one bit."""
+    words = SKETCH_BITS // 64
+    out = np.zeros(len(hashes) * words, np.uint64)
+    flat = _bytes.mix(np.concatenate(hashes) ^ np.uint64(0x2545F4914F6CDD1D))
+    row = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
+    np.bitwise_xor.at(out, row * words + ((flat >> np.uint64(6)) % np.uint64(words)).astype(np.int64),
+                      np.uint64(1) << (flat & np.uint64(63)))
+    return out.reshape(len(hashes), words)
+
+
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
+def spanning_links(hashes: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Similar pairs that connect just what all similar pairs connect (with ``side``: pairs of unequal sides only).
+
+    Pairs whose sizes or sketches are too far apart are dropped; of the others, the node in most of them is
+    verified first, and pairs that are connected by then need no check."""
+    sizes = np.array([len(h) for h in hashes])
+    order = np.argsort(sizes, kind="stable")
+    n, sketch = sizes[order], sketches(hashes)[order]
+    side = side[order] if side is not None else None
+    last = np.searchsorted(n, n * 100 // PERCENT, "right")
+    i_of, j_of = [], []
+    for i in range(len(n)):
+        if last[i] - i < 2:
+            continue
+        distance = np.bitwise_count(sketch[i + 1:last[i]] ^ sketch[i]).sum(1, dtype=np.int64)
+        near = distance * (100 + PERCENT) <= (n[i] + n[i + 1:last[i]]) * (100 - PERCENT)
+        if side is not None:
+            near &= side[i + 1:last[i]] != side[i]
+        j = np.flatnonzero(near) + i + 1
+        i_of.append(np.full(len(j), i, np.int32))
+        j_of.append(j.astype(np.int32))
+    links: list[tuple[int, int]] = []
+    if not i_of:
+        return links
+    i, j = np.concatenate(i_of), np.concatenate(j_of)
+    label = np.arange(len(n))
+    while len(i):
+        hub = int(np.argmax(np.bincount(i, minlength=len(n)) + np.bincount(j, minlength=len(n))))
+        mine = (i == hub) | (j == hub)
+        for other in np.where(i[mine] == hub, j[mine], i[mine]).tolist():
+            if label[other] != label[hub] and similar(hashes[order[hub]], hashes[order[other]]):
+                links.append((int(order[hub]), int(order[other])))
+                label[label == label[other]] = label[hub]
+        rest = ~mine
+        i, j = i[rest], j[rest]
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+    return links
 
 
 def similar_links(spark: SparkSession, sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect exactly the nodes which similar pairs connect."""
-    keyed = shared_keys(spark, sets)
-
-    def best(end: str) -> DataFrame:
-        counts = keyed.where(F.col("node") != F.col(end)).groupBy("node", end).count()
-        top = counts.groupBy("node").agg(F.max(F.struct("count", end)).alias("top"))
-        return top.select(F.greatest("node", f"top.{end}").alias("a"), F.least("node", f"top.{end}").alias("b"))
-
-    tried = _store.written(spark, best("lo").unionByName(best("hi")).distinct(), "tried")
-    links = verified(spark, tried, sets)
-    groups = components(spark, links)
-    # candidates of different components: nothing within a group of copies
-    labelled = keyed.select("key", "node", "n").join(groups, "node", "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed = _store.written(spark, labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                           .where("x < y").select("key"), "mixed-keys")
-    open_ = _store.written(spark, labelled.join(mixed, "key"), "open-nodes")
-    other = open_.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-    pairs = (open_.join(other, "key").where(
-        (F.col("component") != F.col("component_b")) & (F.col("node") > F.col("b"))
-        & (F.col("n") * 100 >= F.col("n_b") * PERCENT) & (F.col("n_b") * 100 >= F.col("n") * PERCENT))
-        .select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    return links.unionByName(verified(spark, _store.written(spark, pairs, "cross-pairs"), sets))
+    family = components(spark, candidates(spark, sets))
+    # families of many nodes or bytes are cut into blocks, and each pair of blocks is a group of its own
+    size = family.join(sets.select("node", "n"), "node").groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("hashes"))
+    cut = F.greatest(F.ceil(F.col("m") / BLOCK_NODES), F.ceil(F.col("hashes") / BLOCK_HASHES)).cast("int")
+    size = _store.written(spark, size.select("component", cut.alias("blocks")), "families")
+    member = _store.written(spark, family.join(size, "component"), "family-nodes")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
+    placed = (sets.select("node", "hashes").join(member, "node").withColumn("side", own)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "hashes"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def groups():
+            key, rows = None, []
+            for batch in batches:
+                for *k, side, node, raw in zip(*(batch.column(c).to_pylist() for c in ("component", "i", "j", "side", "node", "hashes"))):
+                    if k != key and rows:
+                        yield key, rows
+                        rows = []
+                    key = k
+                    rows.append((side, node, raw))
+            if rows:
+                yield key, rows
+
+        def links():
+            for (_, i, j), rows in groups():
+                hashes = [np.frombuffer(r[2], np.uint64) for r in rows]
+                side = np.array([r[0] for r in rows]) if i != j else None
+                for a, b in spanning_links(hashes, side):
+                    yield rows[a][1], rows[b][1]
+
+        yield from _store.batches(links(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return _store.written(spark, placed.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+                          .mapInArrow(compare, "a long, b long"), "similar")
 
 
 def similar_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
