@@ -157,5 +157,8 @@ def longest_stretch(equal: np.ndarray, share: float = SIMILARITY) -> tuple[int,
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no passage with the benchmark, in all their columns."""
-    leaked = _store.written(spark, find_leaks(spark, docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct(), "leaked")
-    return docs.join(leaked, docs["doc_id"].cast("long").eqNullSafe(F.col("leaked")), "left_anti")
+    # a row is named by a hash of its id and text, so that rows without an id are told apart
+    name = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    named = find_leaks(spark, docs.select(name.alias("doc_id"), "text"), benchmark)
+    leaked = _store.written(spark, named.select(F.col("doc_id").alias("leaked")).distinct(), "leaked")
+    return docs.join(leaked, name == F.col("leaked"), "left_anti")
