@@ -1,0 +1,66 @@
+"""The corpus pipeline, stage by stage, and the registered queries."""
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from llm_cases import no_docs, odd_docs
+from quarry.llm import decontamination, jaccard_join, line_dedup, quality_classifier, queries
+from quarry.llm._store import written
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_every_operator_is_registered():
+    names = entry.queries()
+    for n in range(1, 11):
+        assert sum(k.startswith(f"op{n}_") for k in names) == 1
+    assert names["pipeline"] is corpus_pipeline.run and set(queries.SQL) <= set(entry.oracle_sql())
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality classifier", "line dedup", "n-gram Jaccard join",
+                                                            "benchmark decontamination", "packing"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out.append(written(spark, stage(spark, out[-1], SF), f"test-stage-{k}"))
+    return out
+
+
+def test_stages_keep_the_columns_of_documents(stages):
+    for df in stages[:-1]:
+        assert df.columns == stages[0].columns and df.schema.simpleString() == stages[0].schema.simpleString()
+    counts = [df.count() for df in stages[:-1]]
+    assert counts == sorted(counts, reverse=True) and counts[-1] > 0.6 * counts[0]
+
+
+def test_each_stage_does_its_work(spark, stages):
+    labels, bench = spark.read.parquet(f"{SF}/labels.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    docs, good, lines, single, clean, packed = stages
+    rejected = {r.doc_id for r in quality_classifier.score(spark, docs, labels).where("predicted = 0").collect()}
+    assert rejected and {r.doc_id for r in docs.select("doc_id").collect()} - {r.doc_id for r in good.collect()} == rejected
+    kept = good.join(labels, "doc_id").where("quality = 1").count() / docs.join(labels, "doc_id").where("quality = 1").count()
+    assert kept > 0.97
+    assert line_dedup.dedup_lines(spark, lines).where("n_removed > 0").count() == 0
+    found = jaccard_join.similar_components(spark, single)
+    assert found.where("doc_id <> component_id").count() == 0
+    assert decontamination.find_leaks(spark, single, bench).count() > 0
+    assert decontamination.find_leaks(spark, clean, bench).count() == 0
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in clean.select("doc_id").collect()}
+
+
+def test_odd_rows_and_no_rows(spark):
+    for docs in (odd_docs(spark), no_docs(spark)):
+        before = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            columns = docs.columns
+            docs = written(spark, stage(spark, docs, SF), "odd-stage")
+            assert name == "packing" or docs.columns == columns
+        assert (docs.count() > 0) == (before > 0)
+
+
+def test_run_equals_the_stages(spark, stages):
+    small = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert small.columns == stages[-1].columns and small.count() > 0
