@@ -21,6 +21,7 @@ from quarry.functions.geo import haversine_km
 
 
 def test_haversine_known_pair(spark):
+    # fixed values: a pair of points and its distance that the original jobs state as a check
     df = spark.createDataFrame([(-69.6518630981445, 42.982208251953125, -73.95278930664062, 40.80302047729492)],
                                "a double, b double, c double, d double")
     v = df.select(haversine_km("a", "b", "c", "d").alias("x")).first().x
