@@ -37,8 +37,8 @@ from quarry.llm import _bytes, _filter, _store
 
 LENGTH = 400
 KMER = 64  # a power of two
-TEXT_BYTES = 2 << 20
-GROUP_CONTEXTS = 2048
+TEXT_BYTES = 256 << 10
+GROUP_CONTEXTS = 512
 FIRST_DEPTH = 32  # depth up to which prefix doubling gives the bounds; a power of two, at least 8
 PACKED_HASHES = 1_000_000
 
@@ -273,15 +273,12 @@ def _source(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
-def _only(spark: SparkSession, frame: DataFrame, column: str, hashes: DataFrame, negate: bool = False) -> DataFrame:
-    """Rows whose hash may be among ``hashes`` (or, negated, surely is not)."""
-    shared = spark.sparkContext.broadcast(_filter.bloom(hashes))
+def _only(frame: DataFrame, column: str, shared) -> DataFrame:
+    """Rows whose hash may be in the broadcast filter."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = _filter.inside(shared.value, batch.column(column).to_numpy().view(np.uint64))
-            if negate:
-                at = np.setdiff1d(np.arange(len(batch)), at, assume_unique=True)
             if len(at):
                 yield batch.take(pa.array(at))
 
@@ -291,6 +288,7 @@ def _only(spark: SparkSession, frame: DataFrame, column: str, hashes: DataFrame,
 def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, spans): for each document with repeated strings, the byte ranges they cover."""
     source = _source(docs)
+    share = spark.sparkContext.broadcast
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,14 +303,14 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     runs = _store.written(spark, source.mapInArrow(find, RUNS), "runs")
     twice = _store.written(spark, runs.groupBy("anchor").count().where("count > 1").select(F.col("anchor").alias("hash")), "anchors")
-    runs = _store.written(spark, _only(spark, runs, "anchor", twice), "repeated-runs")
+    runs = _store.written(spark, _only(runs, "anchor", share(_filter.bloom(twice))), "repeated-runs")
 
     contexts = _store.written(spark, runs.groupBy("anchor", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "start", "many")).alias("one")), "contexts")
     groups = _store.written(spark, contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "groups")
     unsure = _store.written(spark, contexts.join(groups, "anchor").select("anchor", "context", "n", "m", "one.*"), "unsure")
     # their bytes, from the texts of the one document each
-    texts = _only(spark, source, "text_hash", unsure.select(F.col("text_hash").alias("hash")).distinct())
+    texts = _only(source, "text_hash", share(_filter.bloom(unsure.select(F.col("text_hash").alias("hash")).distinct())))
     named = unsure.withColumnRenamed("doc_id", "of").withColumnRenamed("text_hash", "hash")
     bytes_ = F.expr(f"substring(CAST(text AS binary), start + 1, many + {LENGTH - 1})").alias("bytes")
     unsure = _store.written(spark, texts.join(named, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("of")))
@@ -334,8 +332,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], untouched_by=None) -> Iterator[pa.RecordBatch]:
+    """The results of texts with their spans; with a broadcast filter, of those texts that are not in it."""
     for batch in batches:
+        if untouched_by is not None:
+            at = _filter.inside(untouched_by.value, batch.column("text_hash").to_numpy().view(np.uint64))
+            batch = batch.take(pa.array(np.setdiff1d(np.arange(len(batch)), at, assume_unique=True)))
         out = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             raw = text.encode()
@@ -361,10 +363,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     spans = _store.written(spark, repeated_spans(spark, docs), "spans")
     source = _source(docs)
     # texts without a repeated string need no shuffle
-    hashes = spans.select(F.col("text_hash").alias("hash")).distinct()
+    hashes = spark.sparkContext.broadcast(_filter.bloom(spans.select(F.col("text_hash").alias("hash")).distinct()))
     named = spans.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"), "spans")
-    touched = _only(spark, source, "text_hash", hashes).join(
+    touched = _only(source, "text_hash", hashes).join(
         named, (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("of")), "left").select("doc_id", "text", "spans")
-    whole = _only(spark, source, "text_hash", hashes, negate=True).select(
-        "doc_id", "text", F.lit(None).cast("array<struct<s:int,e:int>>").alias("spans"))
-    return touched.unionByName(whole).mapInArrow(_cut, RESULT)
+    whole = source.select("doc_id", "text", "text_hash", F.lit(None).cast("array<struct<s:int,e:int>>").alias("spans"))
+    return touched.mapInArrow(_cut, RESULT).unionByName(whole.mapInArrow(lambda batches: _cut(batches, hashes), RESULT))
