@@ -1,10 +1,13 @@
-"""License scan: exact set-similarity join of text blocks (lines) with license templates.
+"""License scan: exact set-similarity join of text blocks with license templates.
 
 A block meets a template when it holds at least ``THRESHOLD`` of the template's
-distinct words. The words of all templates are ordered by the number of times
-they occur in the whole corpus, rarest first. The join probes only the prefix
-of each template (any qualifying block holds one of its words), and drops a
-candidate by length (the block has too few template words) and by position (too
+distinct words. Blocks are the lines, and, for notices wrapped over several
+lines, all windows of as many words as the template has that lie in one
+paragraph (lines up to one without a word; comment marks are no words). The
+words of all templates are ordered by the number of times they occur in the
+whole corpus, rarest first. The join probes only the prefix of each template
+(any qualifying block holds one of its words; windows are taken around these),
+and drops a candidate by length (too few template words) and by position (too
 few words can follow the first common one) before the overlap is counted.
 Beside it, ``BASE`` phrases are found as consecutive words of the whole text.
 
@@ -55,11 +58,18 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same for Spark after lower-casing, named by what it holds: Java matches this form four times as fast.
 LOWERED_WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
+# Between two paragraphs: a line without a word.
+PARAGRAPH_END = r"\n[^0-9a-z\x{80}-\x{10FFFF}\n]*+\n"
+
+
+def all_words(text: str) -> list[str]:
+    """Words of a template, in order."""
+    return re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))
 
 
 def template_words(text: str) -> list[str]:
     """Distinct words of a template."""
-    return sorted(set(re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))))
+    return sorted(set(all_words(text)))
 
 
 def need(n_words: int, threshold: float = THRESHOLD) -> int:
@@ -85,13 +95,43 @@ def word_counts(lines: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return {w: 0 for w in vocabulary} | {r["word"]: r["count"] for r in found}
 
 
+def _regions(paragraphs: Column, prefix: Column, most: int) -> Column:
+    """The words around each prefix word, as far as a window of ``most`` words reaches within the paragraph: (words, c),
+    with the prefix word at index ``c``."""
+    def around(words):
+        at = F.filter(F.transform(words, lambda w, i: F.when(F.array_contains(prefix, w), i)), lambda i: i.isNotNull())
+        first = lambda i: F.greatest(i - (most - 1), F.lit(0))
+        return F.transform(at, lambda i: F.struct(
+            F.slice(words, first(i) + 1, i - first(i) + most).alias("words"), (i - first(i)).alias("c")))
+
+    return F.flatten(F.transform(paragraphs, around))
+
+
+def _wrapped(regions: DataFrame, probes: list, by_rank: list[str], lengths: list[int]) -> DataFrame:
+    """(row, label, common, n) of templates met by a window of as many words as they have; a window is found at its first
+    common word in the order of the prefixes, so only words from there on are counted."""
+    # a row per prefix word of the templates: bounded by TEMPLATES
+    table = regions.sparkSession.range(1).select(F.explode(F.array(*[F.struct(
+        F.lit(by_rank[r]).alias("word"), F.lit(label).alias("label"), F.lit(n).alias("n"), F.lit(least).alias("least"),
+        F.lit(lengths[t]).alias("length"), _array(by_rank[x] for x in ranks[p:]).alias("t"))
+        for r, p, t, label, n, least, ranks in probes])).alias("x")).select("x.*")
+    first = F.greatest(F.col("c") - F.col("length") + 1, F.lit(0))
+    near = (regions.select("row", "words", "c", F.element_at("words", F.col("c") + 1).alias("word")).join(F.broadcast(table), "word")
+            .withColumn("near", F.slice("words", first + 1, F.col("c") - first + F.col("length")))
+            .where(F.size(F.array_intersect("near", "t")) >= F.col("least")))
+    windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size("near") - F.col("length") + 1, F.lit(1))),
+                          lambda s: F.size(F.array_intersect(F.slice("near", s, F.col("length")), F.col("t"))))
+    return near.withColumn("common", F.array_max(windows)).where("common >= least").select("row", "label", "common", "n")
+
+
 def scan(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: word count, base places, labels, and the highest containment found."""
     sets = [(label, template_words(text)) for label, text in templates]
     vocabulary = sorted({w for _, ws in sets for w in ws})
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
     lines = docs.select(
-        F.col("doc_id"), F.transform(F.split(text, "\n"), lambda x: F.regexp_extract_all(x, F.lit(LOWERED_WORD), F.lit(0))).alias("by_line"))
+        F.col("doc_id"), text.alias("text"),
+        F.transform(F.split(text, "\n"), lambda x: F.regexp_extract_all(x, F.lit(LOWERED_WORD), F.lit(0))).alias("by_line"))
 
     counts = word_counts(lines, vocabulary)
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts[w], w)))}
@@ -110,14 +150,18 @@ def scan(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: f
         lines.select("doc_id", F.aggregate(F.transform("by_line", F.size), F.lit(0).cast("long"), lambda a, n: a + n).alias("n_words"),
                      F.expr("CASE WHEN exists(by_line, l -> array_contains(l, 'license')) THEN flatten(by_line) ELSE array() END")
                      .alias("words"),
-                     F.filter("by_line", lambda l: F.arrays_overlap(l, _array(prefix))).alias("blocks"))
-        .select("doc_id", "n_words", "blocks", *[_places(x).alias(f"p{k}") for k, x in enumerate(named)]))
+                     F.filter("by_line", lambda l: F.arrays_overlap(l, _array(prefix))).alias("blocks"), "text")
+        .select("doc_id", "n_words", "blocks", "text", *[_places(x).alias(f"p{k}") for k, x in enumerate(named)]))
     places = F.concat(*[F.col(f"p{k}") for k in range(len(named))])
+    lengths = [len(all_words(text)) for _, text in templates]
+    paragraphs = F.when(F.size("blocks") > 0, F.transform(
+        F.split("text", PARAGRAPH_END), lambda x: F.regexp_extract_all(x, F.lit(LOWERED_WORD), F.lit(0)))).otherwise(F.array())
     base = base.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", F.size(places).cast("long").alias("n_base"),
         F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
         F.filter(F.array(*[F.when(F.size(f"p{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(BASE)]),
-                 lambda x: x.isNotNull()).alias("base_labels"), "blocks")
+                 lambda x: x.isNotNull()).alias("base_labels"), "blocks",
+        _regions(paragraphs, _array(prefix), max(lengths)).alias("regions"))
     base = _store.written(spark, base, "license-blocks")
 
     ranks_of = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(rank[w]))])
@@ -133,11 +177,12 @@ def scan(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: f
             .join(F.broadcast(table), "rank")
             .where((F.size("b") >= F.col("least"))
                    & (F.least(F.col("n") - F.col("p"), F.size("b") - F.col("q")) >= F.col("least"))))
-    matched = (hits.withColumn("common", F.size(F.array_intersect("b", "t"))).where("common >= least")
-               .groupBy("row").agg(F.collect_set("label").alias("found"),
-                                   F.max(F.col("common") / F.col("n")).alias("containment")))
+    whole = hits.withColumn("common", F.size(F.array_intersect("b", "t"))).where("common >= least").select("row", "label", "common", "n")
+    wrapped = _wrapped(base.select("row", F.inline("regions")), probes, by_rank, lengths)
+    matched = (whole.unionByName(wrapped).groupBy("row").agg(
+        F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("n")).alias("containment")))
     labels = F.array_sort(F.array_union("base_labels", F.coalesce("found", F.array().cast("array<string>"))))
-    return base.drop("blocks").join(matched, "row", "left").select(
+    return base.drop("blocks", "regions").join(matched, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join(F.array_sort(F.array_distinct("base_labels")), ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
         F.greatest(F.coalesce("containment", F.lit(0.0)), F.when(F.col("n_base") > 0, 1.0).otherwise(0.0)).alias("score"))
