@@ -13,6 +13,13 @@ Deleted are the later copies, in order of (doc_id, row): every run of
 included), and every single line of at least ``LONG_LINE_SPACES`` spaces that does.
 Overlapping and adjacent runs join into maximal ones. The first copy of a run stays.
 
+:func:`drop_lines`, the stage of the pipeline, decides by the whole run besides: a later copy
+of any lines that together have ``RUN_WORDS`` words goes, be it one line, two or more, however
+they are spaced. A run of this kind is the union of its shortest parts with two worded lines and so
+many words, from each of its lines on and up to each: at most RUN_WORDS worded lines, and all that lies
+between. Their names are counted like those of the rounds, so no longer common prefix need be known.
+(:func:`dedup_lines` keeps to the rules above, which its SQL fixes.)
+
 Defined results: null text has one empty line and stays null; texts are split
 at line feeds only; a repeated row counts as a copy that follows the first; null doc_id
 sorts first; other columns are kept as they are; an empty table gives no row.
@@ -28,6 +35,8 @@ from quarry.llm import _store
 
 RUN_LINES = 4  # a power of two
 LONG_LINE_SPACES = 7
+RUN_WORDS = 8  # as many as a line of LONG_LINE_SPACES single spaces has
+WORD = r"[^ \t\n\x0B\f\r]+"
 
 
 def _later(spark: SparkSession, positions: DataFrame, name: str) -> DataFrame:
@@ -37,17 +46,49 @@ def _later(spark: SparkSession, positions: DataFrame, name: str) -> DataFrame:
     # written, so that the join below sees two plain shuffles and splits a frequent name
     first = _store.written(spark, first, f"{name}-names")
     return _store.written(spark, positions.join(first, "name").select(
-        "row", "doc_id", "i", "name", "visible", "long",
+        *positions.columns,
         (~((F.col("row") == F.col("first_row")) & (F.col("i") == F.col("first_i")))).alias("later")), name)
 
 
-def repeated_lines(spark: SparkSession, texts: DataFrame, run_lines: int = RUN_LINES) -> DataFrame:
-    """(row, removed): the deleted line numbers of each row of (row, doc_id, lines as structs of name, visible, long)."""
+def _whole_runs(spark: SparkSession, level: DataFrame) -> DataFrame:
+    """(row, i): lines in later copies of runs with two worded lines and RUN_WORDS words; ``level`` has all repeated lines."""
+    def enough(part):  # how many of the first lines have so many words
+        done = lambda a: (a["n"] >= 2) & (a["words"] >= RUN_WORDS)
+        return F.aggregate(
+            part, F.struct(F.lit(0).alias("n"), F.lit(0).alias("words")),
+            lambda a, x: F.when(done(a), a).otherwise(F.struct((a["n"] + 1).alias("n"), (a["words"] + x["words"]).alias("words"))),
+            lambda a: F.when(done(a), a["n"]))
+
+    def parts(x, v):  # from the worded line v on, and up to it
+        start = F.greatest(v - RUN_WORDS + 2, F.lit(1))
+        return F.array(
+            F.struct(x["k"].alias("a"), F.get("worded", v + enough(F.slice("worded", v + 1, RUN_WORDS)) - 1)["k"].alias("b")),
+            F.struct(F.get("worded", v + 1 - enough(F.reverse(F.slice("worded", start, v + 2 - start))))["k"].alias("a"), x["k"].alias("b")))
+
+    line = lambda k: F.get("r", k)["i"]
+    rows = (level.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("i", "name", "words"))).alias("r"))
+            .withColumn("worded", F.filter(F.transform("r", lambda x, k: F.struct(k.alias("k"), x["words"].alias("words"))),
+                                           lambda x: x["words"] > 0))
+            .withColumn("parts", F.array_distinct(F.flatten(F.transform("worded", parts)))))
+    # a line that is not repeated has no entry, and no run goes over it
+    whole = F.filter("parts", lambda p: p["a"].isNotNull() & p["b"].isNotNull() & (line(p["b"]) - line(p["a"]) == p["b"] - p["a"]))
+    runs = rows.select("row", "doc_id", F.inline(F.transform(whole, lambda p: F.struct(
+        line(p["a"]).alias("i"), line(p["b"]).alias("last"),
+        F.xxhash64(F.transform(F.slice("r", p["a"] + 1, p["b"] - p["a"] + 1), lambda x: x["name"])).alias("name")))))
+    return _later(spark, runs, "line-runs-words").where("later").select("row", F.explode(F.sequence("i", "last")).alias("i"))
+
+
+def repeated_lines(spark: SparkSession, texts: DataFrame, run_lines: int = RUN_LINES, whole: bool = False) -> DataFrame:
+    """(row, removed): the deleted line numbers of each row of (row, doc_id, lines as structs of name, visible, long and,
+    for whole runs, words)."""
     at = F.posexplode("lines").alias("i", "line")
     positions = texts.select("row", "doc_id", at).select(
-        "row", "doc_id", "i", F.col("line.name").alias("name"), F.col("line.visible").alias("visible"), F.col("line.long").alias("long"))
+        "row", "doc_id", "i", F.col("line.name").alias("name"), F.col("line.visible").alias("visible"), F.col("line.long").alias("long"),
+        *[F.col("line.words").alias("words")] * whole)
     level = _later(spark, positions, "line-runs-1")
     gone = level.where("later AND long").select("row", "i")
+    if whole:
+        gone = gone.unionByName(level.where(f"later AND words >= {RUN_WORDS}").select("row", "i")).unionByName(_whole_runs(spark, level))
     step = 1
     while step < run_lines:
         after = level.select("row", (F.col("i") - step).alias("i"), F.col("name").alias("next"), F.col("visible").alias("next_visible"))
@@ -60,17 +101,17 @@ def repeated_lines(spark: SparkSession, texts: DataFrame, run_lines: int = RUN_L
     return gone.unionByName(runs).groupBy("row").agg(F.collect_set("i").alias("removed"))
 
 
-def mark(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(doc, lines, removed): each document, its lines and the numbers of the deleted ones."""
+def mark(spark: SparkSession, docs: DataFrame, whole: bool = False) -> DataFrame:
+    """(doc, lines, removed): each document, its lines and the numbers of the deleted ones (``whole``: by whole runs too)."""
     text = F.coalesce(F.col("doc.text").cast("string"), F.lit(""))
     spaces = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
     table = docs.select(F.struct("*").alias("doc")).select(
         F.monotonically_increasing_id().alias("row"), "doc",
         F.transform(F.split(text, "\n", -1), lambda x: F.struct(
             F.xxhash64(x).alias("name"), (F.trim(x) != "").alias("visible"),
-            (spaces(x) >= LONG_LINE_SPACES).alias("long"))).alias("lines"))
+            (spaces(x) >= LONG_LINE_SPACES).alias("long"), *[F.regexp_count(x, F.lit(WORD)).alias("words")] * whole)).alias("lines"))
     table = _store.written(spark, table, "lines")
-    removed = repeated_lines(spark, table.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), "lines"))
+    removed = repeated_lines(spark, table.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), "lines"), whole=whole)
     return (table.select("row", "doc", F.split(text, "\n", -1).alias("lines")).join(removed, "row", "left")
             .select("doc", "lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed")))
 
@@ -93,7 +134,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents without the deleted lines, in all their columns (n_chars follows the text); a document of
     which no visible line is left, but some were deleted, goes."""
-    rest = _rest(mark(spark, docs)).where((F.size("removed") == 0) | (F.trim(F.translate("text", "\n", "")) != ""))
+    rest = _rest(mark(spark, docs, whole=True)).where((F.size("removed") == 0) | (F.trim(F.translate("text", "\n", "")) != ""))
     new = {"text": F.col("text"), "n_chars": F.when(F.size("removed") == 0, F.col("doc.n_chars")).otherwise(
         F.length("text")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": F.col("text")}
     return rest.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
