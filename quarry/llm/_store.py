@@ -18,6 +18,14 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (Spark ignores the case of names)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_uri(spark: SparkSession, name: str) -> str:
     """A new folder in the shared folder, as a URI."""
     path = scratch_dir(spark, name)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import chat_formatting, decontamination, jaccard_join, license_scan, line_dedup, packing, quality_classifier, quality_rules, suffix_dedup, token_output
+from quarry.llm import (chat_formatting, decontamination, jaccard_join, license_scan, line_dedup, minhash_dedup, packing, prefix_trie,
+                        quality_classifier, quality_rules, spelling_variants, suffix_dedup, token_output)
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -58,6 +59,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(spark, _table(spark, sf_dir, "documents"))
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(spark, _table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(spark, _table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -69,9 +82,13 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_line_dedup": op10_line_dedup,
+    "op11_minhash_dedup": op11_minhash_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 SQL: dict[str, str] = {
     "op6_chat_formatting": chat_formatting.SQL,
     "op8_license_scan": license_scan.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }

@@ -1,0 +1,109 @@
+"""MinHash near-dedup against all pairs."""
+
+import numpy as np
+from llm_cases import LOWER, WORD, no_docs, odd_docs, prose
+
+from quarry.llm import _bytes, minhash_dedup
+
+
+def plain_sets(texts, width):
+    out = []
+    for t in texts:
+        w = WORD.findall((t or "").translate(LOWER))
+        out.append({tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+    return out
+
+
+def plain(rows, width=2, percent=80):
+    """[(doc_id, set size, component, kept)] by comparing every two rows."""
+    sets = plain_sets([t for _, t in rows], width)
+    label = list(range(len(rows)))
+    named = [k for k, (i, _) in enumerate(rows) if i is not None and sets[k]]
+    for x, a in enumerate(named):
+        for b in named[x + 1:]:
+            both = len(sets[a] & sets[b])
+            if label[a] != label[b] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                old = label[b]
+                label = [label[a] if v == old else v for v in label]
+    first = {}
+    for k in named:
+        first[label[k]] = min(first.get(label[k], rows[k][0]), rows[k][0])
+    return sorted(((i, len(sets[k]), first.get(label[k], i) if i is not None else None, i is None or first.get(label[k], i) == i)
+                   for k, (i, _) in enumerate(rows)), key=repr)
+
+
+def result(spark, docs, **options):
+    return sorted((tuple(r) for r in minhash_dedup.near_duplicates(spark, docs, **options).collect()), key=repr)
+
+
+def test_whole_table_equals_all_pairs(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    got = result(spark, docs)
+    assert got == plain([(r.doc_id, r.text) for r in docs.collect()])
+    assert any(not kept for *_, kept in got)
+
+
+def test_odd_rows_and_no_rows(spark):
+    docs = odd_docs(spark)
+    assert result(spark, docs, shingle=5) == plain([(r.doc_id, r.text) for r in docs.collect()], 5)
+    assert result(spark, no_docs(spark)) == []
+    kept = minhash_dedup.drop_near_copies(spark, docs.withColumnRenamed("row", "copy"))
+    assert "copy" in kept.columns and kept.where("doc_id = 7").count() == 0 and kept.where("doc_id = 6").count() == 1
+    assert minhash_dedup.drop_near_copies(spark, no_docs(spark)).count() == 0
+
+
+def test_chains_and_unsettled_keys(spark):
+    """A large group of near copies, a chain of it whose ends are no links, and texts that share a part only."""
+    import random
+
+    r = random.Random(5)
+    base = prose(7, 120).split()
+    rows = [(k, " ".join(w if r.random() > 0.02 else f"new{r.randint(0, 999)}" for w in base)) for k in range(60)]
+    words = list(base)
+    for k in range(60, 90):
+        words[(k - 60) * 4] = f"step{k}"
+        rows.append((k, " ".join(words)))
+    rows += [(100 + k, " ".join(base[:90] + [f"w{k}x{j}" for j in range(30)])) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(spark, docs) == plain(rows)
+
+
+def test_family_links_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK_NODES", 7)
+    test_chains_and_unsettled_keys(spark)
+
+
+def test_sketches_are_filled_and_concentrated():
+    rng = np.random.default_rng(3)
+    shared = rng.integers(0, 2 ** 63, 8, dtype=np.uint64)
+    for n, both in ((4, 4), (10, 8), (5000, 4000)):
+        pool = np.sort(rng.integers(0, 2 ** 63, 2 * n - both, dtype=np.uint64)) if n > 10 else np.sort(np.append(shared, rng.integers(0, 2 ** 63, 20, dtype=np.uint64))[:2 * n - both])
+        a, b = pool[:n], pool[n - both:]
+        got = minhash_dedup.sketches(np.concatenate([a, b]), np.array([0, n, 2 * n]), 4096)
+        assert (got != minhash_dedup._NONE).all()
+        assert abs((got[0] == got[1]).mean() - both / (2 * n - both)) < 0.05
+    one = minhash_dedup.sketches(np.concatenate([a, a[:50]]), np.array([0, n, n + 50]), 64)
+    assert (minhash_dedup.sketches(a[:50], np.array([0, 50]), 64)[0] == one[1]).all()  # a set's sketch does not depend on its block
+
+
+def test_threshold_by_chance_of_keys():
+    """All of many pairs of similarity 0.8 share a key."""
+    rng = np.random.default_rng(4)
+    for n in (4, 9, 90):
+        sets, at = [], [0]
+        for _ in range(300):
+            pool = rng.integers(0, 2 ** 63, n + n // 4 if n % 4 == 0 else n + 1, dtype=np.uint64)
+            u = len(pool)
+            sets += [pool, pool[:-(-80 * u // 100)]]
+            at += [at[-1] + u, at[-1] + u + len(sets[-1])]
+        keys = minhash_dedup.band_keys(minhash_dedup.sketches(np.concatenate(sets), np.array(at)))
+        assert (keys[0::2] == keys[1::2]).any(1).all()
+
+
+def test_shingles_of_short_texts():
+    texts = ["one", "one two", "one two three", "", "two one"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    hashes, at = minhash_dedup.shingle_sets(data, offsets, 2)
+    assert np.diff(at).tolist() == [1, 1, 2, 0, 1] and len(set(hashes.tolist())) == 4  # "one two" is in two of them
+    assert len(_bytes.words(data, offsets)[0]) == 8

@@ -1,0 +1,89 @@
+"""Prefix trie against a plain expansion of every prefix."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from quarry.llm import prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string, depth string, x string, shared string, owner string"
+
+
+def plain(rows):
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [(r, x) for *_, r, x in sorted(t)] for c, t in own.items()}
+    members, whole = defaultdict(list), {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        head = c - (abs(c) % 100) * (1 if c >= 0 else -1)
+        whole[c] = own.get(head, [])[:h] + turns[h:]
+        for d in range(len(whole[c]) + 1):
+            members[tuple(whole[c][:d])].append(c)
+    out = []
+    children = defaultdict(list)
+    for p in members:
+        if p:
+            children[p[:-1]].append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in children[p]) or 1
+        saved[p] = (len(members[p]) - 1) * (len(p[-1][1]) if p else 0) + sum(saved[k] for k in children[p])
+        ends = ",".join(str(c) for c in sorted(members[p]) if len(whole[c]) == len(p))
+        out.append((min(members[p]), len(p), min(members[p[:-1]]) if p else None, len(members[p]), len(children[p]), leaves[p], saved[p],
+                    hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def result(spark, rows):
+    table = spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], SCHEMA).repartition(3)
+    return sorted((tuple(r) for r in prefix_trie.shared_prefixes(spark, table).collect()), key=repr)
+
+
+def odd_rows():
+    rows = [(None, 0, "user", "no conversation"), (5, None, None, None), (5, 1, "user", "x"), (5, 1, "user", "x"), (5, 1, "a", None), (-105, 0, "user", "é😀"),
+            (-100, 0, "system", "minus"), (2 ** 60, 3, "user", "far"), (42, 0, "user", ""), (43, 0, "", ""), (44, 0, None, "")]
+    for c in range(300, 460):
+        rows += [(c, t, "user" if t % 2 else "assistant", f"turn {t} of {c % 7 if t > 2 else 0}") for t in range(c % 9 + 1)]
+    rows += [(900 + k, t, "user", "the same") for k in range(40) for t in range(3)]
+    return rows
+
+
+def test_odd_rows(spark):
+    assert result(spark, odd_rows()) == plain(odd_rows())
+    assert result(spark, []) == []
+
+
+def test_long_conversation_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "CHUNK_TURNS", 16)
+    rows = [(c, t, "user", f"{t % 13}" if c < 3 or t < 150 else f"{t} {c}") for c in (0, 1, 2, 3) for t in range(200 + c)]
+    assert result(spark, rows) == plain(rows)
+
+
+def test_members_of_a_node_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "PIECE_BYTES", 20)
+    rows = [(1000 + k, 0, "user", "hello") for k in range(300)]
+    assert result(spark, rows) == plain(rows)
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_a_full_sketch_lets_more_through_and_nothing_else(spark, sf_small, monkeypatch, full):
+    if full:  # every cell is crowded
+        monkeypatch.setattr(prefix_trie, "estimates_above_one", lambda sketch, bits, digests: digests == digests)
+    table = spark.read.parquet(f"{sf_small}/conversations.parquet")
+    got = sorted((tuple(r) for r in prefix_trie.shared_prefixes(spark, table).collect()), key=repr)
+    assert got == plain([tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()])
+
+
+def test_screening_keeps_singletons_from_the_shuffle(spark, sf_small):
+    convs, turns = prefix_trie.with_shared_heads(spark, spark.read.parquet(f"{sf_small}/conversations.parquet"))
+    table = prefix_trie.screened(spark, prefix_trie.prefixes(spark, convs, turns))
+    often = table.groupBy("d1", "d2").count()
+    both = table.join(often, ["d1", "d2"])
+    assert both.where("count > 1 AND NOT shared").count() == 0
+    once = both.where("count = 1 AND depth > 0")
+    assert once.where("shared").count() <= 0.05 * once.count()
