@@ -14,6 +14,9 @@ from quarry.operators.joins import (
     tagged_union,
 )
 from quarry.operators.ordering import dense_row_number, desc_nan_last, persisted, range_sorted, top_k
+from quarry.operators.prefilter import filtered_join, prefiltered
+from quarry.operators.ranges import grouped_values, range_id, row_number_by_ranges, splitters
+from quarry.operators.skew import heavy_key_join, heavy_keys
 
 __all__ = [
     "STRATEGIES",
@@ -23,8 +26,12 @@ __all__ = [
     "desc_nan_last",
     "distinct_endpoints",
     "drop_nulls",
+    "filtered_join",
     "fits_broadcast",
     "format_pairs",
+    "grouped_values",
+    "heavy_key_join",
+    "heavy_keys",
     "hinted",
     "inside_box",
     "join",
@@ -33,8 +40,12 @@ __all__ = [
     "persisted",
     "plan_string",
     "positive_duration",
+    "prefiltered",
+    "range_id",
     "range_sorted",
     "repartition_join",
+    "row_number_by_ranges",
+    "splitters",
     "tagged_union",
     "top_k",
 ]

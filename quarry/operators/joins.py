@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
+from quarry.operators.prefilter import filtered_join
+
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 # Default bound for a broadcast side: rows and estimated bytes.
@@ -88,10 +90,14 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
     estimate = _planner_bytes(df)
     if estimate is not None and estimate > _ESTIMATE_SLACK * max_bytes:
         return False
-    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    n, size = _rows_and_bytes(df)
     return n <= max_rows and size <= max_bytes
 
 
+def _rows_and_bytes(df: DataFrame) -> tuple[int, int]:
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first())
+
+
 def hinted(right: DataFrame, strategy: str, max_rows: int = BROADCAST_MAX_ROWS,
            max_bytes: int = BROADCAST_MAX_BYTES, bounded: bool = False) -> DataFrame:
     """The right side with the hint for ``strategy`` (checked for ``broadcast``).
@@ -129,14 +135,21 @@ def repartition_join(left: DataFrame, right: DataFrame, key: str = "k") -> DataF
     return l.join(r.hint("merge"), "k").select("k", "lv", "rv")
 
 
-def broadcast_join(left: DataFrame, right: DataFrame, key: str = "k", **bounds) -> DataFrame:
+def broadcast_join(left: DataFrame, right: DataFrame, key: str = "k", max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES, bounded: bool = False) -> DataFrame:
     """Map-side join: the right side is broadcast (after a size check) and the left streams.
 
-    Output ``k, lv, rv`` as in :func:`repartition_join`.
+    Output ``k, lv, rv`` as in :func:`repartition_join`. Beyond the bound the join is a sort-merge join, and a Bloom
+    filter of the right keys, sized by the checked count, drops left rows without a partner before their shuffle.
     """
     l = left.select(F.col(key).alias("k"), F.col("v").alias("lv"))
     r = right.select(F.col(key).alias("k"), F.col("v").alias("rv"))
-    return l.join(hinted(r, "broadcast", **bounds), "k").select("k", "lv", "rv")
+    if bounded:
+        return l.join(F.broadcast(r), "k").select("k", "lv", "rv")
+    n, size = _rows_and_bytes(r)
+    if n <= max_rows and size <= max_bytes:
+        return l.join(F.broadcast(r), "k").select("k", "lv", "rv")
+    return filtered_join(l, r, "k", rows=n).select("k", "lv", "rv")
 
 
 def tagged_union(left: DataFrame, right: DataFrame, key: str = "k", left_tag: int = 0, right_tag: int = 1) -> DataFrame:

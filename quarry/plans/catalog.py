@@ -23,7 +23,9 @@ from quarry.operators.cleaning import clean_trips, drop_nulls
 from quarry.operators.joins import STRATEGIES, broadcast_join, join, limited_side_join
 from quarry.operators.joins import repartition_join as _repartition_join
 from quarry.operators.joins import tagged_union as _tagged_union
-from quarry.operators.ordering import dense_row_number
+from quarry.operators.prefilter import filtered_join
+from quarry.operators.ranges import grouped_values, row_number_by_ranges
+from quarry.operators.skew import heavy_key_join
 from quarry.plans import conversions, searchlog, trips
 from quarry.sources.readers import read_parquet
 
@@ -165,7 +167,7 @@ def q_search_title_match(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_search_row_number(spark: SparkSession, d: str) -> DataFrame:
-    return dense_row_number(fx.search_log(spark, d), ["userid", "event_id"], "row_num")
+    return row_number_by_ranges(fx.search_log(spark, d), ["userid", "event_id"], "row_num")
 
 
 def q_split_first(spark: SparkSession, d: str) -> DataFrame:
@@ -229,6 +231,24 @@ def q_join_strategies(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def q_grouped_values(spark: SparkSession, d: str) -> DataFrame:
+    t = trips.with_duration(clean_trips(fx.trips(spark, d), P)).select(F.hour("start_time").alias("hour_start"), "duration_sec", "id")
+    pages = grouped_values(t, "hour_start", "duration_sec", ["id"], page_size=100)
+    return pages.select("hour_start", "page", "n", F.array_join(F.col("values").cast("array<string>"), ",").alias("durations"))
+
+
+def q_heavy_key_join(spark: SparkSession, d: str) -> DataFrame:
+    # a third of the lineitems under one order
+    hot = fx.lineitem_pairs(spark, d).select(F.when(F.col("k") % 3 == 0, F.lit(1)).otherwise(F.col("k")).alias("k"), F.col("v").alias("rv"), F.col("k").alias("own"))
+    j = heavy_key_join(fx.order_pairs(spark, d).withColumnRenamed("v", "lv"), hot)
+    return j.select("k", "lv", "rv", "own")
+
+
+def q_filtered_join(spark: SparkSession, d: str) -> DataFrame:
+    urgent = fx.order_pairs(spark, d).where("v = '1-URGENT'").withColumnRenamed("v", "rv")
+    return filtered_join(fx.lineitem_pairs(spark, d).withColumnRenamed("v", "lv"), urgent).select("k", "lv", "rv")
+
+
 def q_pair_files_join(spark: SparkSession, d: str) -> DataFrame:
     return conversions.pair_files_join(spark, fx.order_pairs(spark, d), fx.lineitem_pairs(spark, d))
 
@@ -310,4 +330,7 @@ QUERIES: dict[str, Query] = {
     "pair_files_join": q_pair_files_join,
     "sql_functions": q_sql_functions,
     "text_line_parse": q_text_line_parse,
+    "grouped_values": q_grouped_values,
+    "heavy_key_join": q_heavy_key_join,
+    "filtered_join": q_filtered_join,
 }

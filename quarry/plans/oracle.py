@@ -223,4 +223,17 @@ SELECT CAST(event_id AS VARCHAR) id,
 FROM events""",
     "sql_functions": _with(TRIPS, CLEAN) + f"""
 SELECT id, round({DIST}, 6) distance_km, round({DUR_MIN}, 6) duration_min FROM clean""",
+    "grouped_values": _with(TRIPS, CLEAN) + """,
+placed AS (
+  SELECT CAST(hour(start_time) AS INTEGER) hour_start, date_sub('second', start_time, end_time) d, id,
+    row_number() OVER (PARTITION BY hour(start_time) ORDER BY date_sub('second', start_time, end_time), id) - 1 pos
+  FROM clean)
+SELECT hour_start, pos // 100 page, count(*) n, string_agg(CAST(d AS VARCHAR), ',' ORDER BY pos) durations
+FROM placed GROUP BY ALL""",
+    "heavy_key_join": """
+SELECT o.o_orderkey k, o.o_orderpriority lv, CAST(l.l_linenumber AS VARCHAR) rv, l.l_orderkey own
+FROM orders o JOIN lineitem l ON o.o_orderkey = CASE WHEN l.l_orderkey % 3 = 0 THEN 1 ELSE l.l_orderkey END""",
+    "filtered_join": """
+SELECT l.l_orderkey k, CAST(l.l_linenumber AS VARCHAR) lv, o.o_orderpriority rv
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderpriority = '1-URGENT'""",
 }

@@ -1,0 +1,69 @@
+"""Row numbers and paged groups from fixed ranges."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_text
+from quarry.operators import dense_row_number
+from quarry.operators.ranges import grouped_values, range_id, row_number_by_ranges, splitters
+
+
+def _rows(spark, n=3000):
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 101)).alias("k"),
+        F.when(F.col("id") % 7 > 0, F.xxhash64("id") % 50).alias("v"), F.col("id").alias("u"))
+
+
+def _plain(df, page):
+    groups = {}
+    for r in sorted(df.collect(), key=lambda r: (r.v is not None, r.v or 0, r.u)):
+        groups.setdefault(r.k, []).append(r.v)
+    return {(k, i // page): vs[i:i + page] for k, vs in groups.items() for i in range(0, len(vs), page)}
+
+
+@pytest.mark.parametrize("ranges", [1, 8, 40])
+def test_pages_hold_every_value_in_order(spark, ranges):
+    df = _rows(spark)
+    got = grouped_values(df, "k", "v", ["u"], page_size=64, ranges=ranges).collect()
+    assert {(r.k, r.page): r["values"] for r in got} == _plain(df, 64)
+    assert all(r.n == len(r["values"]) <= 64 for r in got) and len(got) == len({(r.k, r.page) for r in got})
+
+
+def test_hot_key_spans_many_ranges_and_tasks(spark):
+    df = _rows(spark, 9000)
+    cuts = splitters(df, ["k", "v", "u"], 32)
+    placed = df.withColumn("r", range_id(df, ["k", "v", "u"], cuts))
+    assert placed.where("k = 'hot'").select("r").distinct().count() >= 8
+    assert placed.groupBy("r").count().agg(F.max("count")).first()[0] < 9000 / 8
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pages = grouped_values(df, "k", "v", ["u"], page_size=50, ranges=32).where("k = 'hot'").select("page", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(pages) == 60 and len({p.task for p in pages}) > 4
+
+
+def test_clashing_names_equal_rows_and_no_rows(spark):
+    df = spark.createDataFrame([("a", 1)] * 5 + [(None, None)] * 2, "range string, before int")
+    got = {(r["range"], r.page): r["values"] for r in grouped_values(df, "range", "before", page_size=2, ranges=3).collect()}
+    assert got == {("a", 0): [1, 1], ("a", 1): [1, 1], ("a", 2): [1], (None, 0): [None, None]}
+    assert grouped_values(df.limit(0), "range", "before").count() == 0
+    assert row_number_by_ranges(df.limit(0), ["before"]).count() == 0
+    assert sorted(r.row_num for r in row_number_by_ranges(df, ["range", "before"]).collect()) == list(range(1, 8))
+
+
+@pytest.mark.parametrize("ranges", [2, 8, 100])
+def test_row_numbers_equal_the_checkpointed_form(spark, ranges):
+    df = _rows(spark).select("v", "u", F.concat(F.lit("s"), "u").alias("s"))
+    got = row_number_by_ranges(df, ["v", "s"], "row_num", ranges)
+    want = dense_row_number(df, ["v", "s"], "row_num")
+    assert sorted(map(tuple, got.select("u", "row_num").collect())) == sorted(map(tuple, want.select("u", "row_num").collect()))
+
+
+def test_ranges_do_not_depend_on_partitions_and_plan_has_no_checkpoint(spark):
+    df = _rows(spark)
+    assert splitters(df, ["v", "u"], 16) == splitters(df.repartition(7, "u"), ["v", "u"], 16)
+    plan = plan_text(row_number_by_ranges(df, ["v", "u"]))
+    assert "ExistingRDD" not in plan and "SinglePartition" in plan  # the one-row-per-range table only
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
