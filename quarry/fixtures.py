@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 # The stop words of the derived search log (test fixture).
 FIXTURE_STOP_WORDS = ["the", "and", "of", "that", "in", "is"]
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; one DataFrame per session and path, so the file listing and
+    """A test table; one DataFrame per application and path, so the file listing and
     footer read happen once, not once per query (the tables are read-only)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]

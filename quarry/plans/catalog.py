@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import fixtures as fx
-from quarry.config import JobParams
+from quarry.config import JobParams, scratch_dir
 from quarry.functions.sql import register_sql_functions
 from quarry.functions.text import split_first
 from quarry.functions.timefn import format_ntz, parse_ntz
@@ -237,6 +237,29 @@ def q_grouped_values(spark: SparkSession, d: str) -> DataFrame:
     return pages.select("hour_start", "page", "n", F.array_join(F.col("values").cast("array<string>"), ",").alias("durations"))
 
 
+def q_merged_mean_sum_count(spark: SparkSession, d: str) -> DataFrame:
+    # three deliveries, by the day of the month
+    base, t = scratch_dir(spark, "duration-state"), fx.trips(spark, d)
+    for k in range(3):
+        trips.advance_durations(spark, base, t.where(F.dayofmonth("start_time") % 3 == k), P)
+    return trips.mean_duration_from_state(spark, base).select("hour_start", "sum_sec", "n", _r("duration_min"))
+
+
+def q_merged_popular_urls(spark: SparkSession, d: str) -> DataFrame:
+    base, log = scratch_dir(spark, "visitor-state"), fx.search_log(spark, d)
+    for k in range(3):
+        searchlog.advance_visitors(spark, base, log.where(F.dayofyear("date") % 3 == k))
+    return searchlog.popular_urls_from_state(spark, base, P)
+
+
+def q_published_trips(spark: SparkSession, d: str) -> DataFrame:
+    return _trip_cols(conversions.published_trips(spark, clean_trips(fx.trips(spark, d), P)))
+
+
+def q_rejected_origins(spark: SparkSession, d: str) -> DataFrame:
+    return conversions.rejected_trip_origins(spark, fx.table(spark, d, "events")).select("id", "folder", "line")
+
+
 def q_heavy_key_join(spark: SparkSession, d: str) -> DataFrame:
     # a third of the lineitems under one order
     hot = fx.lineitem_pairs(spark, d).select(F.when(F.col("k") % 3 == 0, F.lit(1)).otherwise(F.col("k")).alias("k"), F.col("v").alias("rv"), F.col("k").alias("own"))
@@ -333,4 +356,8 @@ QUERIES: dict[str, Query] = {
     "grouped_values": q_grouped_values,
     "heavy_key_join": q_heavy_key_join,
     "filtered_join": q_filtered_join,
+    "merged_mean_sum_count": q_merged_mean_sum_count,
+    "merged_popular_urls": q_merged_popular_urls,
+    "published_trips": q_published_trips,
+    "rejected_origins": q_rejected_origins,
 }

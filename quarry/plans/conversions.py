@@ -6,12 +6,14 @@ Outputs go to a fresh folder under the shared checkpoint folder
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import schemas
 from quarry.config import TIME_FORMAT, scratch_dir
 from quarry.functions.timefn import format_ntz
+from quarry.sources.origin import read_with_origin
+from quarry.sources.publish import publish, published
 from quarry.sources.readers import read_delimited, read_parquet, read_searches, read_trips, read_vendors
 from quarry.sources.rejects import read_with_rejects
 from quarry.sources.writers import write_bucketed_table, write_delimited, write_parquet, write_text
@@ -75,14 +77,18 @@ def tsv_round_trip(spark: SparkSession, searches: DataFrame) -> DataFrame:
 
 def trip_lines(events: DataFrame, bad_types: tuple[str, ...] = ("error",)) -> DataFrame:
     """Raw CSV lines of trips from events; events of ``bad_types`` get an unparseable start time."""
+    return events.select(trip_line_column(bad_types).alias("value"))
+
+
+def trip_line_column(bad_types: tuple[str, ...] = ("error",)) -> Column:
+    """The raw CSV line of an event."""
     eid = F.col("event_id")
     start = F.when(F.col("event_type").isin(list(bad_types)), F.lit("not-a-time")).otherwise(
         format_ntz("ts", TIME_FORMAT))
     end = format_ntz(F.timestamp_add("SECOND", F.lit(60), F.col("ts")), TIME_FORMAT)
     lon = (F.lit(-80.5) + (eid * 37 % 1100) / F.lit(100.0)).cast("string")
     lat = (F.lit(39.5) + (eid * 53 % 700) / F.lit(100.0)).cast("string")
-    return events.select(F.concat_ws(",", eid.cast("string"), start, end, lon, lat, lon, lat,
-                                     F.col("value").cast("string")).alias("value"))
+    return F.concat_ws(",", eid.cast("string"), start, end, lon, lat, lon, lat, F.col("value").cast("string"))
 
 
 def rejected_trip_lines(spark: SparkSession, events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,6 +97,18 @@ def rejected_trip_lines(spark: SparkSession, events: DataFrame) -> tuple[DataFra
     return read_with_rejects(spark, path, schemas.TRIPS, sep=",", header=False, time_format=TIME_FORMAT)
 
 
+def rejected_trip_origins(spark: SparkSession, events: DataFrame, folders: int = 4) -> DataFrame:
+    """Raw trip lines written into one file per folder, in order of the event, and the bad lines read back
+    with the folder and line they stand in: ``id, folder, line, raw``."""
+    placed = events.select("event_id", (F.col("event_id") % folders).alias("folder"), trip_line_column().alias("line"))
+    path = scratch_dir(spark, "trip-folders")
+    (placed.repartition(folders, "folder").sortWithinPartitions("folder", "event_id").select("folder", "line")
+     .write.partitionBy("folder").text(path))
+    _, rejected = read_with_origin(spark, f"{path}/folder=*", schemas.TRIPS, time_format=TIME_FORMAT)
+    folder = F.regexp_extract("file", r"folder=(\d+)/", 1).cast("long")
+    return rejected.select("id", folder.alias("folder"), "line", F.col(schemas.CORRUPT_COLUMN).alias("raw"))
+
+
 def title_word_export(spark: SparkSession, titles: DataFrame) -> DataFrame:
     """Export the sorted title words as TSV files with a header and read them back."""
     from quarry.plans.searchlog import export_title_words
@@ -134,3 +152,11 @@ def parse_trip_text(spark: SparkSession, events: DataFrame) -> DataFrame:
 
     path = write_text(trip_lines(events), scratch_dir(spark, "trip-text"), mode="errorifexists")
     return parse_trip_lines(read_lines(spark, path), TIME_FORMAT)
+
+
+def published_trips(spark: SparkSession, trips: DataFrame) -> DataFrame:
+    """Trips published in two versions, the first half of the day's hours and then all; the newest is read."""
+    base = scratch_dir(spark, "trips-published")
+    first = publish(trips.where(F.hour("start_time") < 12), base, expected=0)
+    publish(trips, base, expected=first)
+    return published(spark, base)

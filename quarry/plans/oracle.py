@@ -236,4 +236,12 @@ FROM orders o JOIN lineitem l ON o.o_orderkey = CASE WHEN l.l_orderkey % 3 = 0 T
     "filtered_join": """
 SELECT l.l_orderkey k, CAST(l.l_linenumber AS VARCHAR) lv, o.o_orderpriority rv
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderpriority = '1-URGENT'""",
+    "published_trips": _with(TRIPS, CLEAN) + f"SELECT {TRIP_COLS} FROM clean",
+    "rejected_origins": """
+SELECT CAST(event_id AS VARCHAR) id, event_id % 4 folder, line FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) line FROM events) WHERE event_type = 'error'""",
 }
+
+# States that new rows are merged into give what a whole computation gives.
+SQL["merged_mean_sum_count"] = SQL["mean_sum_count"]
+SQL["merged_popular_urls"] = SQL["popular_urls"]

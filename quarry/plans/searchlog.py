@@ -7,7 +7,7 @@ window is used to number rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -15,6 +15,8 @@ from quarry.config import JobParams
 from quarry.functions.text import first_letter_class, is_printable_word, split_words
 from quarry.operators.joins import hinted
 from quarry.operators.ordering import top_k
+from quarry.operators.state import advance, distinct_counts, distinct_state, grown_dictionary, merge_distinct
+from quarry.sources.publish import current_version, publish, published
 from quarry.sources.writers import write_delimited
 
 _CALENDAR = {
@@ -192,3 +194,21 @@ def search_title_match(searches: DataFrame, titles: DataFrame, stops: DataFrame,
         F.coalesce(F.sum(F.col("words") * n), F.lit(0)).cast("long").alias("matched_words"),
     ).select("matched", "searchable",
              F.try_divide(F.col("matched") * F.lit(100.0), F.col("searchable")).alias("match_pct"), "matched_words")
+
+
+def advance_visitors(spark: SparkSession, base: str, new_log: DataFrame) -> None:
+    """Merge new rows of the log into the published visitor state at ``base``: a dictionary of users, and a
+    bitmap of user ids per clicked URL. Rows merged earlier are not read again; rows merged twice change nothing."""
+    clicked = new_log.filter(F.col("pos").isNotNull()).select("url", "userid")
+    users = f"{base}/users"
+    version = current_version(spark, users)
+    publish(grown_dictionary(published(spark, users, version) if version else None, clicked, "userid"), users, expected=version)
+    advance(spark, f"{base}/visitors", distinct_state(clicked, "url", "userid", published(spark, users)),
+            lambda a, b: merge_distinct(a, b, "url"))
+
+
+def popular_urls_from_state(spark: SparkSession, base: str, p: JobParams = JobParams()) -> DataFrame:
+    """:func:`popular_urls` from the published visitor state."""
+    counts = distinct_counts(published(spark, f"{base}/visitors"), "url", "distinct_visitors").filter(
+        F.col("distinct_visitors") > p.popular_min_visitors)
+    return _ranked(counts, p.popular_top, [F.col("distinct_visitors").desc(), F.col("url")])

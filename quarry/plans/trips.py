@@ -7,7 +7,7 @@ shuffle on ``id`` carries only the columns the answer needs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -16,6 +16,8 @@ from quarry.functions.geo import haversine_km
 from quarry.functions.timefn import duration_min, duration_sec, speed_ieee, speed_kmh
 from quarry.operators.cleaning import clean_trips
 from quarry.operators.joins import hinted
+from quarry.operators.state import advance, merge_sum_count, sum_count_state
+from quarry.sources.publish import published
 from quarry.operators.ordering import dense_row_number, desc_nan_last, top_k
 from quarry.schemas import DISTANCE_KM, DURATION_MIN, DURATION_SEC, HOUR_START, SPEED_KMH
 
@@ -131,3 +133,16 @@ def speed_ranking(trips: DataFrame, vendors: DataFrame, p: JobParams = JobParams
     if top is not None:
         joined = top_k(joined, top, order)
     return dense_row_number(joined, order, "rank")
+
+
+def advance_durations(spark: SparkSession, base: str, new_trips: DataFrame, p: JobParams = JobParams()) -> int:
+    """Merge new trips into the published ``(sum, count)`` of seconds per start hour at ``base``; earlier trips are not
+    read again. Each trip must be merged once: a step that failed may be repeated, one that succeeded may not."""
+    seconds = clean_trips(new_trips, p).select(F.hour("start_time").alias(HOUR_START), duration_sec("start_time", "end_time").alias("sec"))
+    return advance(spark, base, sum_count_state(seconds, HOUR_START, "sec"), lambda a, b: merge_sum_count(a, b, HOUR_START))
+
+
+def mean_duration_from_state(spark: SparkSession, base: str) -> DataFrame:
+    """:func:`mean_duration_sum_count` from the published state."""
+    state = published(spark, base)
+    return state.select(HOUR_START, F.col("sum").alias("sum_sec"), "n", (F.col("sum") / F.col("n") / F.lit(60.0)).alias(DURATION_MIN)).orderBy(HOUR_START)
