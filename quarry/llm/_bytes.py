@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
+BLOCK_ROWS = 1 << 16
 SHINGLE_WORDS = 5
 
 _MULT = 0x9E3779B97F4A7C15  # odd
@@ -43,11 +44,11 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``most`` bytes; a longer row is a range of its own."""
+    """Ranges of rows of about ``most`` bytes and at most BLOCK_ROWS rows; a longer row is a range of its own."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), i + BLOCK_ROWS, n)
         yield i, j
         i = j
 

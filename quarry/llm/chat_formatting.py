@@ -34,6 +34,24 @@ def adjacent_pairs(conversations: DataFrame) -> DataFrame:
         F.col("turn").cast("long").alias("turn"), "role", "text")
 
 
+def other_answers(conversations: DataFrame) -> DataFrame:
+    """(pair_id, c, r): every conversation as the chosen side c, and as the rejected side r its turns before the
+    last assistant turn with the last assistant turn of the conversation whose id differs in the lowest bit in that place.
+    Without such a partner r ends before the answer; a conversation without an assistant turn has no r."""
+    item = F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    sides = conversations.where("conv_id IS NOT NULL").groupBy(F.col("conv_id").cast("long").alias("pair_id")).agg(
+        F.array_sort(F.collect_list(item)).alias("c"))
+    from_end = F.array_position(F.reverse(F.transform("c", lambda t: F.coalesce(t["role"], F.lit("")))), F.lit(TRAINED_ROLE))
+    sides = sides.withColumn("k", F.when(from_end > 0, F.size("c") - from_end.cast("int") + 1))
+    answers = sides.where("k IS NOT NULL").select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.get("c", F.col("k") - 1)["text"].alias("answer"),
+                                                  F.lit(True).alias("found"))
+    own = F.get("c", F.col("k") - 1)
+    other = F.when(F.col("found"), F.array(F.struct(own["turn"].alias("turn"), own["role"].alias("role"), F.col("answer").alias("text"))))
+    none = F.filter("c", lambda t: F.lit(False))
+    r = F.when(F.col("k").isNotNull(), F.concat(F.expr("slice(c, 1, k - 1)"), F.coalesce(other, none))).otherwise(none)
+    return sides.join(answers, "pair_id", "left").select("pair_id", "c", r.alias("r"))
+
+
 def _rendered(turns) -> Column:
     return F.array_join(F.transform(turns, lambda t: F.concat(
         F.lit(HEAD_OPEN), t["role"], F.lit(HEAD_CLOSE), t["text"], F.lit(BODY_CLOSE))), "")
@@ -54,6 +72,11 @@ def format_preferences(turns: DataFrame) -> DataFrame:
     sides = turns.where("pair_id IS NOT NULL").groupBy("pair_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("is_chosen"), item))).alias("c"),
         F.array_sort(F.collect_list(F.when(~F.col("is_chosen"), item))).alias("r"))
+    return format_sides(sides)
+
+
+def format_sides(sides: DataFrame) -> DataFrame:
+    """One row per (pair_id, c, r): the turns of the chosen and of the rejected conversation in order, (turn, role, text) each."""
 
     def plain(name):
         return F.transform(name, lambda t: F.struct(F.coalesce(t["role"], F.lit("")).alias("role"),
@@ -85,14 +108,18 @@ _TEXT = "concat('<|', t.role, '|>', chr(10), t.text, '<|end|>', chr(10))"
 _MASK = ("concat(length(t.role) + 5, ':0,', length(t.text) + 8, CASE WHEN t.role = 'assistant' THEN ':1' ELSE ':0' END)")
 
 SQL = f"""
-WITH turns AS (
-  SELECT conv_id >> 1 AS pair_id, conv_id % 2 = 0 AS is_chosen, turn, role, text
+WITH items AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k
   FROM conversations WHERE conv_id IS NOT NULL),
+answers AS (SELECT conv_id, k, text FROM items WHERE role = '{TRAINED_ROLE}' QUALIFY k = max(k) OVER (PARTITION BY conv_id)),
+rejected AS (
+  SELECT i.conv_id, i.k, i.role, i.text FROM items i JOIN answers a ON a.conv_id = i.conv_id WHERE i.k < a.k
+  UNION ALL SELECT a.conv_id, a.k, '{TRAINED_ROLE}', o.text FROM answers a JOIN answers o ON o.conv_id = xor(a.conv_id, 1)),
 sides AS (
-  SELECT pair_id,
-    coalesce(list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (is_chosen), []) AS c,
-    coalesce(list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (NOT is_chosen), []) AS r
-  FROM turns GROUP BY pair_id),
+  SELECT conv_id AS pair_id, list({{'role': role, 'text': text}} ORDER BY k) AS c,
+    coalesce((SELECT list({{'role': j.role, 'text': j.text}} ORDER BY j.k) FROM rejected j WHERE j.conv_id = i.conv_id), []) AS r
+  FROM items i GROUP BY conv_id),
 cut AS (
   SELECT *, least(len(c), len(r)) AS shared,
     coalesce(list_position(list_transform(range(1, least(len(c), len(r)) + 1), lambda i: c[i] = r[i]), false) - 1,

@@ -160,5 +160,6 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
     # a row is named by a hash of its id and text, so that rows without an id are told apart
     name = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     named = find_leaks(spark, docs.select(name.alias("doc_id"), "text"), benchmark)
-    leaked = _store.written(spark, named.select(F.col("doc_id").alias("leaked")).distinct(), "leaked")
-    return docs.join(leaked, name == F.col("leaked"), "left_anti")
+    leak = _store.spare(docs, "leaked")
+    leaked = _store.written(spark, named.select(F.col("doc_id").alias(leak)).distinct(), "leaked")
+    return docs.join(leaked, name == F.col(leak), "left_anti")

@@ -137,7 +137,7 @@ def may_link(docs: DataFrame, n_hashes: int) -> DataFrame:
                 node = fingerprints(h, at)
                 row = np.repeat(np.arange(j - i), np.diff(at))
                 even = (h & np.uint64(1)) == 0
-                if n_docs + j - i > MOST_CHUNK_DOCS or n_rows > CHUNK_HASHES:
+                if n_docs and (n_docs + j - i > MOST_CHUNK_DOCS or n_rows > CHUNK_HASHES):
                     yield flush()
                 hashes.append(h[even])
                 docs_of.append(row[even] + n_docs)
@@ -381,8 +381,9 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One document of each component (the one with the smallest doc_id), in all its columns. Rows that
     repeat a doc_id and its text are one document; rows without doc_id or without words all stay."""
     found = similar_components(spark, docs)
-    away = _store.written(spark, found.where("doc_id <> component_id").select(F.col("doc_id").alias("copy")).distinct(), "copies")
-    rest = docs.join(away, docs["doc_id"].cast("long") == F.col("copy"), "left_anti")
+    copy = _store.spare(docs, "copy")
+    away = _store.written(spark, found.where("doc_id <> component_id").select(F.col("doc_id").alias(copy)).distinct(), "copies")
+    rest = docs.join(away, docs["doc_id"].cast("long") == F.col(copy), "left_anti")
     linked = F.col("doc_id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return rest.where(F.coalesce(linked, F.lit(False))).dropDuplicates(["doc_id", "text"]).unionByName(
         rest.where(~F.coalesce(linked, F.lit(False))))

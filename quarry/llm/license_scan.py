@@ -76,6 +76,22 @@ def need(n_words: int, threshold: float = THRESHOLD) -> int:
     return math.ceil(threshold * n_words - 1e-9)
 
 
+def own_words(sets: list[tuple[str, list[str]]]) -> list[list[str]]:
+    """Of each template, the words that no other template has: at least one of them must stand in a block, where there are any."""
+    return [[w for w in ws if sum(w in other for _, other in sets) == 1] for _, ws in sets]
+
+
+def rivals(sets: list[tuple[str, list[str]]], threshold: float = THRESHOLD) -> list[tuple[list[int], list[int]]]:
+    """Of each template, the others that share enough words with it to be met by the same block, and those of them that
+    hold all its words."""
+    out = []
+    for t, (_, ws) in enumerate(sets):
+        near = [o for o, (_, other) in enumerate(sets) if o != t
+                and len(set(ws) & set(other)) >= min(need(len(ws), threshold), need(len(other), threshold))]
+        out.append((near, [o for o in near if set(ws) < set(sets[o][1])]))
+    return out
+
+
 def _array(words) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
@@ -107,21 +123,26 @@ def _regions(paragraphs: Column, prefix: Column, most: int) -> Column:
     return F.flatten(F.transform(paragraphs, around))
 
 
-def _wrapped(regions: DataFrame, probes: list, by_rank: list[str], lengths: list[int]) -> DataFrame:
-    """(row, label, common, n) of templates met by a window of as many words as they have; a window is found at its first
+def _wrapped(regions: DataFrame, probes: list, by_rank: list[str], lengths: list[int], own: list[list[str]]) -> DataFrame:
+    """(row, template, label, common, n) of templates met by a window of as many words as they have; a window is found at its first
     common word in the order of the prefixes, so only words from there on are counted."""
     # a row per prefix word of the templates: bounded by TEMPLATES
     table = regions.sparkSession.range(1).select(F.explode(F.array(*[F.struct(
-        F.lit(by_rank[r]).alias("word"), F.lit(label).alias("label"), F.lit(n).alias("n"), F.lit(least).alias("least"),
-        F.lit(lengths[t]).alias("length"), _array(by_rank[x] for x in ranks[p:]).alias("t"))
+        F.lit(by_rank[r]).alias("word"), F.lit(t).alias("template"), F.lit(label).alias("label"), F.lit(n).alias("n"), F.lit(least).alias("least"),
+        F.lit(lengths[t]).alias("length"), _array(by_rank[x] for x in ranks[p:]).alias("t"), _array(own[t]).cast("array<string>").alias("own"))
         for r, p, t, label, n, least, ranks in probes])).alias("x")).select("x.*")
     first = F.greatest(F.col("c") - F.col("length") + 1, F.lit(0))
     near = (regions.select("row", "words", "c", F.element_at("words", F.col("c") + 1).alias("word")).join(F.broadcast(table), "word")
             .withColumn("near", F.slice("words", first + 1, F.col("c") - first + F.col("length")))
             .where(F.size(F.array_intersect("near", "t")) >= F.col("least")))
     windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size("near") - F.col("length") + 1, F.lit(1))),
-                          lambda s: F.size(F.array_intersect(F.slice("near", s, F.col("length")), F.col("t"))))
-    return near.withColumn("common", F.array_max(windows)).where("common >= least").select("row", "label", "common", "n")
+                          lambda s: F.when(_has_own(F.slice("near", s, F.col("length")), F.col("own")),
+                                           F.size(F.array_intersect(F.slice("near", s, F.col("length")), F.col("t")))).otherwise(0))
+    return near.withColumn("common", F.array_max(windows)).where("common >= least").select("row", "template", "label", "common", "n")
+
+
+def _has_own(words: Column, own: Column) -> Column:
+    return (F.size(own) == 0) | F.arrays_overlap(words, own)
 
 
 def scan(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -135,6 +156,7 @@ def scan(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: f
 
     counts = word_counts(lines, vocabulary)
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts[w], w)))}
+    own, rival = own_words(sets), rivals(sets, threshold)
     probes = []  # (rank of a prefix word, its position, template, label, size, words needed, ranks of the template)
     for t, (label, ws) in enumerate(sets):
         ranks = sorted(rank[w] for w in ws)
@@ -170,17 +192,27 @@ def scan(spark: SparkSession, docs: DataFrame, templates=TEMPLATES, threshold: f
     # a row per prefix word of the templates: bounded by TEMPLATES
     table = spark.range(1).select(F.explode(F.array(*[F.struct(
         F.lit(r).alias("rank"), F.lit(p).alias("p"), F.lit(t).alias("template"), F.lit(label).alias("label"),
-        F.lit(n).alias("n"), F.lit(least).alias("least"), F.array(*[F.lit(x) for x in ranks]).alias("t"))
+        F.lit(n).alias("n"), F.lit(least).alias("least"), F.array(*[F.lit(x) for x in ranks]).alias("t"),
+        F.array(*[F.lit(rank[w]) for w in own[t]]).cast("array<int>").alias("own"))
         for r, p, t, label, n, least, ranks in probes])).alias("x")).select("x.*")
     hits = (blocks.where(F.size("b") >= min(p[5] for p in probes))
             .select("row", "block", "b", F.posexplode("b").alias("q", "rank"))
             .join(F.broadcast(table), "rank")
             .where((F.size("b") >= F.col("least"))
                    & (F.least(F.col("n") - F.col("p"), F.size("b") - F.col("q")) >= F.col("least"))))
-    whole = hits.withColumn("common", F.size(F.array_intersect("b", "t"))).where("common >= least").select("row", "label", "common", "n")
-    wrapped = _wrapped(base.select("row", F.inline("regions")), probes, by_rank, lengths)
-    matched = (whole.unionByName(wrapped).groupBy("row").agg(
-        F.collect_set("label").alias("found"), F.max(F.col("common") / F.col("n")).alias("containment")))
+    whole = (hits.where(_has_own(F.col("b"), F.col("own"))).withColumn("common", F.size(F.array_intersect("b", "t")))
+             .where("common >= least").select("row", "template", "label", "common", "n"))
+    wrapped = _wrapped(base.select("row", F.inline("regions")), probes, by_rank, lengths, own)
+    # of rivals only the one that is met best, of equals the one with more words; a row has at most one entry per template
+    numbers = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<int>")
+    rival_of = F.array(*[F.struct(numbers(near).alias("near"), numbers(wider).alias("wider")) for near, wider in rival])
+    met = whole.unionByName(wrapped).groupBy("row", "template", "label", "n").agg(F.max("common").alias("common"))
+    met = met.groupBy("row").agg(F.collect_list(F.struct("template", "label", "common", "n")).alias("met"))
+    beaten = lambda x: F.exists("met", lambda y: F.array_contains(F.get(rival_of, x["template"])["near"], y["template"]) & (
+        (y["common"] * x["n"] > x["common"] * y["n"])
+        | ((y["common"] * x["n"] == x["common"] * y["n"]) & F.array_contains(F.get(rival_of, x["template"])["wider"], y["template"]))))
+    matched = met.select("row", F.array_distinct(F.transform(F.filter("met", lambda x: ~beaten(x)), lambda x: x["label"])).alias("found"),
+                         F.array_max(F.transform("met", lambda x: x["common"] / x["n"])).alias("containment"))
     labels = F.array_sort(F.array_union("base_labels", F.coalesce("found", F.array().cast("array<string>"))))
     return base.drop("blocks", "regions").join(matched, "row", "left").select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -198,7 +230,9 @@ def _sql() -> str:
         test = " AND ".join(f"words[i + {k + 1}] = '{w}'" for k, w in enumerate(parts))
         places.append(f"list_filter(range(0, len(words) - {len(parts) - 1}), lambda i: {test})")
     labels = ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(BASE))
-    rows = ", ".join(f"('{label}', {strings(template_words(text))}, {need(len(template_words(text)))})" for label, text in TEMPLATES)
+    sets = [(label, template_words(text)) for label, text in TEMPLATES]
+    rows = ", ".join(f"({t}, '{label}', {strings(ws)}, {need(len(ws))}, {strings(own)}::VARCHAR[], {near}::INT[], {wider}::INT[])"
+                     for t, ((label, ws), own, (near, wider)) in enumerate(zip(sets, own_words(sets), rivals(sets))))
     word = WORD.replace("'", "''")
     return f"""
 WITH d AS (
@@ -207,10 +241,14 @@ w AS (SELECT n, doc_id, t, regexp_extract_all(t, '{word}') AS words FROM d),
 p AS (SELECT *, {", ".join(f"{x} AS p{k}" for k, x in enumerate(places))} FROM w),
 lines AS (SELECT n, unnest(string_split(t, chr(10))) AS line FROM d),
 blocks AS (SELECT n, list_distinct(regexp_extract_all(line, '{word}')) AS b FROM lines),
-templates(label, ws, least) AS (VALUES {rows}),
+templates(t, label, ws, least, own, near, wider) AS (VALUES {rows}),
+met AS (
+  SELECT n, t, label, near, wider, max(len(list_intersect(b, ws)) / len(ws)) AS share
+  FROM blocks, templates WHERE len(list_intersect(b, ws)) >= least AND (len(own) = 0 OR list_has_any(b, own)) GROUP BY ALL),
 matched AS (
-  SELECT n, list(DISTINCT label) AS found, max(len(list_intersect(b, ws)) / len(ws)) AS containment
-  FROM blocks, templates WHERE len(list_intersect(b, ws)) >= least GROUP BY n),
+  SELECT n, list(DISTINCT label) AS found, max(share) AS containment FROM met m
+  WHERE NOT EXISTS (SELECT 1 FROM met o WHERE o.n = m.n AND list_contains(m.near, o.t)
+                    AND (o.share > m.share OR (o.share = m.share AND list_contains(m.wider, o.t)))) GROUP BY n),
 a AS (
   SELECT *, list_concat({", ".join(f"p{k}" for k in range(len(BASE)))}) AS places,
          list_filter([{labels}], lambda x: x IS NOT NULL) AS base FROM p)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.llm import (chat_formatting, decontamination, jaccard_join, license_scan, line_dedup, minhash_dedup, packing, prefix_trie,
                         quality_classifier, quality_rules, spelling_variants, suffix_dedup, token_output)
@@ -30,7 +30,9 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents")).drop("kept")
+    cut = suffix_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"))
+    # what is left, as text (a cut may lie inside a character)
+    return cut.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,8 +40,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = chat_formatting.adjacent_pairs(_table(spark, sf_dir, "conversations"))
-    return chat_formatting.format_preferences(turns)
+    return chat_formatting.format_sides(chat_formatting.other_answers(_table(spark, sf_dir, "conversations")))
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,28 @@ def odd_rows() -> list[tuple[int | None, str | None, str | None]]:
     ]
 
 
+def best_labels(shares: dict[int, float], templates) -> set[str]:
+    """Labels of the templates met (number: share), without those of which a rival is met better or, as well, with more words."""
+    from quarry.llm import license_scan as ls
+
+    words = [set(ls.template_words(t)) for _, t in templates]
+
+    def beaten(t, o):
+        rival = o != t and len(words[t] & words[o]) >= min(ls.need(len(words[t])), ls.need(len(words[o])))
+        return rival and (shares[o] > shares[t] + 1e-12 or abs(shares[o] - shares[t]) < 1e-12 and words[t] < words[o])
+
+    return {templates[t][0] for t in shares if not any(beaten(t, o) for o in shares)}
+
+
+def own_word(block, t, templates) -> bool:
+    """Whether the block has a word that only this template has, if there are any."""
+    from quarry.llm import license_scan as ls
+
+    words = [set(ls.template_words(x)) for _, x in templates]
+    own = {w for w in words[t] if not any(w in x for o, x in enumerate(words) if o != t)}
+    return not own or bool(own & set(block))
+
+
 def odd_docs(spark):
     rows = [(i, t, lang, "src0", len(t) if t is not None else None, "r", "n", "k", "l", "i", "b", "x") for i, t, lang in odd_rows()]
     return spark.createDataFrame(rows, SCHEMA).repartition(3)

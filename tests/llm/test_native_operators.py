@@ -5,7 +5,7 @@ import re
 import pytest
 
 from conftest import plan_text
-from llm_cases import no_docs, odd_docs, odd_rows
+from llm_cases import best_labels, own_word, no_docs, odd_docs, odd_rows
 from oracle_check import compare, duck
 from quarry.llm import chat_formatting as cf, license_scan as ls, line_dedup as ld, queries
 
@@ -61,15 +61,16 @@ def license_rows(text):
         at = [i for i in range(len(words) - len(p) + 1) if words[i:i + len(p)] == p]
         places += at
         labels |= {label} if at else set()
-    found, best = set(labels), 0.0
+    found, best, shares = set(labels), 0.0, {}
     for line in t.split("\n"):
         block = set(re.findall(ls.WORD, line))
-        for label, template in ls.TEMPLATES:
+        for k, (_, template) in enumerate(ls.TEMPLATES):
             ws = ls.template_words(template)
             share = len(block & set(ws)) / len(ws)
-            if share >= ls.THRESHOLD - 1e-12:
-                found.add(label)
+            if share >= ls.THRESHOLD - 1e-12 and own_word(block, k, ls.TEMPLATES):
+                shares[k] = max(share, shares.get(k, 0))
                 best = max(best, share)
+    found |= best_labels(shares, ls.TEMPLATES)
     return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)),
             ",".join(sorted(found)), max(best, 1.0 if places else 0.0))
 

@@ -5,7 +5,7 @@ import textwrap
 
 import pytest
 
-from llm_cases import prose
+from llm_cases import best_labels, own_word, prose
 from quarry.llm import license_scan as ls
 
 MIT = """Copyright (c) 2020 Somebody
@@ -61,15 +61,14 @@ def windows(text):
             paragraphs[-1] += x
         else:
             paragraphs.append([])
-    found, best = set(), 0.0
-    for label, t in ls.TEMPLATES:
+    shares = {}
+    for k, (_, t) in enumerate(ls.TEMPLATES):
         ws, n = set(ls.template_words(t)), len(ls.all_words(t))
         blocks = lines + [p[i:i + n] for p in paragraphs for i in range(max(1, len(p) - n + 1))]
-        share = max(len(ws & set(b)) / len(ws) for b in blocks)
+        share = max((len(ws & set(b)) / len(ws) for b in blocks if own_word(b, k, ls.TEMPLATES)), default=0)
         if share >= ls.THRESHOLD - 1e-12:
-            found.add(label)
-            best = max(best, share)
-    return found, best
+            shares[k] = share
+    return best_labels(shares, ls.TEMPLATES), max(shares.values(), default=0.0)
 
 
 def test_against_plain_windows(spark):
