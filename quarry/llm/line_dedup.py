@@ -1,28 +1,22 @@
-"""Line dedup: repeated runs of lines by distributed prefix doubling over line-id sequences.
-
-A text is a sequence of line ids (64-bit hashes of its lines). The name of a
-position at length 2^k stands for the 2^k lines from there; it is made of the
-names at that position and 2^(k-1) lines on, so equal names are equal
-runs: the intervals of a suffix array whose common prefix has at least that length.
-Each round Spark counts the names, and only positions whose name occurs
-again go into the next, so a round is as large as what is still repeated. The
-rounds stop at ``RUN_LINES``.
-
-Deleted are the later copies, in order of (doc_id, row): every run of
-``RUN_LINES`` lines, not all blank, that stands earlier in the corpus (the same text
-included), and every single line of at least ``LONG_LINE_SPACES`` spaces that does.
-Overlapping and adjacent runs join into maximal ones. The first copy of a run stays.
-
-:func:`drop_lines`, the stage of the pipeline, decides by the whole run besides: a later copy
-of any lines that together have ``RUN_WORDS`` words goes, be it one line, two or more, however
-they are spaced. A run of this kind is the union of its shortest parts with two worded lines and so
-many words, from each of its lines on and up to each: at most RUN_WORDS worded lines, and all that lies
-between. Their names are counted like those of the rounds, so no longer common prefix need be known.
-(:func:`dedup_lines` keeps to the rules above, which its SQL fixes.)
+"""Line dedup: repeated runs of lines by prefix doubling over line-id sequences.
+
+A text is a sequence of line ids (64-bit hashes of its lines). The name of a position at length 2^k stands for
+the 2^k lines from there; it is made of the names at that position and 2^(k-1) lines on, so equal names
+are equal runs: the positions of one interval of the suffix array, those whose common prefix has at least 2^k lines. Two names of one length
+that overlap name a run of any length between, so the interval of a longest common prefix of any number of lines is a group of
+equal pairs of names. Lengths are doubled as far as the longest run that is asked for. Names are hashes and not ranks: the
+intervals are the same, and no global sort is needed. A line that stands once in the corpus ends every repeated run, so only
+lines that stand twice are counted any further.
+
+Deleted are the later copies, in order of (doc_id, row), of every run of lines that stands earlier in the corpus (the same text
+included) and has ``RUN_WORDS`` words in total, be it one line or many; a run begins and ends with a line that has words, and what lies between
+goes with it. A maximal run of this kind is the union of its shortest parts of two worded lines or more with so many words, from
+each worded line on and up to each (a part of a later copy is one, and each line of a run lies in such a part), so intervals
+are asked for these lengths only, and their later copies joined are the maximal runs. The first copy of a run stays.
 
 Defined results: null text has one empty line and stays null; texts are split
 at line feeds only; a repeated row counts as a copy that follows the first; null doc_id
-sorts first; other columns are kept as they are; an empty table gives no row.
+sorts first; other columns are kept as they are; an empty table gives no row; a text of any length is read whole.
 A line that many documents share is one name: it is counted before the shuffle, and
 its positions are joined to that one count, which Spark splits over tasks.
 """
@@ -33,9 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.llm import _store
 
-RUN_LINES = 4  # a power of two
-LONG_LINE_SPACES = 7
-RUN_WORDS = 8  # as many as a line of LONG_LINE_SPACES single spaces has
+RUN_WORDS = 8
 WORD = r"[^ \t\n\x0B\f\r]+"
 
 
@@ -50,8 +42,9 @@ def _later(spark: SparkSession, positions: DataFrame, name: str) -> DataFrame:
         (~((F.col("row") == F.col("first_row")) & (F.col("i") == F.col("first_i")))).alias("later")), name)
 
 
-def _whole_runs(spark: SparkSession, level: DataFrame) -> DataFrame:
-    """(row, i): lines in later copies of runs with two worded lines and RUN_WORDS words; ``level`` has all repeated lines."""
+def _parts(rows: DataFrame) -> DataFrame:
+    """With ``parts``: index pairs (a, b) of the repeated lines ``r`` of a row, the shortest runs of two worded lines or more with
+    RUN_WORDS words from each worded line on and up to each."""
     def enough(part):  # how many of the first lines have so many words
         done = lambda a: (a["n"] >= 2) & (a["words"] >= RUN_WORDS)
         return F.aggregate(
@@ -59,59 +52,57 @@ def _whole_runs(spark: SparkSession, level: DataFrame) -> DataFrame:
             lambda a, x: F.when(done(a), a).otherwise(F.struct((a["n"] + 1).alias("n"), (a["words"] + x["words"]).alias("words"))),
             lambda a: F.when(done(a), a["n"]))
 
-    def parts(x, v):  # from the worded line v on, and up to it
+    def parts(x, v):  # from the worded line v on, and up to it; RUN_WORDS lines have so many words
         start = F.greatest(v - RUN_WORDS + 2, F.lit(1))
         return F.array(
             F.struct(x["k"].alias("a"), F.get("worded", v + enough(F.slice("worded", v + 1, RUN_WORDS)) - 1)["k"].alias("b")),
             F.struct(F.get("worded", v + 1 - enough(F.reverse(F.slice("worded", start, v + 2 - start))))["k"].alias("a"), x["k"].alias("b")))
 
     line = lambda k: F.get("r", k)["i"]
-    rows = (level.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("i", "name", "words"))).alias("r"))
-            .withColumn("worded", F.filter(F.transform("r", lambda x, k: F.struct(k.alias("k"), x["words"].alias("words"))),
-                                           lambda x: x["words"] > 0))
-            .withColumn("parts", F.array_distinct(F.flatten(F.transform("worded", parts)))))
     # a line that is not repeated has no entry, and no run goes over it
     whole = F.filter("parts", lambda p: p["a"].isNotNull() & p["b"].isNotNull() & (line(p["b"]) - line(p["a"]) == p["b"] - p["a"]))
-    runs = rows.select("row", "doc_id", F.inline(F.transform(whole, lambda p: F.struct(
-        line(p["a"]).alias("i"), line(p["b"]).alias("last"),
-        F.xxhash64(F.transform(F.slice("r", p["a"] + 1, p["b"] - p["a"] + 1), lambda x: x["name"])).alias("name")))))
+    return (rows.withColumn("worded", F.filter(F.transform("r", lambda x, k: F.struct(k.alias("k"), x["words"].alias("words"))),
+                                               lambda x: x["words"] > 0))
+            .withColumn("parts", F.array_distinct(F.flatten(F.transform("worded", parts)))).withColumn("parts", whole).drop("worded"))
+
+
+def _whole_runs(spark: SparkSession, level: DataFrame) -> DataFrame:
+    """(row, i): lines in later copies of runs of two worded lines or more; ``level`` has all repeated lines."""
+    rows = level.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("i", "name", "words"))).alias("r"))
+    rows = _store.written(spark, _parts(rows).where(F.size("parts") > 0), "line-run-parts")
+    most = rows.agg(F.max(F.array_max(F.transform("parts", lambda p: p["b"] - p["a"] + 1)))).first()[0] or 1
+    levels = most.bit_length()
+    rows = rows.withColumn("names_0", F.transform("r", lambda x: x["name"]))
+    for k in range(1, levels):  # null where 2^k lines are not left
+        rows = rows.withColumn(f"names_{k}", F.expr(
+            f"transform(names_{k - 1}, (v, x) -> if(x + {1 << k} <= size(r), xxhash64(v, get(names_{k - 1}, x + {1 << (k - 1)})), NULL))"))
+    size = F.col("p.b") - F.col("p.a") + 1
+    name = F.coalesce(*[F.when(size >= (1 << k), F.xxhash64(
+        size, F.get(f"names_{k}", F.col("p.a")), F.get(f"names_{k}", F.col("p.b") + 1 - (1 << k)))) for k in reversed(range(levels))])
+    line = lambda k: F.get("r", k)["i"]
+    runs = rows.withColumn("p", F.explode("parts")).select(
+        "row", "doc_id", line(F.col("p.a")).alias("i"), line(F.col("p.b")).alias("last"), name.alias("name"))
     return _later(spark, runs, "line-runs-words").where("later").select("row", F.explode(F.sequence("i", "last")).alias("i"))
 
 
-def repeated_lines(spark: SparkSession, texts: DataFrame, run_lines: int = RUN_LINES, whole: bool = False) -> DataFrame:
-    """(row, removed): the deleted line numbers of each row of (row, doc_id, lines as structs of name, visible, long and,
-    for whole runs, words)."""
+def repeated_lines(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """(row, removed): the deleted line numbers of each row of (row, doc_id, lines as structs of name and words)."""
     at = F.posexplode("lines").alias("i", "line")
     positions = texts.select("row", "doc_id", at).select(
-        "row", "doc_id", "i", F.col("line.name").alias("name"), F.col("line.visible").alias("visible"), F.col("line.long").alias("long"),
-        *[F.col("line.words").alias("words")] * whole)
+        "row", "doc_id", "i", F.col("line.name").alias("name"), F.col("line.words").alias("words"))
     level = _later(spark, positions, "line-runs-1")
-    gone = level.where("later AND long").select("row", "i")
-    if whole:
-        gone = gone.unionByName(level.where(f"later AND words >= {RUN_WORDS}").select("row", "i")).unionByName(_whole_runs(spark, level))
-    step = 1
-    while step < run_lines:
-        after = level.select("row", (F.col("i") - step).alias("i"), F.col("name").alias("next"), F.col("visible").alias("next_visible"))
-        longer = level.join(after, ["row", "i"]).select(
-            "row", "doc_id", "i", F.xxhash64("name", "next").alias("name"),
-            (F.col("visible") | F.col("next_visible")).alias("visible"), "long")
-        step *= 2
-        level = _later(spark, longer, f"line-runs-{step}")
-    runs = level.where("later AND visible").select("row", F.explode(F.sequence("i", F.col("i") + (run_lines - 1))).alias("i"))
-    return gone.unionByName(runs).groupBy("row").agg(F.collect_set("i").alias("removed"))
-
-
-def mark(spark: SparkSession, docs: DataFrame, whole: bool = False) -> DataFrame:
-    """(doc, lines, removed): each document, its lines and the numbers of the deleted ones (``whole``: by whole runs too)."""
+    gone = level.where(f"later AND words >= {RUN_WORDS}").select("row", "i").unionByName(_whole_runs(spark, level))
+    return gone.groupBy("row").agg(F.collect_set("i").alias("removed"))
+
+
+def mark(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(doc, lines, removed): each document, its lines and the numbers of the deleted ones."""
     text = F.coalesce(F.col("doc.text").cast("string"), F.lit(""))
-    spaces = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
     table = docs.select(F.struct("*").alias("doc")).select(
         F.monotonically_increasing_id().alias("row"), "doc",
-        F.transform(F.split(text, "\n", -1), lambda x: F.struct(
-            F.xxhash64(x).alias("name"), (F.trim(x) != "").alias("visible"),
-            (spaces(x) >= LONG_LINE_SPACES).alias("long"), *[F.regexp_count(x, F.lit(WORD)).alias("words")] * whole)).alias("lines"))
+        F.transform(F.split(text, "\n", -1), lambda x: F.struct(F.xxhash64(x).alias("name"), F.regexp_count(x, F.lit(WORD)).alias("words"))).alias("lines"))
     table = _store.written(spark, table, "lines")
-    removed = repeated_lines(spark, table.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), "lines"), whole=whole)
+    removed = repeated_lines(spark, table.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), "lines"))
     return (table.select("row", "doc", F.split(text, "\n", -1).alias("lines")).join(removed, "row", "left")
             .select("doc", "lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed")))
 
@@ -134,7 +125,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents without the deleted lines, in all their columns (n_chars follows the text); a document of
     which no visible line is left, but some were deleted, goes."""
-    rest = _rest(mark(spark, docs, whole=True)).where((F.size("removed") == 0) | (F.trim(F.translate("text", "\n", "")) != ""))
+    rest = _rest(mark(spark, docs)).where((F.size("removed") == 0) | (F.trim(F.translate("text", "\n", "")) != ""))
     new = {"text": F.col("text"), "n_chars": F.when(F.size("removed") == 0, F.col("doc.n_chars")).otherwise(
         F.length("text")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": F.col("text")}
     return rest.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
@@ -144,19 +135,21 @@ SQL = f"""
 WITH lines AS (
   SELECT doc_id, text, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i,
          unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
-grams AS (
-  SELECT doc_id, i, line, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1 AS later,
-         lead(i, {RUN_LINES - 1}) OVER w AS last,
-         {", ".join(f"lead(line, {k}) OVER w AS l{k}" for k in range(1, RUN_LINES))}
-  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+counted AS (SELECT *, len(regexp_extract_all(line, '[^ \\t\\n\\x0B\\f\\r]+')) AS words FROM lines),
+sums AS (SELECT doc_id, i, words, sum(words) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM counted),
+firsts AS (SELECT doc_id, upto, min(i) AS b FROM sums GROUP BY ALL),
+lasts AS (SELECT doc_id, upto - words AS before, max(i) AS a FROM sums GROUP BY ALL),
 runs AS (
-  SELECT doc_id, i, row_number() OVER (PARTITION BY line, {", ".join(f"l{k}" for k in range(1, RUN_LINES))} ORDER BY doc_id, i) > 1 AS later,
-         trim(line || {" || ".join(f"l{k}" for k in range(1, RUN_LINES))}) <> '' AS visible
-  FROM grams WHERE last IS NOT NULL),
-gone AS (
-  SELECT doc_id, i FROM grams WHERE later AND length(line) - length(replace(line, ' ', '')) >= {LONG_LINE_SPACES}
-  UNION
-  SELECT doc_id, i + k FROM runs, range(0, {RUN_LINES}) AS r(k) WHERE later AND visible),
+  SELECT s.doc_id, s.i AS a, f.b FROM (SELECT doc_id, i, greatest(upto - words + {RUN_WORDS}, upto + 1) AS goal FROM sums WHERE words > 0) s
+  ASOF JOIN firsts f ON f.doc_id = s.doc_id AND s.goal <= f.upto
+  UNION SELECT s.doc_id, l.a, s.i FROM (SELECT doc_id, i, least(upto - {RUN_WORDS}, upto - words - 1) AS goal FROM sums WHERE words > 0) s
+  ASOF JOIN lasts l ON l.doc_id = s.doc_id AND s.goal >= l.before
+  UNION SELECT doc_id, i, i FROM sums WHERE words >= {RUN_WORDS}),
+named AS (
+  SELECT r.doc_id, a, b, array_to_string(string_split(coalesce(text, ''), chr(10))[a + 1:b + 1], chr(10)) AS content
+  FROM runs r JOIN documents d ON d.doc_id = r.doc_id),
+later AS (SELECT doc_id, a, b FROM named QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, a) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM later),
 marked AS (
   SELECT l.doc_id, l.text, l.i, l.line, g.i IS NOT NULL AS gone,
          lag(g.i) OVER (PARTITION BY l.doc_id ORDER BY l.i) IS NULL AND g.i IS NOT NULL AS begins

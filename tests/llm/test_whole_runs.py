@@ -1,4 +1,4 @@
-"""Whole repeated runs of lines in the pipeline's line stage (10)."""
+"""Whole repeated runs of lines (10), in the pipeline's stage and the operator."""
 
 import random
 import re
@@ -26,8 +26,7 @@ def plain(texts):
                 run = tuple(ls[i:j])
                 counts = [len(WORDS.findall(x)) for x in run]
                 worded = sum(counts) >= ld.RUN_WORDS and counts[0] and counts[-1]
-                fixed = (j - i == ld.RUN_LINES and any(x.strip(" ") for x in run)) or (j - i == 1 and run[0].count(" ") >= ld.LONG_LINE_SPACES)
-                if (worded or fixed) and run in seen:
+                if worded and run in seen:
                     gone[k] |= set(range(i, j))
                 seen.add(run)
     for k, ls in enumerate(lines):
