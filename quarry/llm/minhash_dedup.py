@@ -11,7 +11,7 @@ is as concentrated as that of T independent hashes, also for sets far smaller th
 1. Equal sets become one node. Coordinates are cut into BANDS bands of ROWS; each gives a key.
    Two sets of similarity 0.8 share no key with a chance of (1 - 0.8 ** ROWS) ** BANDS, 1.4e-7.
 2. Every node is confirmed against the smallest node of each of its keys, on the full sets: as many pairs as
-   nodes with keys, however many share one. Links give a first labelling by components.
+   nodes with keys, however many share one. A node's label is the smallest node that it is linked with so, or itself.
 3. A key of which all nodes have one label, or that has two nodes, is settled. The nodes of the others, joined over
    their keys, form families; there every pair that shares a key and has different labels is confirmed as well. Families
    are cut into blocks of ``BLOCK_NODES`` nodes, a task for each two blocks, so that no key or family is capped.
@@ -211,9 +211,8 @@ def family_links(rows: list[tuple], cross: bool, percent: int) -> Iterator[tuple
 
 def rest_links(spark: SparkSession, members: DataFrame, reps: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
     """Links between differently labelled nodes of keys with three nodes or more, as far as they connect labels."""
-    label = F.coalesce("component", "node").alias("label")
-    labels = _store.written(spark, components(spark, links), "minhash-labels")
-    labelled = members.where("c > 2").join(labels, "node", "left").select("key", "node", "lo", label)
+    labels = _store.written(spark, links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "minhash-labels")
+    labelled = members.where("c > 2").join(labels, "node", "left").select("key", "node", "lo", F.coalesce("label", "node").alias("label"))
     labelled = _store.written(spark, labelled, "minhash-labelled")
     unsettled = _store.written(spark, labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                                .where("x < y").select("key"), "minhash-unsettled")
@@ -223,7 +222,7 @@ def rest_links(spark: SparkSession, members: DataFrame, reps: DataFrame, sets: D
                            .select(F.col("node").alias("a"), F.col("lo").alias("b")).distinct(), "minhash-stars")
     family = _store.written(spark, components(spark, stars), "minhash-families")
     blocks = _store.written(spark, family.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_NODES).cast("int").alias("blocks")), "minhash-blocks")
-    placed = (family.join(blocks, "component").join(labels.withColumnRenamed("component", "label"), "node", "left")
+    placed = (family.join(blocks, "component").join(labels, "node", "left")
               .withColumn("label", F.coalesce("label", "node")).withColumn("side", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
               .join(reps.select("node", "keys"), "node").join(sets.select("node", "hashes"), "node")
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
