@@ -14,9 +14,11 @@ from quarry.plans.catalog import QUERIES
 
 # keys whose callables write files when built; their read-back plans are plain scans
 WRITERS = {"title_word_export", "parquet_convert", "csv_round_trip", "tsv_round_trip", "rejected_rows",
-           "pair_files_join", "text_line_parse"}
+           "pair_files_join", "text_line_parse",
+           # they read what they have published or written from the tables
+           "merged_mean_sum_count", "merged_popular_urls", "published_trips", "rejected_origins"}
 # these number rows of a checkpoint: their plans scan that copy
-CHECKPOINTED = {"search_row_number", "fastest_trips_nan_last"}
+CHECKPOINTED = {"fastest_trips_nan_last"}
 KEYS = sorted(k for k in QUERIES if k not in WRITERS)
 
 
