@@ -21,11 +21,11 @@ def failing(batches):
             raise RuntimeError("injected failure")
 
 
-def main(sf_dir: str) -> None:
+def main(sf_dir: str, names: list[str]) -> None:
     spark = (SparkSession.builder.master("local[4,3]").appName("quarry-lost-tasks").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
-    from quarry.llm import jaccard_join, line_dedup, packing, suffix_dedup, token_output
+    from quarry.llm import jaccard_join, line_dedup, minhash_dedup, packing, prefix_trie, spelling_variants, suffix_dedup, token_output
 
     word, byte = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
     operators = {
@@ -34,13 +34,20 @@ def main(sf_dir: str) -> None:
         "token_output": lambda d: token_output.ids_by_document(spark, d, word),
         "jaccard_join": lambda d: jaccard_join.similar_components(spark, d),
         "line_dedup": lambda d: line_dedup.dedup_lines(spark, d),
+        "minhash_dedup": lambda d: minhash_dedup.near_duplicates(spark, d),
+        "prefix_trie": lambda d: prefix_trie.shared_prefixes(spark, d),
+        "spelling_variants": lambda d: spelling_variants.variants(spark, d),
     }
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    flaky = docs.mapInArrow(failing, docs.schema)
-    print(json.dumps({name: sorted(map(tuple, f(flaky).collect())) == sorted(map(tuple, f(docs).collect()))
-                      for name, f in operators.items()}))
+
+    def same(name):
+        table = spark.read.parquet(f"{sf_dir}/conversations.parquet") if name == "prefix_trie" else \
+            spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+        rows = [sorted(map(repr, operators[name](t).collect())) for t in (table.mapInArrow(failing, table.schema), table)]
+        return rows[0] == rows[1]
+
+    print(json.dumps({name: same(name) for name in names}))
     spark.stop()
 
 
 if __name__ == "__main__":
-    main(sys.argv[1])
+    main(sys.argv[1], sys.argv[2:])
