@@ -1,24 +1,28 @@
-"""Quality rules: text statistics, and perplexity bands of a character n-gram model per language.
-
-Characters are mapped to ``CLASSES`` classes (letters, accents, capitals,
-digits, marks, white space), so an n-gram of ``ORDER`` classes has a number
-below CLASSES ** ORDER: a perfect hash, and a proven bound of the model's size. Spark
-counts the n-grams of every whole text, first within each task. From the counts
-a modified Kneser-Ney model (three discounts, continuation counts below the
-highest order) is estimated per language and stored as one sorted array of
-n-gram hashes with an array of log probabilities; scoring is a binary search.
-Languages with less than ``LEAST_SHARE`` of the documents share one model, so
-there are at most 1 / LEAST_SHARE + 1 of them.
-
-A document is rejected by the method when its log perplexity lies outside its
-language's band: from ``BELOW`` normalised median deviations below the median of
-all documents that pass the base rules to ``ABOVE`` of them above it, and at
-least ``LEAST_BAND`` to either side.
+"""Quality rules: text statistics, and perplexity bands of a word n-gram model per language.
+
+Words are 64-bit hashes, lower-cased in A-Z, salted by language. Spark counts the word pairs of every whole text and
+estimates an interpolated modified Kneser-Ney model by grouping and joining on hashes: three discounts a
+language from counts of counts, continuation counts for single words, back-off weights for contexts. The
+model is three tables of hash and probability, sorted by hash, in the shared folder; its size grows with the distinct
+pairs and no part of it goes to the driver or a broadcast. Texts are scored by joining their pairs to it: a pair
+that the model holds by its own probability, any other by the weight of its context times that of the word.
+
+A text is scored by a model that has not seen it: each language has two, from texts of either fold, and a text is scored by the
+model of the other fold. The fold is a bit of the least hash of the text's 3-word windows, so that copies, and
+nearly all near copies, are in one fold and do not teach the model about each other.
+
+A document is rejected by the method when its log perplexity lies above its
+language's band (``ABOVE`` normalised median deviations over the median of all documents of the language that pass
+the base rules), or the log perplexity of its words alone below theirs (``BELOW`` of them under the median); bands reach at
+least ``LEAST_BAND`` to either side. Words alone have the model's continuation probabilities, which count the
+contexts of a word and so do not grow with copies of a text: the few near copies that lie in both folds make each
+other's pairs easy to foresee, but not their words, and are not rejected for it. A language with fewer than ``LEAST_DOCUMENTS`` such documents has no band: there
+the base rules decide. No verdict depends on documents of another language.
 
 Defined results: null or empty text has zero counts, null perplexity and fails
-the base rules, as does any text of less than 50 words; null language counts as
-a language of its own; repeated rows are counted as often as they occur; null
-doc_id is kept; other columns are ignored; an empty table gives no row.
+the base rules, as does any text of less than 50 words; a text of one word has null perplexity; very long texts are
+read whole; null language counts as a language of its own (shown as empty); repeated rows are counted as often as
+they occur, with equal verdicts; null doc_id is kept; other columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -27,149 +31,155 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarry.llm import _bytes, _store
 
-ORDER = 4
-CLASSES = 48
-LEAST_SHARE = 0.01
-BELOW, ABOVE = 4.0, 6.0
-LEAST_BAND = 0.05
-OTHER = "other"
+FOLD_WORDS = 3
+BELOW, ABOVE = 6.0, 4.0
+LEAST_BAND = 0.1
+LEAST_DOCUMENTS = 20
+COUNT_BYTES = 8 << 20  # text whose pairs are counted together before they are sent
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
-SCORED = ("doc_id long, model string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-          "n_repeat_words long, log_perplexity double")
-SCORED_FIELDS = pa.schema([("doc_id", pa.int64()), ("model", pa.string()), ("n_words", pa.int64()),
-                           ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()),
-                           ("n_repeat_words", pa.int64()), ("log_perplexity", pa.float64())])
-
-
-def _class_table() -> np.ndarray:
-    """Class of each ASCII byte: white space 0, line feed 1, a-z 2-27, capital 28, digit 29, stops 30, other 31-32."""
-    t = np.full(256, 32, np.int32)
-    t[list(b"'\"-()/_")] = 31
-    t[list(b".,;:!?")] = 30
-    t[48:58] = 29
-    t[65:91] = 28
-    t[97:123] = np.arange(2, 28)
-    t[list(_bytes.SPACES)] = 0
-    t[0x0A] = 1
-    return t
+STATISTICS = ("key long, doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+              "n_repeat_words long")
+
+
+def _salted(hashes: np.ndarray, rows: np.ndarray, models: np.ndarray) -> np.ndarray:
+    """Word hashes that are equal only within a model."""
+    return _bytes.mix(hashes + np.repeat(_bytes.mix(models), np.diff(rows)))
+
+
+def folds(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """0 or 1 for each row: a bit of the least hash of its windows (0 for rows without one)."""
+    grams, _, at = _bytes.windows(hashes, rows, FOLD_WORDS)
+    out = np.zeros(len(rows) - 1, np.uint64)
+    some = np.flatnonzero(np.diff(at))
+    if len(some):
+        out[some] = np.minimum.reduceat(grams, at[some]) >> np.uint64(20) & np.uint64(1)
+    return out
+
+
+def _pairs(batch: pa.RecordBatch, most: int, other: bool):
+    """For blocks of whole rows: rows, their models, and context, word and row of each pair of neighbouring words.
+    ``other``: under the model that has not seen the row."""
+    langs = batch.column("lang_hash").to_numpy().view(np.uint64) & ~np.uint64(1)
+    for i, j, data, offsets in _bytes.row_blocks(batch.column("text"), most):
+        hashes, rows = _bytes.words(data, offsets, lower=True)
+        models = langs[i:j] | (folds(hashes, rows) ^ np.uint64(other))
+        salted = _salted(hashes, rows, models)
+        many = np.maximum(np.diff(rows) - 1, 0)
+        row = np.repeat(np.arange(j - i), many)
+        first = np.arange(len(row)) + np.repeat(rows[:-1] - (np.cumsum(many) - many), many)
+        yield i, j, models, salted[first], salted[first + 1], row
+
+
+def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and number of each distinct hash."""
+    _, first, n = np.unique(hashes, return_index=True, return_counts=True)
+    return first, n
 
 
-_ASCII = _class_table()
-
-
-def classes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class of every character, and the first character of each row (with an end entry)."""
-    head = (data & 0xC0) != 0x80
-    at = np.flatnonzero(head)
-    b = data[at].astype(np.int32)
-    out = _ASCII[b]
-    wide = b >= 0x80
-    if wide.any():
-        where = at[wide]
-        lead = b[wide]
-        tail = data[np.minimum(where + 1, len(data) - 1)].astype(np.int32) & 0x3F
-        cp = ((lead & 0x1F) << 6) | tail
-        latin = (lead < 0xE0) & (cp >= 0xC0) & (cp < 0x100)
-        out[wide] = np.where(latin & (cp < 0xDF), 28, np.where(latin, 33 + cp % 11, np.where(lead < 0xE0, 44 + cp % 2, 46 + tail % 2)))
-    seen = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(head, out=seen[1:])
-    return out, seen[offsets]
-
-
-def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of all n-grams that lie in one row, and the first n-gram of each row (with an end entry)."""
-    c, rows = classes(data, offsets)
-    many = np.maximum(np.diff(rows) - ORDER + 1, 0)
-    at = np.zeros(len(rows), np.int64)
-    np.cumsum(many, out=at[1:])
-    if not at[-1]:
-        return np.zeros(0, np.int32), at
-    n = len(c) - ORDER + 1
-    code = c[:n].copy()
-    for k in range(1, ORDER):
-        code *= CLASSES
-        code += c[k:n + k]
-    inside = np.ones(n, bool)
-    for k in range(1, ORDER):
-        over = rows[1:-1] - k
-        inside[over[(over >= 0) & (over < n)]] = False
-    # rows shorter than an n-gram are covered by the marks of the rows after them
-    return code[inside], at
-
-
-def count_ngrams(docs: DataFrame) -> DataFrame:
-    """(model, code, n) over all texts; counted within each task before the shuffle."""
+def _longs(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns.values()], list(columns))
+
+
+def pair_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return _bytes.mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def count_pairs(docs: DataFrame) -> DataFrame:
+    """(pair, model, context, word, n) over all texts; counted within blocks before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            models = batch.column("model").to_numpy(zero_copy_only=False)
-            for i, j, data, offsets in _bytes.row_blocks(batch.column("text")):
-                codes, at = ngrams(data, offsets)
-                of = np.repeat(np.arange(j - i), np.diff(at))
-                for m in np.unique(models[i:j].astype(str)):
-                    own = np.bincount(codes[(models[i:j] == m)[of]], minlength=CLASSES ** ORDER)
-                    totals[m] = totals[m] + own if m in totals else own
-        for m, own in totals.items():
-            seen = np.flatnonzero(own)
-            for i in range(0, len(seen), 1 << 16):
-                s = seen[i:i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array([m] * len(s), pa.string()), pa.array(s, pa.int64()),
-                                                  pa.array(own[s], pa.int64())], ["model", "code", "n"])
-
-    return docs.mapInArrow(count, "model string, code long, n long").groupBy("model", "code").agg(F.sum("n").alias("n"))
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts for a count of 0, 1, 2 and 3 or more, from the counts of counts."""
-    n1, n2, n3, n4 = (float((counts == k).sum()) for k in (1, 2, 3, 4))
-    if not (n1 and n2 and n3):
-        return np.array([0.0, 0.5, 0.75, 1.0])  # too even a table to estimate them
-    y = n1 / (n1 + 2 * n2)
-    return np.clip([0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 1, 2, 3])
-
-
-def kneser_ney(codes: np.ndarray, counts: np.ndarray, order: int = ORDER, size: int = CLASSES) -> np.ndarray:
-    """Log probability of the last class of each n-gram given the others; ``codes`` sorted and distinct."""
-    tables = [(codes, counts.astype(np.float64))]
-    for k in range(order - 1, 0, -1):  # continuation counts: distinct classes before an n-gram
-        code, n = np.unique(tables[-1][0] % size ** k, return_counts=True)
-        tables.append((code, n.astype(np.float64)))
-    below_codes, below = np.zeros(1, np.int64), np.full(1, 1.0 / size)
-    for k, (code, n) in zip(range(1, order + 1), reversed(tables)):
-        d = _discounts(n)[np.minimum(n, 3).astype(int)]
-        context, of = np.unique(code // size, return_inverse=True)
-        total = np.bincount(of, n)
-        left = np.bincount(of, d) / total
-        lower = below[np.searchsorted(below_codes, code % size ** (k - 1))] if k > 1 else np.full(len(code), 1.0 / size)
-        below_codes, below = code, (n - d) / total[of] + left[of] * lower
-    return np.log(below)
-
-
-def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Models, sorted n-gram hashes (model number * CLASSES ** ORDER + code) and their log probabilities.
-
-    What is collected is bounded by CLASSES ** ORDER n-grams for each of the at most 1 / LEAST_SHARE + 1 models."""
-    table = count_ngrams(docs).toArrow()
-    models = sorted(set(table.column("model").to_pylist()))
-    names = table.column("model").to_numpy(zero_copy_only=False)
-    codes, counts = table.column("code").to_numpy(), table.column("n").to_numpy()
-    keys, logs = [np.zeros(0, np.int64)], [np.zeros(0)]
-    for k, m in enumerate(models):
-        own = names == m
-        order = np.argsort(codes[own])
-        code = codes[own][order]
-        keys.append(code + k * CLASSES ** ORDER)
-        logs.append(kneser_ney(code, counts[own][order]))
-    return models, np.concatenate(keys), np.concatenate(logs).astype(np.float32)
+            for _, _, models, b, c, row in _pairs(batch, COUNT_BYTES, other=False):
+                pair = pair_hash(b, c)
+                at, n = _counted(pair)
+                yield _longs(pair=pair[at], model=models[row[at]], context=b[at], word=c[at], n=n)
+
+    return (docs.mapInArrow(count, "pair long, model long, context long, word long, n long").groupBy("pair")
+            .agg(*[F.any_value(k).alias(k) for k in ("model", "context", "word")], F.sum("n").alias("n")))
+
+
+def document_pairs(docs: DataFrame) -> DataFrame:
+    """(key, pair, model, context, word, n) for each distinct pair of a text, under the model of the other fold."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            for i, j, models, b, c, row in _pairs(batch, _bytes.BLOCK_BYTES, other=True):
+                pair = pair_hash(b, c)
+                at, n = _counted(_of_row(pair, row))
+                yield _longs(key=keys[i:j][row[at]], pair=pair[at], model=models[row[at]], context=b[at], word=c[at], n=n)
+
+    return docs.mapInArrow(found, "key long, pair long, model long, context long, word long, n long")
+
+
+def _times(k: int, name: str = "n") -> Column:
+    return F.count_if(F.col(name) == k)
+
+
+def _discounts(table: DataFrame) -> DataFrame:
+    """(model, d1, d2, d3, ...) from the counts of counts of a table (model, n): one row a model."""
+    t = table.groupBy("model").agg(*[_times(k).cast("double").alias(f"t{k}") for k in (1, 2, 3, 4)],
+                                   F.count_if(F.col("n") >= 3).alias("t3_up"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
+    y = F.expr("t1 / (t1 + 2 * t2)")
+    enough = F.expr("t1 > 0 AND t2 > 0 AND t3 > 0")  # else too even a table to estimate them
+    for k, plain in ((1, 0.5), (2, 0.75), (3, 1.0)):
+        d = F.lit(float(k)) - (k + 1) * y * F.col(f"t{k + 1}") / F.nullif(F.col(f"t{k}"), F.lit(0.0))
+        t = t.withColumn(f"d{k}", F.when(enough, F.greatest(F.lit(0.05), F.least(d, F.lit(float(k))))).otherwise(plain))
+    return t
+
+
+def _less(n: str = "n") -> Column:
+    """A count less its discount."""
+    return F.expr(f"{n} - CASE {n} WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END")
+
+
+def train(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The model as tables sorted by hash: pairs (pair, p, p_word), contexts (context, weight), words (word, p_word) and,
+    a row for each model, what a word gets that it does not hold (model, p_unknown)."""
+
+    def stored(df: DataFrame, by: str, name: str) -> DataFrame:
+        return _store.written(spark, df.sortWithinPartitions(by), name)
+
+    counts = _store.written(spark, count_pairs(docs), "pair-counts")
+    continued = _store.written(spark, counts.groupBy("word").agg(F.any_value("model").alias("model"), F.count(F.lit(1)).alias("n")),
+                               "continuations")
+    # tables of one row a model: written, so that Spark sees their size before it picks a join
+    word_rule = _store.written(spark, _discounts(continued).withColumn(
+        "p_unknown", F.expr("(d1 * t1 + d2 * t2 + d3 * t3_up) / total / (size + 1)")), "word-discounts")
+    pair_rule = _store.written(spark, _discounts(counts).select("model", "d1", "d2", "d3"), "pair-discounts")
+    words = stored(continued.join(word_rule, "model").select("word", (_less() / F.col("total") + F.col("p_unknown")).alias("p_word")),
+                   "word", "word-model")
+    followed = counts.groupBy("context").agg(F.any_value("model").alias("model"), F.sum("n").alias("total"), _times(1).alias("k1"),
+                                             _times(2).alias("k2"), F.count_if(F.col("n") >= 3).alias("k3"))
+    contexts = stored(followed.join(pair_rule, "model").select(
+        "context", F.expr("(d1 * k1 + d2 * k2 + d3 * k3) / total").alias("weight"), "total"), "context", "context-model")
+    pairs = stored(counts.join(pair_rule, "model").join(contexts, "context").join(words, "word").select(
+        "pair", (_less() / F.col("total") + F.col("weight") * F.col("p_word")).alias("p"), "p_word"), "pair", "pair-model")
+    return pairs, contexts.drop("total"), words, word_rule.select("model", "p_unknown")
+
+
+def log_perplexity(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(key, log_perplexity, log_words) of each text of two words or more: by the model, and by its words alone (each
+    word after the first). Rows of one key are equal and get the mean of equal figures."""
+    pairs, contexts, words, unknown = train(spark, docs)
+    looked = _store.written(spark, document_pairs(docs).join(pairs, "pair", "left").select(
+        "key", "n", "p", "p_word", *[F.when(F.col("p").isNull(), F.col(k)).alias(k) for k in ("model", "context", "word")]), "pairs-looked-up")
+    sums = [F.sum("n").alias("n"), *[F.sum(F.col("n") * F.ln(k)).alias(k) for k in ("p", "p_word")]]
+    held = looked.where("p IS NOT NULL").groupBy("key").agg(*sums)
+    # a fold without a text has no model: nothing is known of any word
+    rest = (looked.where("p IS NULL").drop("p", "p_word").join(contexts, "context", "left").join(words, "word", "left")
+            .join(unknown, "model", "left").withColumn("p_word", F.coalesce("p_word", "p_unknown", F.lit(1.0)))
+            .withColumn("p", F.coalesce("weight", F.lit(1.0)) * F.col("p_word")).groupBy("key").agg(*sums))
+    return held.unionByName(rest).groupBy("key").agg(*[(-F.sum(k) / F.sum("n")).alias(name) for k, name in
+                                                       (("p", "log_perplexity"), ("p_word", "log_words"))])
 
 
 def statistics(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -214,59 +224,53 @@ def _of_row(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
     return _bytes.mix(hashes + _bytes.mix(row.astype(np.uint64) + np.uint64(1)))
 
 
-def with_model(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the name of the model: the language, or OTHER for the rare ones."""
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
-    total = source.count()
-    common = [r["lang"] for r in source.groupBy("lang").count().where(F.col("count") >= LEAST_SHARE * total).collect()]
-    return source.select("doc_id", "text", F.when(F.col("lang").isin(common), F.col("lang")).otherwise(OTHER).alias("model"))
+def with_key(docs: DataFrame) -> DataFrame:
+    """key, doc_id, text, lang and lang_hash; equal rows have one key."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
+    return source.select(F.xxhash64("doc_id", "text", "lang").alias("key"), "doc_id", "text", "lang", F.xxhash64("lang").alias("lang_hash"))
 
 
-def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Statistics, log perplexity and verdict of each document."""
-    docs = with_model(docs)
-    shared = spark.sparkContext.broadcast(train(docs))
+def count_statistics(docs: DataFrame) -> DataFrame:
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, keys, logs = shared.value
-        number = {m: k for k, m in enumerate(models)}
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column("model")
-            base = np.array([number.get(m, 0) for m in names.to_pylist()], np.int64) * CLASSES ** ORDER
-            parts, perplexity = [], []
             for i, j, data, offsets in _bytes.row_blocks(batch.column("text")):
-                parts.append(statistics(data, offsets))
-                codes, at = ngrams(data, offsets)
-                many = np.diff(at)
-                found = logs[np.searchsorted(keys, codes + np.repeat(base[i:j], many))] if len(codes) else np.zeros(0)
-                sums = np.zeros(len(found) + 1)
-                np.cumsum(found, out=sums[1:])
-                perplexity.append(np.where(many > 0, -np.diff(sums[at]) / np.maximum(many, 1), np.nan))
-            if not parts:
-                continue
-            counts = [np.concatenate(x) for x in zip(*parts)]
-            logp = np.concatenate(perplexity)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), names, *[pa.array(c, pa.int64()) for c in counts],
-                pa.array(logp, pa.float64(), mask=np.isnan(logp))], schema=SCORED_FIELDS)
-
-    table = _store.written(spark, docs.mapInArrow(scored, SCORED), "quality-rules")
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).slice(i, j - i) for c in ("key", "doc_id", "lang")],
+                     *[pa.array(c, pa.int64()) for c in statistics(data, offsets)]],
+                    ["key", "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+
+    return docs.mapInArrow(counted, STATISTICS)
+
+
+def score(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Statistics, log perplexity and verdict of each document."""
+    docs = with_key(docs)
+    table = _store.written(spark, count_statistics(docs).join(log_perplexity(spark, docs), "key", "left"), "quality-rules")
     table = table.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS)
                              | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")))
-    # one row per model
+    # one row a language, written so that Spark sees the size before it picks a join
     passed = table.where("NOT base_failed AND log_perplexity IS NOT NULL")
-    middle = passed.groupBy("model").agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("middle"))
-    spread = (passed.join(F.broadcast(middle), "model").groupBy("model", "middle")
-              .agg(F.percentile_approx(F.abs(F.col("log_perplexity") - F.col("middle")), 0.5, 10000).alias("mad")))
 
-    def width(times):
-        return F.greatest(F.lit(LEAST_BAND), F.lit(times * 1.4826) * F.col("mad"))
+    def median(x):
+        return F.percentile_approx(x, 0.5, 10000)
+
+    middle = _store.written(spark, passed.groupBy("lang").agg(median("log_perplexity").alias("middle"), median("log_words").alias("middle_words"),
+                                                              F.count(F.lit(1)).alias("size")), "middles")
+    spread = passed.join(middle, "lang").groupBy("lang", "middle", "middle_words", "size").agg(
+        median(F.abs(F.col("log_perplexity") - F.col("middle"))).alias("mad"),
+        median(F.abs(F.col("log_words") - F.col("middle_words"))).alias("mad_words"))
+
+    def width(times, mad):
+        return F.greatest(F.lit(LEAST_BAND), F.lit(times * 1.4826) * F.col(mad))
 
-    bands = spread.select("model", (F.col("middle") - width(BELOW)).alias("lower"),
-                          (F.col("middle") + width(ABOVE)).alias("upper"))
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
-    return table.join(F.broadcast(bands), "model", "left").select(
+    bands = _store.written(spark, spread.where(F.col("size") >= LEAST_DOCUMENTS).select(
+        "lang", (F.col("middle_words") - width(BELOW, "mad_words")).alias("lower"),
+        (F.col("middle") + width(ABOVE, "mad")).alias("upper")), "bands")
+    inside = F.coalesce((F.col("log_words") >= F.col("lower")) & (F.col("log_perplexity") <= F.col("upper")), F.lit(True))
+    return table.join(bands, "lang", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & inside).alias("kept"), F.col("model").alias("language_model"),
-        F.exp("log_perplexity").alias("perplexity"), F.exp("lower").alias("lower_band"), F.exp("upper").alias("upper_band"))
+        (~F.col("base_failed") & inside).alias("kept"), F.col("lang").alias("language_model"),
+        F.exp("log_perplexity").alias("perplexity"), F.exp("log_words").alias("words_perplexity"),
+        F.exp("lower").alias("lower_band"), F.exp("upper").alias("upper_band"))
