@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarry.llm import _bytes
-from quarry.llm.quality_rules import CLASSES, classes, statistics
+from quarry.llm._classes import CLASSES, classes
+from quarry.llm.quality_rules import statistics
 
 MOST_POSITIVE = 10_000
 MOST_UNLABELLED = 20_000
