@@ -88,36 +88,34 @@ def _longs(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns.values()], list(columns))
 
 
-def pair_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _bytes.mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
 def count_pairs(docs: DataFrame) -> DataFrame:
-    """(pair, model, context, word, n) over all texts; counted within blocks before the shuffle."""
+    """(context, word, model, n) over all texts; counted within blocks before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, models, b, c, row in _pairs(batch, COUNT_BYTES, other=False):
-                pair = pair_hash(b, c)
-                at, n = _counted(pair)
-                yield _longs(pair=pair[at], model=models[row[at]], context=b[at], word=c[at], n=n)
+                at, n = _counted(_pair(b, c))
+                yield _longs(context=b[at], word=c[at], model=models[row[at]], n=n)
 
-    return (docs.mapInArrow(count, "pair long, model long, context long, word long, n long").groupBy("pair")
-            .agg(*[F.any_value(k).alias(k) for k in ("model", "context", "word")], F.sum("n").alias("n")))
+    return (docs.mapInArrow(count, "context long, word long, model long, n long").groupBy("context", "word")
+            .agg(F.any_value("model").alias("model"), F.sum("n").alias("n")))
 
 
 def document_pairs(docs: DataFrame) -> DataFrame:
-    """(key, pair, model, context, word, n) for each distinct pair of a text, under the model of the other fold."""
+    """(key, context, word, model, n) for each distinct pair of a text, under the model of the other fold."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
             for i, j, models, b, c, row in _pairs(batch, _bytes.BLOCK_BYTES, other=True):
-                pair = pair_hash(b, c)
-                at, n = _counted(_of_row(pair, row))
-                yield _longs(key=keys[i:j][row[at]], pair=pair[at], model=models[row[at]], context=b[at], word=c[at], n=n)
+                at, n = _counted(_of_row(_pair(b, c), row))
+                yield _longs(key=keys[i:j][row[at]], context=b[at], word=c[at], model=models[row[at]], n=n)
 
-    return docs.mapInArrow(found, "key long, pair long, model long, context long, word long, n long")
+    return docs.mapInArrow(found, "key long, context long, word long, model long, n long")
 
 
 def _times(k: int, name: str = "n") -> Column:
@@ -142,11 +140,11 @@ def _less(n: str = "n") -> Column:
 
 
 def train(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The model as tables sorted by hash: pairs (pair, p, p_word), contexts (context, weight), words (word, p_word) and,
+    """The model as tables sorted by hash: pairs (context, word, p, p_word), contexts (context, weight), words (word, p_word) and,
     a row for each model, what a word gets that it does not hold (model, p_unknown)."""
 
-    def stored(df: DataFrame, by: str, name: str) -> DataFrame:
-        return _store.written(spark, df.sortWithinPartitions(by), name)
+    def stored(df: DataFrame, by: list[str], name: str) -> DataFrame:
+        return _store.written(spark, df.sortWithinPartitions(*by), name)
 
     counts = _store.written(spark, count_pairs(docs), "pair-counts")
     continued = _store.written(spark, counts.groupBy("word").agg(F.any_value("model").alias("model"), F.count(F.lit(1)).alias("n")),
@@ -156,13 +154,13 @@ def train(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame, D
         "p_unknown", F.expr("(d1 * t1 + d2 * t2 + d3 * t3_up) / total / (size + 1)")), "word-discounts")
     pair_rule = _store.written(spark, _discounts(counts).select("model", "d1", "d2", "d3"), "pair-discounts")
     words = stored(continued.join(word_rule, "model").select("word", (_less() / F.col("total") + F.col("p_unknown")).alias("p_word")),
-                   "word", "word-model")
+                   ["word"], "word-model")
     followed = counts.groupBy("context").agg(F.any_value("model").alias("model"), F.sum("n").alias("total"), _times(1).alias("k1"),
                                              _times(2).alias("k2"), F.count_if(F.col("n") >= 3).alias("k3"))
     contexts = stored(followed.join(pair_rule, "model").select(
-        "context", F.expr("(d1 * k1 + d2 * k2 + d3 * k3) / total").alias("weight"), "total"), "context", "context-model")
+        "context", F.expr("(d1 * k1 + d2 * k2 + d3 * k3) / total").alias("weight"), "total"), ["context"], "context-model")
     pairs = stored(counts.join(pair_rule, "model").join(contexts, "context").join(words, "word").select(
-        "pair", (_less() / F.col("total") + F.col("weight") * F.col("p_word")).alias("p"), "p_word"), "pair", "pair-model")
+        "context", "word", (_less() / F.col("total") + F.col("weight") * F.col("p_word")).alias("p"), "p_word"), ["context", "word"], "pair-model")
     return pairs, contexts.drop("total"), words, word_rule.select("model", "p_unknown")
 
 
@@ -170,7 +168,7 @@ def log_perplexity(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(key, log_perplexity, log_words) of each text of two words or more: by the model, and by its words alone (each
     word after the first). Rows of one key are equal and get the mean of equal figures."""
     pairs, contexts, words, unknown = train(spark, docs)
-    looked = _store.written(spark, document_pairs(docs).join(pairs, "pair", "left").select(
+    looked = _store.written(spark, document_pairs(docs).join(pairs, ["context", "word"], "left").select(
         "key", "n", "p", "p_word", *[F.when(F.col("p").isNull(), F.col(k)).alias(k) for k in ("model", "context", "word")]), "pairs-looked-up")
     sums = [F.sum("n").alias("n"), *[F.sum(F.col("n") * F.ln(k)).alias(k) for k in ("p", "p_word")]]
     held = looked.where("p IS NOT NULL").groupBy("key").agg(*sums)
