@@ -51,6 +51,49 @@ def test_masks_catch_substitutions():
                        for m in dc.MASKS for at in range(n - len(m) + 1))
 
 
+def test_short_masks_catch_all_patterns():
+    for n in range(dc.SHORTEST, dc.LEAST_WORDS):
+        masks = dc.short_masks(n)
+        assert all(len(m) == n and m.count("1") >= 3 for m in masks)
+        for places in itertools.combinations(range(n), n // 5):
+            assert any(all(m[i] == "0" for i in places) for m in masks)
+
+
+def test_all_patterns_in_short_items_are_found(spark):
+    """Items of 3 to 12 words with every choice of a fifth of the words replaced; one more is too many."""
+    bench = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in range(1, 13)]
+    docs, want = [], set()
+    for n, text in bench:
+        for places in itertools.combinations(range(n), n // 5):
+            words = ["other" if i in places else w for i, w in enumerate(text.split())]
+            docs.append((len(docs), f"{prose(len(docs), 20)} {' '.join(words)} {prose(len(docs), 9)}"))
+            if n >= dc.SHORTEST:
+                want.add((docs[-1][0], n, n, n - n // 5))
+        words = ["other" if i <= n // 5 else w for i, w in enumerate(text.split())]
+        docs.append((len(docs), f"{prose(len(docs), 20)} {' '.join(words)} {prose(len(docs), 9)}"))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id, r.n_words, r.n_equal) for r in dc.find_leaks(spark, df, items(spark, bench)).collect()} == want
+
+
+def test_overlap_against_every_shift():
+    r = np.random.default_rng(5)
+    for _ in range(200):
+        doc, item = r.integers(0, 2, r.integers(1, 30)).astype(np.uint64), r.integers(0, 2, r.integers(1, 9)).astype(np.uint64)
+        shifts = list(range(-len(item) + 1, len(doc)))
+        found = []
+        for k in shifts:
+            a, b = max(0, k), min(len(doc), len(item) + k)
+            s, e, n = dc.longest_stretch(doc[a:b] == item[a - k:b - k])
+            found.append((e - s, n, -(a + s), -(a + s - k)))
+        assert dc.longest_overlap(doc, item, shifts) == max(found)
+
+
+def test_a_long_text_of_equal_words(spark):
+    docs = spark.createDataFrame([(1, "again " * 20_000), (2, prose(1, 20_000))], "doc_id long, text string")
+    rows = dc.find_leaks(spark, docs, items(spark, [(1, "again " * 40), (2, "again " * 4)])).collect()
+    assert sorted((r.doc_id, r.item_id, r.doc_word, r.n_equal) for r in rows) == [(1, 1, 0, 40), (1, 2, 0, 4)]
+
+
 def test_longest_stretch_against_all_stretches():
     r = np.random.default_rng(2)
     for _ in range(300):
