@@ -26,7 +26,8 @@ The result has the smallest doc_id reachable over links for every document.
 Defined results: texts without words (null, empty) have an empty set and are linked with
 nothing; with fewer than five words the whole sequence is the one shingle;
 repeated rows link with each other; rows without doc_id link with nothing and
-have a null component; other columns are ignored.
+have a null component; very long texts are read whole; an empty table gives no row;
+other columns are ignored.
 Hashes are 64 bits wide; equal hashes count as equal shingles.
 """
 

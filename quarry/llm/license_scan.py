@@ -13,7 +13,8 @@ Beside it, ``BASE`` phrases are found as consecutive words of the whole text.
 
 Words: A-Z lower-cased, then ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. Defined
 results: null or empty text has no word, no label and score 0; repeated rows
-give one row each; null doc_id is kept; other columns are ignored. DataFrame
+give one row each; null doc_id is kept; very long texts are read whole; an empty
+table gives no row; other columns are ignored. DataFrame
 expressions only. The one collected result is the count of each template word.
 """
 

@@ -17,7 +17,8 @@ label, language, source or id is among them.
 Defined results: null text counts as empty and is scored as such; a document
 with several label rows is a trusted positive when all of them say 1; null
 doc_id is scored and not held out; repeated rows are scored each; without
-positives or unlabelled rows the score is the prior 0.5; other columns are ignored.
+positives or unlabelled rows the score is the prior 0.5; very long texts are scored
+whole; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ Around it, Spark brings together only texts that may repeat, with all places of
 
 Strings are judged on the input; places in one document count, and overlaps do; matches never cross
 documents. Defined results: null text counts as empty; texts shorter than LENGTH lose nothing; repeated rows
-repeat each other; null doc_id is kept; other columns are ignored.
+repeat each other; null doc_id is kept; very long texts are searched
+whole; an empty table gives no row; other columns are ignored.
 Contexts and window hashes of 64 bits that are equal count as equal bytes.
 """
 

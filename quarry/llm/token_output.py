@@ -17,7 +17,7 @@ Documents are dealt by range of doc_id (equal ids by the hash of their text),
 so shard order is id order. A task writes its shards under names made of its
 number, each file moved into place whole: a task that runs again leaves the
 same files. Null text counts as empty; null doc_ids come first; equal rows stay
-separate documents; an empty table gives no shard.
+separate documents; very long texts are encoded whole; an empty table gives no shard.
 """
 
 from __future__ import annotations

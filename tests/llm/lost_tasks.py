@@ -25,7 +25,10 @@ def main(sf_dir: str, names: list[str]) -> None:
     spark = (SparkSession.builder.master("local[4,3]").appName("quarry-lost-tasks").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
-    from quarry.llm import jaccard_join, line_dedup, minhash_dedup, packing, prefix_trie, spelling_variants, suffix_dedup, token_output
+    from pyspark.sql import functions as F
+
+    from quarry.llm import (decontamination, jaccard_join, license_scan, line_dedup, minhash_dedup, packing, prefix_trie, quality_rules,
+                            spelling_variants, suffix_dedup, token_output)
 
     word, byte = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
     operators = {
@@ -37,6 +40,11 @@ def main(sf_dir: str, names: list[str]) -> None:
         "minhash_dedup": lambda d: minhash_dedup.near_duplicates(spark, d),
         "prefix_trie": lambda d: prefix_trie.shared_prefixes(spark, d),
         "spelling_variants": lambda d: spelling_variants.variants(spark, d),
+        "decontamination": lambda d: decontamination.find_leaks(spark, d, spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
+        "license_scan": lambda d: license_scan.scan(spark, d),
+        # sums of logarithms come in another order
+        "quality_rules": lambda d: quality_rules.score(spark, d.withColumn("lang", F.lit("en"))).withColumns(
+            {k: F.round(k, 4) for k in ("perplexity", "words_perplexity", "lower_band", "upper_band")}),
     }
 
     def same(name):

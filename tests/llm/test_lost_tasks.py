@@ -9,7 +9,8 @@ import pytest
 
 
 @pytest.mark.parametrize("names", [["packing", "suffix_dedup", "token_output", "jaccard_join", "line_dedup"],
-                                   ["minhash_dedup", "prefix_trie", "spelling_variants"]])
+                                   ["minhash_dedup", "prefix_trie", "spelling_variants"],
+                                   ["decontamination", "license_scan", "quality_rules"]])
 def test_operators_survive_failed_tasks(sf_small, names):
     script = os.path.join(os.path.dirname(os.path.abspath(__file__)), "lost_tasks.py")
     done = subprocess.run([sys.executable, script, sf_small, *names], capture_output=True, text=True, timeout=900)
