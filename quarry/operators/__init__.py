@@ -1,6 +1,7 @@
 """Relational operators: cleaning, joins with a chosen strategy, ordering."""
 
 from quarry.operators.cleaning import clean_trips, distinct_endpoints, drop_nulls, inside_box, positive_duration
+from quarry.operators.dictionary import Encoded, encode, write_dictionary
 from quarry.operators.inspect import join_operators, plan_string
 from quarry.operators.joins import (
     STRATEGIES,
@@ -19,6 +20,7 @@ from quarry.operators.ranges import grouped_values, range_id, row_number_by_rang
 from quarry.operators.skew import heavy_key_join, heavy_keys
 
 __all__ = [
+    "Encoded",
     "STRATEGIES",
     "broadcast_join",
     "clean_trips",
@@ -26,6 +28,7 @@ __all__ = [
     "desc_nan_last",
     "distinct_endpoints",
     "drop_nulls",
+    "encode",
     "filtered_join",
     "fits_broadcast",
     "format_pairs",
@@ -48,4 +51,5 @@ __all__ = [
     "splitters",
     "tagged_union",
     "top_k",
+    "write_dictionary",
 ]

@@ -26,7 +26,7 @@ from quarry.operators.joins import tagged_union as _tagged_union
 from quarry.operators.prefilter import filtered_join
 from quarry.operators.ranges import grouped_values, row_number_by_ranges
 from quarry.operators.skew import heavy_key_join
-from quarry.plans import conversions, searchlog, trips
+from quarry.plans import conversions, searchlog, trips, wordindex
 from quarry.sources.readers import read_parquet
 
 P = JobParams()
@@ -252,6 +252,28 @@ def q_merged_popular_urls(spark: SparkSession, d: str) -> DataFrame:
     return searchlog.popular_urls_from_state(spark, base, P)
 
 
+def _word_index(spark: SparkSession, d: str) -> wordindex.WordIndex:
+    return wordindex.write_word_index(spark, fx.search_texts(spark, d), fx.titles(spark, d), scratch_dir(spark, "word-index"),
+                                      id_col="doc_id", weight="n")
+
+
+def q_word_dictionary(spark: SparkSession, d: str) -> DataFrame:
+    return _word_index(spark, d).dictionary.select("word", "id", "n", "searches", "titles")
+
+
+def q_encoded_keyword_counts(spark: SparkSession, d: str) -> DataFrame:
+    return wordindex.keyword_counts(_word_index(spark, d), P.keyword_top)
+
+
+def q_encoded_first_letters(spark: SparkSession, d: str) -> DataFrame:
+    return wordindex.title_first_letters(_word_index(spark, d)).select("first_letter", "appearances", _r("frequency"))
+
+
+def q_encoded_title_match(spark: SparkSession, d: str) -> DataFrame:
+    out = wordindex.search_title_match(_word_index(spark, d), fx.stop_words(spark), stops_bounded=True)
+    return out.select("matched", "searchable", _r("match_pct"), "matched_words")
+
+
 def q_published_trips(spark: SparkSession, d: str) -> DataFrame:
     return _trip_cols(conversions.published_trips(spark, clean_trips(fx.trips(spark, d), P)))
 
@@ -359,5 +381,9 @@ QUERIES: dict[str, Query] = {
     "merged_mean_sum_count": q_merged_mean_sum_count,
     "merged_popular_urls": q_merged_popular_urls,
     "published_trips": q_published_trips,
+    "word_dictionary": q_word_dictionary,
+    "encoded_keyword_counts": q_encoded_keyword_counts,
+    "encoded_first_letters": q_encoded_first_letters,
+    "encoded_title_match": q_encoded_title_match,
     "rejected_origins": q_rejected_origins,
 }

@@ -245,3 +245,15 @@ SELECT CAST(event_id AS VARCHAR) id, event_id % 4 folder, line FROM (
 # States that new rows are merged into give what a whole computation gives.
 SQL["merged_mean_sum_count"] = SQL["mean_sum_count"]
 SQL["merged_popular_urls"] = SQL["popular_urls"]
+
+# The same questions from a dictionary and an encoded copy of the texts.
+SQL["word_dictionary"] = _with(TEXTS, TITLES) + """,
+tokens AS (
+  SELECT unnest(string_split(keywords, ' ')) word, 1 s FROM texts
+  UNION ALL SELECT unnest(string_split(title, '_')), 0 FROM titles)
+SELECT word, row_number() OVER (ORDER BY count(*) DESC, word) id, count(*) n,
+  CAST(sum(s) AS BIGINT) searches, CAST(sum(1 - s) AS BIGINT) titles
+FROM tokens GROUP BY word"""
+SQL["encoded_keyword_counts"] = SQL["keyword_counts"]
+SQL["encoded_first_letters"] = SQL["title_first_letters"]
+SQL["encoded_title_match"] = SQL["search_title_match"]

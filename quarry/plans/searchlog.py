@@ -7,7 +7,7 @@ window is used to number rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -64,10 +64,10 @@ def popular_urls(searches: DataFrame, p: JobParams = JobParams()) -> DataFrame:
         .agg(F.countDistinct("userid").alias("distinct_visitors"))
         .filter(F.col("distinct_visitors") > p.popular_min_visitors)
     )
-    return _ranked(counts, p.popular_top, [F.col("distinct_visitors").desc(), F.col("url")])
+    return ranked(counts, p.popular_top, [F.col("distinct_visitors").desc(), F.col("url")])
 
 
-def _ranked(df: DataFrame, top: int | None, order: list) -> DataFrame:
+def ranked(df: DataFrame, top: int | None, order: list) -> DataFrame:
     return df.orderBy(*order) if top is None else top_k(df, top, order)
 
 
@@ -85,7 +85,7 @@ def keyword_counts(searches: DataFrame, top: int | None = None, weight: str | No
     """
     n = F.sum(weight) if weight else F.count(F.lit(1))
     counts = keyword_rows(searches, weight).groupBy("keyword").agg(n.alias("appearances"))
-    return _ranked(counts, top, [F.col("appearances").desc(), F.col("keyword")])
+    return ranked(counts, top, [F.col("appearances").desc(), F.col("keyword")])
 
 
 def distinct_keywords(searches: DataFrame) -> DataFrame:
@@ -110,11 +110,15 @@ def title_first_letters(titles: DataFrame) -> DataFrame:
     symbols), so the total over the whole table is a window over a bounded
     input.
     """
+    return letter_shares(title_words(titles), "title", F.count(F.lit(1)))
+
+
+def letter_shares(words: DataFrame, word: str, n: Column) -> DataFrame:
+    """``first_letter, appearances, frequency`` of words; the aggregate ``n`` counts them."""
     whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        title_words(titles)
-        .groupBy(first_letter_class("title").alias("first_letter"))
-        .agg(F.count(F.lit(1)).alias("appearances"))
+        words.groupBy(first_letter_class(word).alias("first_letter"))
+        .agg(n.alias("appearances"))
         .withColumn("frequency", F.col("appearances") * F.lit(100.0) / F.sum("appearances").over(whole))
         .orderBy("first_letter")
     )
@@ -188,6 +192,11 @@ def search_title_match(searches: DataFrame, titles: DataFrame, stops: DataFrame,
     n = F.lit(1)
     if weight:
         per_search, n = per_search.join(searches.select(id_col, weight), id_col), F.col(weight)
+    return match_shares(per_search, n)
+
+
+def match_shares(per_search: DataFrame, n: Column) -> DataFrame:
+    """The shares of :func:`search_title_match` from ``hit`` and ``words`` of each search; ``n`` is the number it stands for."""
     return per_search.agg(
         F.coalesce(F.sum(F.col("hit") * n), F.lit(0)).cast("long").alias("matched"),
         F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("searchable"),
@@ -211,4 +220,4 @@ def popular_urls_from_state(spark: SparkSession, base: str, p: JobParams = JobPa
     """:func:`popular_urls` from the published visitor state."""
     counts = distinct_counts(published(spark, f"{base}/visitors"), "url", "distinct_visitors").filter(
         F.col("distinct_visitors") > p.popular_min_visitors)
-    return _ranked(counts, p.popular_top, [F.col("distinct_visitors").desc(), F.col("url")])
+    return ranked(counts, p.popular_top, [F.col("distinct_visitors").desc(), F.col("url")])

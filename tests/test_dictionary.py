@@ -1,0 +1,95 @@
+"""The word dictionary, encoded texts, and the word questions answered from them."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarry import fixtures as fx
+from quarry.config import scratch_dir
+from quarry.operators.dictionary import COMMON_BYTES, encode, write_dictionary
+from quarry.plans import searchlog, wordindex
+
+LONG = "ä" * COMMON_BYTES  # twice the bytes
+
+
+def _tokens(spark, rows):
+    return spark.createDataFrame(rows, "doc long, word string")
+
+
+@pytest.fixture()
+def small(spark):
+    a = _tokens(spark, [(1, w) for w in ["b", "b", "b", "", "", LONG, LONG, "a", "c", None]])
+    return {"left": a, "right": _tokens(spark, [(2, w) for w in ["b", "a", "z"]])}
+
+
+def _all(small):
+    return small["left"].unionByName(small["right"])
+
+
+def test_ids_go_by_falling_frequency_and_ties_by_word(spark, small):
+    words = write_dictionary(spark, small, scratch_dir(spark, "words"), common_words=4)
+    got = [tuple(r) for r in words.select("id", "word", "n", "left", "right", "common").orderBy("id").collect()]
+    # the third and fourth place: two appearances each, the empty word first
+    assert got == [(1, "b", 4, 3, 1, True), (2, "", 2, 2, 0, True), (3, "a", 2, 1, 1, True), (4, LONG, 2, 2, 0, False),
+                   (5, "c", 1, 1, 0, False), (6, "z", 1, 0, 1, False)]
+
+
+@pytest.mark.parametrize("common", [0, 1, 3, 100])
+def test_every_token_is_encoded_once(spark, small, common):
+    words = write_dictionary(spark, small, scratch_dir(spark, "words"), common_words=common)
+    ids = {r["word"]: r["id"] for r in words.collect()}
+    more = _all(small).unionByName(_tokens(spark, [(3, "unknown"), (3, "b")]))
+    coded = encode(spark, more, words, scratch_dir(spark, "coded"))
+    got = Counter((r["doc"], r["word_id"]) for r in coded.rows().collect())
+    assert got == Counter((r["doc"], ids.get(r["word"])) for r in more.collect())
+    assert coded.common.where("word_id IS NULL").count() == 0 and coded.common.where(F.col("word_id") > common).count() == 0
+    totals = {r["word"]: r["appearances"] for r in coded.totals(words.select("id", "common", "word")).collect()}
+    assert totals == Counter(r["word"] for r in more.collect() if r["word"] in ids)
+
+
+def test_a_hot_word_is_not_shuffled_to_the_dictionary(spark):
+    tokens = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), "id")).alias("word"))
+    words = write_dictionary(spark, {"n_rows": tokens}, scratch_dir(spark, "words"), common_words=10)
+    coded = encode(spark, tokens.withColumnRenamed("id", "doc"), words, scratch_dir(spark, "coded"))
+    assert coded.common.where("word_id = 1").count() == 10_000 and coded.rare.where("word_id = 1").count() == 0
+    assert coded.common.count() == 10_009 and coded.rare.count() == 19_991
+
+
+def test_clashing_columns_are_refused(spark, small):
+    words = write_dictionary(spark, small, scratch_dir(spark, "words"))
+    with pytest.raises(ValueError, match="word_id"):
+        encode(spark, small["left"].withColumnRenamed("doc", "Word_ID"), words, scratch_dir(spark, "coded"))
+
+
+def test_empty_tables(spark):
+    none = _tokens(spark, [])
+    words = write_dictionary(spark, {"left": none}, scratch_dir(spark, "words"))
+    assert words.columns == ["word", "id", "n", "common", "left"] and words.count() == 0
+    coded = encode(spark, none, words, scratch_dir(spark, "coded"))
+    assert coded.rows().count() == 0 and coded.totals(words.select("id", "common", "word")).count() == 0
+
+
+@pytest.mark.parametrize("common", [5, 65_536])
+def test_answers_equal_those_from_the_words(spark, sf_small, common):
+    texts, titles, stops = fx.search_texts(spark, sf_small), fx.titles(spark, sf_small), fx.stop_words(spark)
+    odd = spark.createDataFrame([(-1, None, 3), (-2, "", 2), (-3, "the of", 5), (-4, "  zz-nowhere é", 7)], "doc_id long, keywords string, n long")
+    texts = texts.select("doc_id", "keywords", "n").unionByName(odd)
+    index = wordindex.write_word_index(spark, texts, titles, scratch_dir(spark, "index"), "doc_id", "n", common_words=common)
+    assert wordindex.keyword_counts(index).collect() == searchlog.keyword_counts(texts, weight="n").collect()
+    assert wordindex.keyword_counts(index, 7).collect() == searchlog.keyword_counts(texts, 7, weight="n").collect()
+    assert wordindex.title_first_letters(index).collect() == searchlog.title_first_letters(titles).collect()
+    assert wordindex.search_title_match(index, stops, True).collect() == searchlog.search_title_match(
+        texts, titles, stops, id_col="doc_id", stops_bounded=True, weight="n").collect()
+    plain = wordindex.write_word_index(spark, texts, titles, scratch_dir(spark, "index"), "doc_id", common_words=common)
+    assert wordindex.keyword_counts(plain).collect() == searchlog.keyword_counts(texts).collect()
+    assert wordindex.search_title_match(plain, stops).collect() == searchlog.search_title_match(texts, titles, stops, id_col="doc_id").collect()
+
+
+def test_common_tokens_meet_the_dictionary_without_a_merge_join(spark, sf_small):
+    index = wordindex.write_word_index(spark, fx.search_texts(spark, sf_small), fx.titles(spark, sf_small), scratch_dir(spark, "index"), "doc_id", "n")
+    common = wordindex.WordIndex(index.dictionary, type(index.searches)(index.searches.common, index.searches.common.limit(0)), "doc_id", "n")
+    for df in (wordindex.keyword_counts(common), wordindex.search_title_match(common, fx.stop_words(spark), True)):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        assert "EvalPython" not in plan
