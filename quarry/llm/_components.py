@@ -10,11 +10,10 @@ from quarry.llm import _store
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links(a, b)``: the smallest node it is connected with.
 
-    Each round is written, so that a lost executor repeats one round; minima are taken by partial
+    No round follows one that leaves stars. Each round is written, so that a lost executor repeats one round; minima are taken by partial
     aggregation, so that a node with very many links is no task of its own."""
     edges = _store.written(spark, _oriented(links.select("a", "b")), "links")
-    before = _state(edges)
-    while True:
+    while not _settled(edges):
         # large star: the larger neighbours of a node go to its smallest neighbour
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = _store.written(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
@@ -27,11 +26,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         small = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b")))
         edges = _store.written(spark, _oriented(small), "small-star")
-        after = _state(edges)
-        if after == before:
-            return edges.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("node"), "component").unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = after
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -39,6 +35,8 @@ def _oriented(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-                           F.expr("bit_xor(xxhash64(b, a))")).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether the pairs are stars already: a node has one smaller neighbour at most, and a node that has one is nobody's smaller neighbour."""
+    ends = F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("smaller")), F.struct(F.col("b").alias("node"), F.lit(0).alias("smaller")))
+    roles = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("smaller").alias("n"), F.min("smaller").alias("least"))
+    return roles.agg(F.count_if((F.col("n") > 1) | ((F.col("n") == 1) & (F.col("least") == 0)))).first()[0] == 0
