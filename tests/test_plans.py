@@ -19,6 +19,8 @@ WRITERS = {"title_word_export", "parquet_convert", "csv_round_trip", "tsv_round_
            "merged_mean_sum_count", "merged_popular_urls", "published_trips", "rejected_origins"}
 # these number rows of a checkpoint: their plans scan that copy
 CHECKPOINTED = {"fastest_trips_nan_last"}
+# these write a word index of the tables first: their plans scan it
+INDEXED = {"word_dictionary", "encoded_keyword_counts", "encoded_first_letters", "encoded_title_match"}
 KEYS = sorted(k for k in QUERIES if k not in WRITERS)
 
 
@@ -176,8 +178,14 @@ def test_stop_words_case_sensitive_unless_folded(spark):
     assert folded == ["cat"]
 
 
-@pytest.mark.parametrize("key", [k for k in KEYS if k not in CHECKPOINTED])
+@pytest.mark.parametrize("key", [k for k in KEYS if k not in CHECKPOINTED | INDEXED])
 def test_query_scans_the_test_tables(spark, sf_small, key):
     # every registered query reads the given tables (writers read files derived from them)
     plan = plan_text(QUERIES[key](spark, sf_small))
     assert f"{sf_small}/" in plan and "Scan parquet" in plan
+
+
+@pytest.mark.parametrize("key", sorted(INDEXED))
+def test_query_scans_the_word_index(spark, sf_small, key):
+    plan = plan_text(QUERIES[key](spark, sf_small))
+    assert "/word-index" in plan and "Scan parquet" in plan
