@@ -226,7 +226,8 @@ def trie(spark: SparkSession, convs: DataFrame, turns: DataFrame) -> DataFrame:
     ends = ends_hashes(spark, shared.where("last").select("d1", "d2", "conv_id"))
     none = hashlib.sha256(b"").hexdigest()
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
-    top = F.when(F.col("depth") > 0, F.col("parent_conv_id")).alias("parent_conv_id")
+    # a singleton that the sketch lets through may have a proven singleton as its parent, of the same conversation
+    top = F.when(F.col("depth") > 0, F.coalesce("parent_conv_id", "owner")).alias("parent_conv_id")
     many = (nodes.join(_store.written(spark, sums, "trie-sums"), ["d1", "d2"]).join(_store.written(spark, children, "trie-children"), ["d1", "d2"], "left")
             .join(_store.written(spark, ends, "trie-ends"), ["d1", "d2"], "left").join(parents, ["p1", "p2"], "left").select(
         F.col("owner").alias("conv_id"), "depth", top, "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"), "n_leaves", "saved_tokens",

@@ -79,6 +79,13 @@ def test_a_full_sketch_lets_more_through_and_nothing_else(spark, sf_small, monke
     assert got == plain([tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()])
 
 
+def test_a_singleton_let_through_below_a_proven_one_keeps_its_parent(spark, monkeypatch):
+    estimate = prefix_trie.estimates_above_one
+    monkeypatch.setattr(prefix_trie, "estimates_above_one", lambda sketch, bits, digests: estimate(sketch, bits, digests) | (digests % 3 == 0))
+    rows = [(c, t, "user", f"{t} {c if t > 1 else 0}") for c in range(7) for t in range(12)]
+    assert result(spark, rows) == plain(rows)
+
+
 def test_screening_keeps_singletons_from_the_shuffle(spark, sf_small):
     convs, turns = prefix_trie.with_shared_heads(spark, spark.read.parquet(f"{sf_small}/conversations.parquet"))
     table = prefix_trie.screened(spark, prefix_trie.prefixes(spark, convs, turns))
