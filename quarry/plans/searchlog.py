@@ -11,13 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from quarry.config import JobParams
+from quarry.config import JobParams, scratch_dir
 from quarry.functions.text import first_letter_class, is_printable_word, split_words
+from quarry.operators.dictionary import COMMON_BYTES, COMMON_WORDS
 from quarry.operators.joins import hinted
 from quarry.operators.ordering import top_k
 from quarry.operators.state import advance, distinct_counts, distinct_state, grown_dictionary, merge_distinct
 from quarry.sources.publish import current_version, publish, published
-from quarry.sources.writers import write_delimited
+from quarry.sources.writers import write_delimited, write_parquet
 
 _CALENDAR = {
     "day": (F.dayofyear, "day_of_year", "searches_per_day"),
@@ -178,16 +179,24 @@ def search_title_match(searches: DataFrame, titles: DataFrame, stops: DataFrame,
 
     Output ``matched``, ``searchable`` (searches with at least one printable
     non-stop keyword), ``match_pct`` and ``matched_words`` (their keyword tokens that are title words).
-    Keywords are folded to one row per search and word before they meet the distinct
-    title vocabulary.  ``weight`` names a column with the number of searches that a row stands for.
+    The most frequent title words (a fixed number, of bounded length) are broadcast, so tokens of them only count where
+    they are read, and no hot title word is left for the join; the others meet the title vocabulary.  Rows are summed up by search
+    alone, so no task holds a map of searches and words.  ``weight`` names a column with the number of searches that a row stands for.
     """
+    spark = titles.sparkSession
+    vocab = title_words(titles).groupBy("title").agg(F.count(F.lit(1)).alias("n"))
+    vocab = spark.read.parquet(write_parquet(vocab, scratch_dir(spark, "title-vocabulary")))
+    common = top_k(vocab.where(F.octet_length("title") <= COMMON_BYTES), COMMON_WORDS, [F.col("n").desc(), F.col("title")])
     words = remove_stop_words(search_words(searches, id_col), stops, stops_bounded=stops_bounded)
-    words = words.groupBy(id_col, "title").agg(F.count(F.lit(1)).alias("times"))
-    vocab = distinct_title_words(titles).withColumn("hit", F.lit(1))
+    words = words.join(F.broadcast(common.select(F.col("title").alias("known"))), F.col("title") == F.col("known"), "left")
+    # a row per token; a common word is known to match and left out (null)
+    words = words.select(id_col, F.when(F.col("known").isNull(), F.col("title")).alias("title"))
+    words = spark.read.parquet(write_parquet(words, scratch_dir(spark, "search-words")))
+    others = words.where("title IS NOT NULL").join(hinted(vocab.select("title", F.lit(1).alias("hit")), strategy), "title", "left")
     per_search = (
-        words.join(hinted(vocab, strategy), "title", "left")
+        words.where("title IS NULL").withColumn("hit", F.lit(1)).unionByName(others)
         .groupBy(id_col)
-        .agg(F.max(F.coalesce("hit", F.lit(0))).alias("hit"), F.sum(F.col("times") * F.coalesce("hit", F.lit(0))).alias("words"))
+        .agg(F.coalesce(F.max("hit"), F.lit(0)).alias("hit"), F.count("hit").alias("words"))
     )
     n = F.lit(1)
     if weight:
