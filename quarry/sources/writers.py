@@ -22,7 +22,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False, mode: str = "errorifexists",
                     num_files: int | None = None, sort_by: Sequence[Column | str] = (),
                     tie_break: Sequence[Column | str] = (), columns: Sequence[str] | None = None,
-                    time_format: str = WRITE_TIME_FORMAT, escaped: bool = False) -> str:
+                    time_format: str = WRITE_TIME_FORMAT, escaped: bool = False, compression: str | None = None,
+                    rows_per_file: int | None = None) -> str:
     """Write CSV/TSV; every value comes back as it was (white space, quotes, empty strings).
 
     In the plain form a null is an unquoted empty field, an empty string a quoted one, and a
@@ -36,6 +37,9 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Fal
     a round-robin repartition would lose it).  ``tie_break`` columns only shape file boundaries (not written unless
     in ``columns``): a frequent key can then spread over several files.
     ``columns`` are the columns written (default: all).
+
+    ``compression`` names a codec of the files (``gzip``; readers find it by the file name, and do not split such
+    files); ``rows_per_file`` bounds the rows of a file, a task then writes several.
     """
     out = df
     if sort_by:
@@ -57,6 +61,10 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = Fal
         writer = writer.option("quote", "").option("escape", "").option("nullValue", NULL).option("emptyValue", EMPTY)
     else:
         writer = writer.option("escape", '"').option("emptyValue", '""')
+    if compression:
+        writer = writer.option("compression", compression)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.csv(path)
     return path
 
