@@ -190,3 +190,32 @@ def test_other_languages_change_no_verdict(spark):
     alone = verdicts(rows + few)
     assert alone == verdicts(rows + few + more)
     assert all(kept for i, kept, _ in alone if i >= 60)  # too few for a band: the base rules decide
+
+
+def test_pairs_are_sent_packed(spark):
+    docs = qr.with_key(frame(spark, [(k, " ".join(talk(k, 300)), "en") for k in range(200)]))
+    for packs in (qr.count_pairs(docs), qr.document_pairs(docs)):
+        sizes = [c for c, kind in packs.dtypes if kind == "binary"]
+        assert packs.selectExpr(f"sum({' + '.join(f'length({c})' for c in sizes)}) / sum(n)").first()[0] < 16  # two hashes have as many
+
+
+def test_rounds_and_parts_change_no_result(spark, monkeypatch):
+    rows = [(k, " ".join(talk(k, 60 + k)), "en" if k % 3 else "fr") for k in range(60)] + [(99, "", "en"), (98, None, None), (97, "one", "en")]
+
+    def results():
+        return sorted((r.doc_id, r.kept, r.perplexity and round(r.perplexity, 6), r.words_perplexity and round(r.words_perplexity, 6))
+                      for r in qr.score(spark, frame(spark, rows)).collect())
+
+    whole = results()
+    monkeypatch.setattr(qr, "PART_WORDS", 150)
+    grid = qr.Grid.of(sum(len((t or "").split()) for _, t, _ in rows))
+    assert grid.slices == 4 and grid.rows > 4 and grid.cols > 1
+    assert results() == whole
+
+
+def test_grid_covers_every_size():
+    for words in [*range(0, 9), 10 ** 6, 10 ** 8, 10 ** 11]:
+        for grid in (qr.Grid.of(words * qr.PART_WORDS), qr.Grid.of(words)):
+            assert grid.rows * grid.cols * qr.PART_WORDS >= words or words <= qr.PART_WORDS
+            for g in (grid, grid.fewer()):
+                assert [r for k in range(g.slices) for r in g.rows_of(k)] == list(range(g.rows))
