@@ -46,9 +46,9 @@ FOLD_WORDS = 3
 BELOW, ABOVE = 6.0, 4.0
 LEAST_BAND = 0.1
 LEAST_DOCUMENTS = 20
-COUNT_BYTES = 8 << 20  # text whose pairs are packed together before they are sent
+COUNT_BYTES = 4 << 20  # text whose pairs are packed together before they are sent
 SLICES = 4  # a power of two; texts are scored in so many rounds, so that only a part of their pairs is on disk at a time
-PART_WORDS = 3_000_000  # pairs of a part, about
+PART_WORDS = 2_500_000  # pairs of a part, about
 PACKED_WORDS = 200_000
 SUM_BUCKETS = 256  # of texts, by key: their sums are packed
 
@@ -88,7 +88,7 @@ class Grid:
     def of(cls, n_words: int) -> Grid:
         parts = max(1, -(-n_words // PART_WORDS))
         slices = min(SLICES, 1 << parts.bit_length() - 1)
-        many = -(-(math.isqrt(parts - 1) + 1) // slices)  # rows of a slice
+        many = max(1, round(math.sqrt(parts) / slices))  # rows of a slice
         return cls(slices, slices * many, -(-parts // (slices * many)))
 
     def fewer(self) -> Grid:
