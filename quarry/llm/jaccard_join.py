@@ -20,7 +20,7 @@ at most a fifth of its own in the other. The join finds all such pairs:
 4. Nodes that share a block, directly or over others, are a family. Its members are compared by size and by
    a parity sketch of ``SKETCH_BITS`` bits, and then exactly; of the similar pairs only as
    many are kept as connect the members. A family of more than ``BLOCK_NODES`` nodes or ``BLOCK_HASHES``
-   hashes is cut into blocks, and every pair of blocks is a task of its own: no bucket is capped.
+   hashes is cut into blocks, each kept once as a file, and all pairs of blocks are dealt over tasks: no bucket is capped.
 
 The result has the smallest doc_id reachable over links for every document.
 Defined results: texts without words (null, empty) have an empty set and are linked with
@@ -33,7 +33,9 @@ Hashes are 64 bits wide; equal hashes count as equal shingles.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,10 @@ SEEDS = 64
 SKETCH_BITS = 1024
 BLOCK_NODES = 4096
 BLOCK_HASHES = 4_000_000
+HEAD_WORDS = 8
+QUARTER = np.uint64(1 << 62)
+MOST_TASKS = 4096
+LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -273,44 +279,70 @@ def sketches(hashes: list[np.ndarray]) -> np.ndarray:
     return out.reshape(len(hashes), words)
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many hashes two sorted sets share."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return int((y[at] == x).sum()) if len(x) else 0
+
+
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two sorted sets reach the threshold."""
-    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-    both = int((y[at] == x).sum())
+    if len(x) + len(y) > 256:
+        # what differs in the lowest quarter of the hashes is a lower bound, which most pairs exceed that are not similar
+        a, b = x[:np.searchsorted(x, QUARTER)], y[:np.searchsorted(y, QUARTER)]
+        if (len(a) + len(b) - 2 * _common(a, b)) * (100 + PERCENT) > (len(x) + len(y)) * (100 - PERCENT):
+            return False
+    both = _common(x, y)
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
 def spanning_links(hashes: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Similar pairs that connect just what all similar pairs connect (with ``side``: pairs of unequal sides only).
+    """Similar pairs that connect just what all similar pairs connect (with ``side``: pairs of unequal sides only)."""
+    return _spanning(np.array([len(h) for h in hashes]), sketches(hashes), hashes.__getitem__, side)
+
+
+def _near_pairs(n: np.ndarray, sketch: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of nodes, ordered by size n, whose sizes and sketches are not too far apart."""
+    last = np.searchsorted(n, n * 100 // PERCENT, "right")
+    kind = np.zeros(len(n), int) if side is None else np.unique(side, return_inverse=True)[1]
+    i_of, j_of = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for k in range(kind.max(initial=-1) + 1):
+        mine = np.flatnonzero(kind == k)
+        rest = mine if side is None else np.flatnonzero(kind != k)
+        rest_n, words = n[rest], np.ascontiguousarray(sketch[rest].T)
+        for i, first, end in zip(mine.tolist(), np.searchsorted(rest, mine, "right").tolist(), np.searchsorted(rest, last[mine]).tolist()):
+            if first >= end:
+                continue
+            most = (n[i] + rest_n[first:end]) * (100 - PERCENT)
+            own = sketch[i][:, None]
+            # the distance in some of the words is a lower bound, which most pairs exceed
+            distance = np.bitwise_count(words[:HEAD_WORDS, first:end] ^ own[:HEAD_WORDS]).sum(0, dtype=np.uint16)
+            j = np.flatnonzero(distance.astype(np.int64) * (100 + PERCENT) <= most)
+            if not len(j):
+                continue
+            distance = distance[j].astype(np.int64) + np.bitwise_count(words[HEAD_WORDS:, first + j] ^ own[HEAD_WORDS:]).sum(0, dtype=np.int64)
+            j = rest[first + j[distance * (100 + PERCENT) <= most[j]]]
+            i_of.append(np.full(len(j), i, np.int32))
+            j_of.append(j.astype(np.int32))
+    return np.concatenate(i_of), np.concatenate(j_of)
+
+
+def _spanning(sizes: np.ndarray, sketch: np.ndarray, hashes_of: Callable[[int], np.ndarray],
+              side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """:func:`spanning_links` of nodes whose sets are asked for only where they are compared exactly.
 
     Pairs whose sizes or sketches are too far apart are dropped; of the others, the node in most of them is
     verified first, and pairs that are connected by then need no check."""
-    sizes = np.array([len(h) for h in hashes])
     order = np.argsort(sizes, kind="stable")
-    n, sketch = sizes[order], sketches(hashes)[order]
-    side = side[order] if side is not None else None
-    last = np.searchsorted(n, n * 100 // PERCENT, "right")
-    i_of, j_of = [], []
-    for i in range(len(n)):
-        if last[i] - i < 2:
-            continue
-        distance = np.bitwise_count(sketch[i + 1:last[i]] ^ sketch[i]).sum(1, dtype=np.int64)
-        near = distance * (100 + PERCENT) <= (n[i] + n[i + 1:last[i]]) * (100 - PERCENT)
-        if side is not None:
-            near &= side[i + 1:last[i]] != side[i]
-        j = np.flatnonzero(near) + i + 1
-        i_of.append(np.full(len(j), i, np.int32))
-        j_of.append(j.astype(np.int32))
+    i, j = _near_pairs(sizes[order], sketch[order], side[order] if side is not None else None)
     links: list[tuple[int, int]] = []
-    if not i_of:
-        return links
-    i, j = np.concatenate(i_of), np.concatenate(j_of)
-    label = np.arange(len(n))
+    label = np.arange(len(sizes))
     while len(i):
-        hub = int(np.argmax(np.bincount(i, minlength=len(n)) + np.bincount(j, minlength=len(n))))
+        hub = int(np.argmax(np.bincount(i, minlength=len(label)) + np.bincount(j, minlength=len(label))))
         mine = (i == hub) | (j == hub)
         for other in np.where(i[mine] == hub, j[mine], i[mine]).tolist():
-            if label[other] != label[hub] and similar(hashes[order[hub]], hashes[order[other]]):
+            if label[other] != label[hub] and similar(hashes_of(int(order[hub])), hashes_of(int(order[other]))):
                 links.append((int(order[hub]), int(order[other])))
                 label[label == label[other]] = label[hub]
         rest = ~mine
@@ -320,43 +352,109 @@ def spanning_links(hashes: list[np.ndarray], side: np.ndarray | None = None) ->
     return links
 
 
+def _put_block(uri: str, nodes: np.ndarray, hashes: list[np.ndarray]) -> None:
+    """A block as two files: nodes, sizes and sketches; and the sets, one after the other."""
+    sizes = np.array([len(h) for h in hashes], np.int64)
+    _store.put(f"{uri}.sets", b"".join(h.tobytes() for h in hashes))
+    _store.put(f"{uri}.heads", np.concatenate([nodes.view(np.uint64), sizes.view(np.uint64), sketches(hashes).ravel()]).tobytes())
+
+
+def _heads(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, sizes and sketches of a block."""
+    raw = np.frombuffer(_store.get(f"{uri}.heads"), np.uint64)
+    words = SKETCH_BITS // 64
+    m = len(raw) // (words + 2)
+    return raw[:m].view(np.int64), raw[m:2 * m].view(np.int64), raw[2 * m:].reshape(m, words)
+
+
+def _block_links(uris: list[str]) -> Iterator[tuple[int, int]]:
+    """Links within one block, or between two; only sets that are compared exactly are read, each once."""
+    heads = [_heads(u) for u in uris]
+    nodes, sizes, sketch = (np.concatenate(x) for x in zip(*heads))
+    side = np.repeat(np.arange(len(heads)), [len(h[0]) for h in heads])
+    at = np.concatenate([np.cumsum(h[1]) - h[1] for h in heads])
+    with contextlib.ExitStack() as stack:
+        files = {}
+
+        @functools.cache
+        def hashes_of(k: int) -> np.ndarray:
+            s = int(side[k])
+            if s not in files:
+                files[s] = stack.enter_context(_store.opened(f"{uris[s]}.sets"))
+            return np.frombuffer(files[s].read_at(8 * int(sizes[k]), 8 * int(at[k])), np.uint64)
+
+        for a, b in _spanning(sizes, sketch, hashes_of, side if len(uris) > 1 else None):
+            yield int(nodes[a]), int(nodes[b])
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, np.ndarray, list[np.ndarray]]]:
+    """Key, nodes and sets of each run of rows of one key."""
+    key, nodes, sets = None, [], []
+    for batch in batches:
+        for *k, node, raw in zip(*(batch.column(c).to_pylist() for c in [*keys, "node", "hashes"])):
+            if k != key and nodes:
+                yield tuple(key), np.array(nodes, np.int64), sets
+                nodes, sets = [], []
+            key = k
+            nodes.append(node)
+            sets.append(np.frombuffer(raw, np.uint64))
+    if nodes:
+        yield tuple(key), np.array(nodes, np.int64), sets
+
+
 def similar_links(spark: SparkSession, sets: DataFrame) -> DataFrame:
     """Links (a, b) that connect exactly the nodes which similar pairs connect."""
     family = components(spark, candidates(spark, sets))
-    # families of many nodes or bytes are cut into blocks, and each pair of blocks is a group of its own
+    # families of many nodes or bytes are cut into blocks, and each pair of blocks is a row of its own
     size = family.join(sets.select("node", "n"), "node").groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("hashes"))
     cut = F.greatest(F.ceil(F.col("m") / BLOCK_NODES), F.ceil(F.col("hashes") / BLOCK_HASHES)).cast("int")
     size = _store.written(spark, size.select("component", cut.alias("blocks")), "families")
     member = _store.written(spark, family.join(size, "component"), "family-nodes")
-    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
-    placed = (sets.select("node", "hashes").join(member, "node").withColumn("side", own)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "hashes"))
+    placed = sets.select("node", "hashes").join(member, "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def groups():
-            key, rows = None, []
-            for batch in batches:
-                for *k, side, node, raw in zip(*(batch.column(c).to_pylist() for c in ("component", "i", "j", "side", "node", "hashes"))):
-                    if k != key and rows:
-                        yield key, rows
-                        rows = []
-                    key = k
-                    rows.append((side, node, raw))
-            if rows:
-                yield key, rows
+        def links():
+            for _, nodes, hashes in _groups(batches, ["component"]):
+                for a, b in spanning_links(hashes):
+                    yield int(nodes[a]), int(nodes[b])
+
+        yield from _store.batches(links(), LINK)
+
+    within = (placed.where("blocks = 1").select("component", "node", "hashes").repartition("component")
+              .sortWithinPartitions("component").mapInArrow(compare, "a long, b long"))
+    within = _store.written(spark, within, "similar")
+    if size.where("blocks > 1").isEmpty():
+        return within
 
+    # a block is kept once, in the shared folder, and not copied for each of its pairs
+    folder = _store.shared_uri(spark, "blocks")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def kept():
+            for (component, block), nodes, hashes in _groups(batches, ["component", "block"]):
+                _put_block(f"{folder}/{component}_{block}", nodes, hashes)
+                yield component, block
+
+        yield from _store.batches(kept(), pa.schema([("component", pa.int64()), ("block", pa.int32())]))
+
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
+    blocks = _store.written(spark, placed.where("blocks > 1").select("component", own.alias("block"), "node", "hashes")
+                            .repartition("component", "block").sortWithinPartitions("component", "block", "node")
+                            .mapInArrow(keep, "component long, block int"), "family-blocks")
+    pairs = _store.written(spark, blocks.select("component", F.col("block").alias("i")).join(
+        blocks.select("component", F.col("block").alias("j")), "component").where("i <= j"), "block-pairs")
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links():
-            for (_, i, j), rows in groups():
-                hashes = [np.frombuffer(r[2], np.uint64) for r in rows]
-                side = np.array([r[0] for r in rows]) if i != j else None
-                for a, b in spanning_links(hashes, side):
-                    yield rows[a][1], rows[b][1]
+            for batch in batches:
+                for component, i, j in zip(*(batch.column(c).to_pylist() for c in ("component", "i", "j"))):
+                    yield from _block_links([f"{folder}/{component}_{b}" for b in sorted({i, j})])
 
-        yield from _store.batches(links(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        yield from _store.batches(links(), LINK)
 
-    return _store.written(spark, placed.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
-                          .mapInArrow(compare, "a long, b long"), "similar")
+    # few bytes, much work: dealt evenly over a fixed number of tasks, which are not merged by their size
+    tasks = min(pairs.count(), MOST_TASKS)
+    return within.unionByName(_store.written(spark, pairs.repartition(tasks).mapInArrow(across, "a long, b long"), "similar"))
 
 
 def similar_components(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -71,6 +71,25 @@ def test_chains_of_edited_copies(spark, monkeypatch, blocks):
     check(spark, docs, spark.createDataFrame(docs, "doc_id long, text string").repartition(6))
 
 
+def test_cut_families_are_not_copied_for_each_pair_of_blocks(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    base = r.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[k:], r.integers(0, 1 << 63, k + 1, dtype=np.uint64)])) for k in range(60)]
+    rows = [(k, len(h), h.tobytes()) for k, h in enumerate(sets)] + [(100, 1, sets[0][:1].tobytes())]
+    df = spark.createDataFrame(rows, "node long, n long, hashes binary").repartition(4)
+    monkeypatch.setattr(jj, "BLOCK_NODES", 3)  # 20 blocks, 210 pairs
+    monkeypatch.setattr(jj, "MOST_TASKS", 8, raising=False)
+
+    def on_disk():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(k).length() for k in range(files.size()))
+
+    before = on_disk()
+    links = jj.similar_links(spark, df)
+    assert on_disk() - before < 12 * sum(len(x[2]) for x in rows)  # all steps; copies for each pair alone are 20
+    assert {(x.node, x.component) for x in _components.components(spark, links).collect()} == {(k, 0) for k in range(60)}
+
+
 def test_keep_one_of_each_group(spark):
     docs = odd_docs(spark)
     kept = jj.keep_one(spark, docs)
