@@ -410,37 +410,30 @@ def similar_links(spark: SparkSession, sets: DataFrame) -> DataFrame:
     cut = F.greatest(F.ceil(F.col("m") / BLOCK_NODES), F.ceil(F.col("hashes") / BLOCK_HASHES)).cast("int")
     size = _store.written(spark, size.select("component", cut.alias("blocks")), "families")
     member = _store.written(spark, family.join(size, "component"), "family-nodes")
-    placed = sets.select("node", "hashes").join(member, "node")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
+    placed = sets.select("node", "hashes").join(member, "node").select("component", "blocks", own.alias("block"), "node", "hashes")
+    # a block of a cut family is kept once, in the shared folder, and not copied for each of its pairs
+    folder = _store.shared_uri(spark, "blocks")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links():
-            for _, nodes, hashes in _groups(batches, ["component"]):
+        """Links (a, b, null) of whole families; (component, null, block) of each block that is kept."""
+        def found():
+            for (component, blocks, block), nodes, hashes in _groups(batches, ["component", "blocks", "block"]):
+                if blocks > 1:
+                    _put_block(f"{folder}/{component}_{block}", nodes, hashes)
+                    yield component, None, block
+                    continue
                 for a, b in spanning_links(hashes):
-                    yield int(nodes[a]), int(nodes[b])
+                    yield int(nodes[a]), int(nodes[b]), None
 
-        yield from _store.batches(links(), LINK)
+        yield from _store.batches(found(), LINK.append(pa.field("block", pa.int32())))
 
-    within = (placed.where("blocks = 1").select("component", "node", "hashes").repartition("component")
-              .sortWithinPartitions("component").mapInArrow(compare, "a long, b long"))
-    within = _store.written(spark, within, "similar")
-    if size.where("blocks > 1").isEmpty():
+    found = _store.written(spark, placed.repartition("component", "block").sortWithinPartitions("component", "block", "node")
+                           .mapInArrow(compare, "a long, b long, block int"), "similar")
+    within = found.where("block IS NULL").select("a", "b")
+    blocks = found.where("block IS NOT NULL").select(F.col("a").alias("component"), "block")
+    if blocks.isEmpty():
         return within
-
-    # a block is kept once, in the shared folder, and not copied for each of its pairs
-    folder = _store.shared_uri(spark, "blocks")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def kept():
-            for (component, block), nodes, hashes in _groups(batches, ["component", "block"]):
-                _put_block(f"{folder}/{component}_{block}", nodes, hashes)
-                yield component, block
-
-        yield from _store.batches(kept(), pa.schema([("component", pa.int64()), ("block", pa.int32())]))
-
-    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
-    blocks = _store.written(spark, placed.where("blocks > 1").select("component", own.alias("block"), "node", "hashes")
-                            .repartition("component", "block").sortWithinPartitions("component", "block", "node")
-                            .mapInArrow(keep, "component long, block int"), "family-blocks")
     pairs = _store.written(spark, blocks.select("component", F.col("block").alias("i")).join(
         blocks.select("component", F.col("block").alias("j")), "component").where("i <= j"), "block-pairs")
 
